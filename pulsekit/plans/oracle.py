@@ -226,5 +226,353 @@ SELECT * FROM (UNPIVOT g ON likes, comments, shares, saves INTO NAME metric VALU
 """)
 
 SQL["cross_platform_table"] = ("SELECT platform, total_posts, total_reach, total_engagement, avg_engagement_rate, "
-                               "vs_benchmark, total_followers_gained FROM (" +
-                               SQL["platform_overview"].replace(POSTS, POSTS + "", 1) + ") ov")
+                               "vs_benchmark, total_followers_gained FROM (" + SQL["platform_overview"] + ") ov")
+
+# ---------------------------------------------------------------------------
+# Temporal (T1–T8)
+# ---------------------------------------------------------------------------
+VALID = """,
+tp AS (SELECT platform FROM posts WHERE published_at IS NOT NULL GROUP BY platform HAVING count(DISTINCT hour) > 1),
+v AS (SELECT * FROM posts WHERE published_at IS NOT NULL AND platform IN (SELECT platform FROM tp))
+"""
+DAYS_LIST = "['Monday','Tuesday','Wednesday','Thursday','Friday','Saturday','Sunday']"
+
+SQL["hourly_profile"] = _q(VALID + f""",
+g AS (SELECT hour, round({WAVG('engagement_rate')}, 4) AS avg_engagement, round({WAVG('reach')}, 4) AS avg_reach,
+             CAST(count(*) AS DOUBLE) AS post_count FROM v GROUP BY hour)
+SELECT *, CAST(row_number() OVER (ORDER BY avg_engagement DESC, hour) AS INTEGER) AS rank FROM g
+""")
+
+SQL["daily_profile"] = _q(VALID + f""",
+g AS (SELECT day_of_week, round({WAVG('engagement_rate')}, 4) AS avg_engagement, round({WAVG('reach')}, 4) AS avg_reach,
+             CAST(count(*) AS DOUBLE) AS post_count, CAST(min(dow) AS INTEGER) AS day_ix FROM v GROUP BY day_of_week)
+SELECT *, CAST(row_number() OVER (ORDER BY avg_engagement DESC, day_ix) AS INTEGER) AS rank FROM g
+""")
+
+SQL["best_times_platform"] = _q(VALID + f""",
+big AS (SELECT platform FROM v GROUP BY platform HAVING count(*) >= 5),
+vv AS (SELECT * FROM v WHERE platform IN (SELECT platform FROM big)),
+h AS (SELECT platform, 'hour' AS kind, CAST(hour AS VARCHAR) AS slot, {WAVG('engagement_rate')} AS score,
+             lpad(CAST(hour AS VARCHAR), 2, '0') AS tie FROM vv GROUP BY platform, hour),
+d AS (SELECT platform, 'day' AS kind, day_of_week AS slot, {WAVG('engagement_rate')} AS score, day_of_week AS tie
+      FROM vv GROUP BY platform, day_of_week),
+r AS (SELECT *, row_number() OVER (PARTITION BY platform, kind ORDER BY score DESC, tie) AS rank
+      FROM (SELECT * FROM h UNION ALL SELECT * FROM d))
+SELECT platform, kind, slot, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM r
+WHERE (kind = 'hour' AND rank <= 3) OR (kind = 'day' AND rank <= 2)
+""")
+
+SQL["heatmap_pivot"] = _q(VALID + f""",
+cell AS (SELECT day_of_week, hour, round({WAVG('engagement_rate')}, 4) AS r FROM v GROUP BY day_of_week, hour)
+SELECT day_of_week, {", ".join(f"max(CASE WHEN hour = {h} THEN r END) AS h{h:02d}" for h in range(24))}
+FROM cell GROUP BY day_of_week
+""")
+
+SCOPED = """,
+d AS (SELECT * FROM posts WHERE published_at IS NOT NULL),
+s0 AS (SELECT 'ALL' AS scope, * FROM d UNION ALL SELECT platform AS scope, * FROM d),
+ok AS (SELECT scope FROM s0 GROUP BY scope HAVING count(*) >= 10),
+s AS (SELECT * FROM s0 WHERE scope IN (SELECT scope FROM ok)),
+gm AS (SELECT sum(engagement_rate * weight) / sum(weight) AS gmean FROM d),
+sl AS (SELECT scope, dow, day_of_week, hour, count(*) AS sample_size,
+              sum(engagement_rate * weight) / sum(weight) AS loc
+       FROM s GROUP BY scope, dow, day_of_week, hour HAVING count(*) >= 2),
+sc AS (SELECT sl.*, least(sample_size / 20.0, 1.0) * loc + (1.0 - least(sample_size / 20.0, 1.0)) * gmean AS score0
+       FROM sl CROSS JOIN gm),
+ws AS (SELECT scope, day_of_week AS day, dow, CAST(row_number() OVER (PARTITION BY scope, dow ORDER BY score0 DESC, hour) AS INTEGER) AS rank,
+              hour, printf('%02d:00', hour) AS time, round(score0, 4) AS score, sample_size FROM sc)
+"""
+
+SQL["weekly_schedule"] = _q(SCOPED + "SELECT * FROM ws WHERE rank <= 3")
+
+SQL["schedule_days"] = _q(SCOPED + f""",
+days AS (SELECT scope, dow, round(avg(engagement_rate), 4) AS avg_engagement, count(*) AS post_count
+         FROM s GROUP BY scope, dow),
+slots AS (SELECT scope, dow, least(count(*), 3) AS n_best_hours FROM sl GROUP BY scope, dow),
+spine AS (SELECT scope, CAST(unnest(range(0, 7)) AS INTEGER) AS dow FROM ok)
+SELECT sp.scope, {DAYS_LIST}[sp.dow + 1] AS day, sp.dow, days.post_count IS NOT NULL AS recommend_posting,
+  days.avg_engagement, coalesce(days.post_count, 0) AS post_count,
+  CASE WHEN days.post_count IS NULL THEN NULL WHEN slots.n_best_hours IS NULL THEN 'low'
+       WHEN days.post_count >= 10 THEN 'high' WHEN days.post_count >= 5 THEN 'medium' ELSE 'low' END AS confidence,
+  coalesce(slots.n_best_hours, 0) AS n_best_hours
+FROM spine sp LEFT JOIN days ON sp.scope = days.scope AND sp.dow = days.dow
+LEFT JOIN slots ON sp.scope = slots.scope AND sp.dow = slots.dow
+""")
+
+TOP5 = """,
+t5 AS (SELECT * FROM (
+  SELECT scope, CAST(row_number() OVER (PARTITION BY scope ORDER BY score DESC, dow, rank) AS INTEGER) AS slot_rank,
+         day, dow, hour, time, score FROM ws WHERE rank <= 3) WHERE slot_rank <= 5)
+"""
+
+SQL["top5_slots"] = _q(SCOPED + TOP5 + "SELECT * FROM t5")
+
+SQL["avoid_slots"] = _q(SCOPED + """,
+sm AS (SELECT scope, avg(engagement_rate) AS m FROM s GROUP BY scope),
+g AS (SELECT s.scope, dow, day_of_week, hour, count(*) AS n, avg(engagement_rate) AS r
+      FROM s GROUP BY s.scope, dow, day_of_week, hour HAVING count(*) >= 3),
+f AS (SELECT g.*, round(r, 4) AS avg_engagement_rate FROM g JOIN sm USING (scope) WHERE r < m * 0.5),
+rr AS (SELECT *, CAST(row_number() OVER (PARTITION BY scope ORDER BY avg_engagement_rate, dow, hour) AS INTEGER) AS slot_rank FROM f)
+SELECT scope, slot_rank, day_of_week AS day, hour, printf('%02d:00', hour) AS time, avg_engagement_rate
+FROM rr WHERE slot_rank <= 5
+""")
+
+SQL["next_best_time"] = _q(SCOPED + TOP5 + """,
+nw AS (SELECT max(published_at) AS now_ts FROM posts),
+c AS (SELECT t5.*, CAST((((dow - (isodow(now_ts) - 1)) % 7) + 7) % 7 AS INTEGER) AS dfn, hour(now_ts) AS nh FROM t5 CROSS JOIN nw),
+c2 AS (SELECT *, NOT (dfn = 0 AND hour <= nh) AS okk FROM c),
+p AS (SELECT *, row_number() OVER (PARTITION BY scope ORDER BY okk DESC, CASE WHEN okk THEN dfn END, slot_rank) AS rr FROM c2)
+SELECT scope, day, time, score, CASE WHEN okk THEN dfn END AS days_from_now FROM p WHERE rr = 1
+""")
+
+# ---------------------------------------------------------------------------
+# Growth (G1–G12)
+# ---------------------------------------------------------------------------
+WEEKLY = """,
+wk AS (SELECT year_week, CAST(sum(reach) AS BIGINT) AS total_reach, CAST(sum(engagement_total) AS BIGINT) AS total_engagement,
+              CAST(sum(followers_gained) AS BIGINT) AS total_followers, count(post_id) AS post_count,
+              round(avg(engagement_rate), 4) AS avg_engagement_rate
+       FROM posts WHERE published_at IS NOT NULL AND year_week <> 'Unknown' GROUP BY year_week)
+"""
+
+
+def TREND(x: str, y: str) -> str:
+    m = f"(CASE WHEN abs(avg({y})) < 1e-10 THEN 1.0 ELSE abs(avg({y})) END)"
+    return (f"(CASE WHEN count({y}) < 2 THEN 'insufficient_data' WHEN stddev_pop({y}) < 1e-10 THEN 'stable' "
+            f"WHEN regr_slope({y}, {x}) / {m} > 0.05 THEN 'growing' "
+            f"WHEN regr_slope({y}, {x}) / {m} < -0.05 THEN 'declining' ELSE 'stable' END)")
+
+
+def PCT(c: str) -> str:
+    prev = f"lag({c}) OVER (ORDER BY year_week)"
+    return f"round(CASE WHEN {prev} IS NULL OR {prev} = 0 THEN 0.0 ELSE {c} / CAST({prev} AS DOUBLE) - 1.0 END, 4)"
+
+
+SQL["weekly_rollup"] = _q(WEEKLY + "SELECT * FROM wk")
+
+SQL["weekly_growth"] = _q(WEEKLY + f"""
+SELECT year_week, total_reach, total_engagement, total_followers,
+  {PCT('total_reach')} AS reach_growth, {PCT('total_engagement')} AS engagement_growth,
+  {PCT('total_followers')} AS followers_growth
+FROM wk
+""")
+
+SQL["trajectory"] = _q(WEEKLY + f""",
+l AS (SELECT *, row_number() OVER (ORDER BY year_week DESC) AS rd FROM wk),
+l4 AS (SELECT *, CAST((SELECT count(*) FROM l WHERE rd <= 4) - rd AS DOUBLE) AS x FROM l WHERE rd <= 4)
+SELECT CAST(coalesce(trunc(avg(total_reach)), 0) AS BIGINT) AS avg_weekly_reach,
+  CAST(coalesce(trunc(avg(total_engagement)), 0) AS BIGINT) AS avg_weekly_engagement,
+  CAST(coalesce(trunc(avg(total_followers)), 0) AS BIGINT) AS avg_weekly_followers,
+  coalesce(round_even(avg(post_count), 1), 0.0) AS avg_weekly_posts,
+  {TREND('x', 'total_reach')} AS reach_trend, {TREND('x', 'total_engagement')} AS engagement_trend,
+  {TREND('x', 'total_followers')} AS follower_trend
+FROM l4
+""")
+
+SQL["platform_growth"] = _q(f""",
+pw AS (SELECT platform, year_week, CAST(sum(reach) AS BIGINT) AS reach, CAST(sum(followers_gained) AS BIGINT) AS followers
+       FROM posts WHERE published_at IS NOT NULL AND year_week <> 'Unknown' GROUP BY platform, year_week),
+tot AS (SELECT platform, count(*) AS n_weeks, CAST(sum(followers) AS BIGINT) AS total_followers_gained,
+               arg_max(reach, year_week) AS latest_week_reach FROM pw GROUP BY platform),
+l AS (SELECT *, row_number() OVER (PARTITION BY platform ORDER BY year_week DESC) AS rd FROM pw),
+l4 AS (SELECT *, CAST(count(*) OVER (PARTITION BY platform) - rd AS DOUBLE) AS x FROM l WHERE rd <= 4),
+tr AS (SELECT platform, {TREND('x', 'reach')} AS reach_trend FROM l4 GROUP BY platform)
+SELECT tot.platform, latest_week_reach, reach_trend, total_followers_gained, n_weeks
+FROM tot JOIN tr USING (platform) WHERE n_weeks >= 2
+""")
+
+SQL["trend_label"] = _q(WEEKLY + f""",
+x AS (SELECT *, CAST(row_number() OVER (ORDER BY year_week) - 1 AS DOUBLE) AS xx FROM wk),
+lg AS (SELECT xx, 'total_reach' AS metric, CAST(total_reach AS DOUBLE) AS value FROM x
+       UNION ALL SELECT xx, 'total_engagement', CAST(total_engagement AS DOUBLE) FROM x
+       UNION ALL SELECT xx, 'total_followers', CAST(total_followers AS DOUBLE) FROM x
+       UNION ALL SELECT xx, 'post_count', CAST(post_count AS DOUBLE) FROM x)
+SELECT metric, {TREND('xx', 'value')} AS trend, count(*) AS n_weeks FROM lg GROUP BY metric
+""")
+
+SQL["weekly_series_monday"] = _q("""
+SELECT CAST(date_trunc('week', ts_kst) AS DATE) AS week_start, CAST(sum(reach) AS BIGINT) AS total_reach,
+  CAST(sum(engagement_total) AS BIGINT) AS total_engagement, CAST(sum(followers_gained) AS BIGINT) AS total_followers,
+  count(post_id) AS post_count, round(avg(engagement_rate), 4) AS avg_engagement_rate
+FROM posts WHERE published_at IS NOT NULL GROUP BY 1
+""")
+
+FPARAMS = """,
+d AS (SELECT * FROM posts WHERE published_at IS NOT NULL),
+s0 AS (SELECT 'ALL' AS scope, * FROM d UNION ALL SELECT platform AS scope, * FROM d),
+ok AS (SELECT scope FROM s0 GROUP BY scope HAVING count(*) >= 7),
+wk AS (SELECT scope, CAST(date_trunc('week', ts_kst) AS DATE) AS week_start, CAST(sum(reach) AS DOUBLE) AS reach,
+              CAST(sum(engagement_total) AS DOUBLE) AS engagement, CAST(sum(followers_gained) AS DOUBLE) AS followers
+       FROM s0 WHERE scope IN (SELECT scope FROM ok) GROUP BY 1, 2),
+lg AS (SELECT scope, week_start, 'reach' AS metric, reach AS y FROM wk
+       UNION ALL SELECT scope, week_start, 'engagement', engagement FROM wk
+       UNION ALL SELECT scope, week_start, 'followers', followers FROM wk),
+lx AS (SELECT *, CAST(row_number() OVER (PARTITION BY scope, metric ORDER BY week_start) - 1 AS DOUBLE) AS x,
+              count(*) OVER (PARTITION BY scope, metric) AS n FROM lg),
+g AS (SELECT scope, metric, count(*) AS historical_weeks, regr_slope(y, x) AS sl, regr_intercept(y, x) AS ic,
+             avg(y) AS mn, avg(CASE WHEN x >= n - 4 THEN y END) AS ma, max(week_start) AS last_week
+      FROM lx GROUP BY scope, metric),
+fp AS (SELECT scope, metric, historical_weeks, last_week,
+         CASE WHEN historical_weeks >= 3 THEN coalesce(sl, 0.0) ELSE 0.0 END AS slope,
+         CASE WHEN historical_weeks >= 3 THEN coalesce(ic, mn) ELSE mn END AS intercept,
+         ma AS moving_avg
+       FROM g WHERE historical_weeks >= 4)
+"""
+
+SQL["forecast_params"] = _q(FPARAMS + """
+SELECT scope, metric, historical_weeks, last_week, round(slope, 4) AS slope, round(intercept, 4) AS intercept,
+  round(moving_avg, 4) AS moving_avg, CAST(round_even(moving_avg, 0) AS BIGINT) AS current_weekly_avg,
+  CASE WHEN slope > 0 THEN 'up' WHEN slope < 0 THEN 'down' ELSE 'flat' END AS trend_direction,
+  round(slope / CASE WHEN moving_avg <> 0 THEN moving_avg ELSE 1.0 END, 4) AS weekly_change_rate
+FROM fp
+""")
+
+FCAST = """,
+fc0 AS (SELECT fp.*, CAST(unnest(range(1, 5)) AS INTEGER) AS i FROM fp),
+fc AS (SELECT scope, metric, i, CAST(last_week + 7 * i AS DATE) AS week,
+         greatest(0.0, 0.6 * (slope * (historical_weeks + i) + intercept) + 0.4 * moving_avg) AS b FROM fc0)
+"""
+
+SQL["stat_forecast"] = _q(FPARAMS + FCAST + """
+SELECT scope, metric, i, week, CAST(round_even(b, 0) AS BIGINT) AS predicted,
+  CAST(round_even(b * 0.8, 0) AS BIGINT) AS lower_bound, CAST(round_even(b * 1.2, 0) AS BIGINT) AS upper_bound
+FROM fc
+""")
+
+SQL["forecast_summary"] = _q(FPARAMS + FCAST + """,
+last AS (SELECT scope, metric, arg_max(CAST(round_even(b, 0) AS BIGINT), i) AS final, count(*) AS k FROM fc GROUP BY 1, 2),
+j AS (SELECT fp.*, last.final, last.k,
+        (last.final - fp.moving_avg) / (CASE WHEN fp.moving_avg <> 0 THEN fp.moving_avg ELSE 1.0 END) * 100 AS ch
+      FROM fp LEFT JOIN last USING (scope, metric))
+SELECT scope, metric, CASE WHEN final IS NULL THEN 'Insufficient data for forecast.' ELSE
+  'Weekly ' || metric || ' is expected to ' ||
+  (CASE WHEN ch > 5 THEN 'increase' WHEN ch < -5 THEN 'decrease' ELSE 'remain stable' END) ||
+  ' over the next ' || CAST(k AS VARCHAR) || ' weeks. Current avg: ' || format('{:,.0f}', moving_avg) ||
+  ', Projected: ' || format('{:,.0f}', CAST(final AS DOUBLE)) || ' (' || (CASE WHEN ch >= 0 THEN '+' ELSE '' END) ||
+  printf('%.1f', ch) || '%).' END AS summary
+FROM j
+""")
+
+SQL["health"] = _q(FPARAMS + """
+SELECT scope, CASE WHEN avg(sign(slope)) > 0.5 THEN 'strong_growth' WHEN avg(sign(slope)) > -0.5 THEN 'stable'
+  ELSE 'needs_attention' END AS status, round(avg(sign(slope)), 2) AS signal_score
+FROM fp GROUP BY scope
+""")
+
+SQL["weekly_dense_90d"] = _q(""",
+d AS (SELECT platform, CAST(ts_kst AS DATE) + CAST(7 - isodow(ts_kst) AS INTEGER) AS week_end, reach, engagement_total
+      FROM posts WHERE published_at IS NOT NULL),
+agg AS (SELECT platform, week_end, CAST(sum(reach) AS BIGINT) AS reach, CAST(sum(engagement_total) AS BIGINT) AS engagement
+        FROM d GROUP BY 1, 2),
+span AS (SELECT platform, min(week_end) AS a, max(week_end) AS b FROM agg GROUP BY 1),
+spine AS (SELECT platform, b, CAST(unnest(generate_series(a, b, INTERVAL 7 DAY)) AS DATE) AS week_end FROM span),
+o AS (SELECT s.platform, s.week_end, coalesce(agg.reach, 0) AS reach, coalesce(agg.engagement, 0) AS engagement
+      FROM spine s LEFT JOIN agg ON s.platform = agg.platform AND s.week_end = agg.week_end
+      WHERE s.week_end >= s.b - 90)
+SELECT * FROM o WHERE platform IN (SELECT platform FROM o GROUP BY platform HAVING count(*) >= 2)
+""")
+
+# ---------------------------------------------------------------------------
+# Scoring and anomalies
+# ---------------------------------------------------------------------------
+NEWEST = "published_at DESC NULLS LAST, platform, post_id"
+
+SQL["viral_posts"] = _q(f""",
+m AS (SELECT platform, avg(engagement_total) AS me FROM posts GROUP BY platform
+      HAVING count(*) >= 5 AND avg(engagement_total) <> 0),
+c AS (SELECT p.*, m.me FROM posts p JOIN m USING (platform) WHERE engagement_total >= me * 2.5),
+r AS (SELECT *, row_number() OVER (PARTITION BY platform ORDER BY {NEWEST}) AS rn FROM c)
+SELECT platform, post_id, content_type, engagement_total AS engagement, reach, round(engagement_total / me, 1) AS multiplier,
+  strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at, permalink FROM r WHERE rn <= 5
+""")
+
+SQL["underperformers"] = _q(f""",
+m AS (SELECT platform, avg(engagement_total) AS me, avg(reach) AS mr FROM posts GROUP BY platform
+      HAVING count(*) >= 5 AND avg(engagement_total) <> 0 AND avg(reach) > 0),
+c AS (SELECT p.*, m.me, m.mr FROM posts p JOIN m USING (platform)
+      WHERE engagement_total <= me * 0.3 AND reach >= mr * 0.5),
+r AS (SELECT *, row_number() OVER (PARTITION BY platform ORDER BY {NEWEST}) AS rn FROM c)
+SELECT platform, post_id, content_type, engagement_total AS engagement, reach, round(engagement_rate, 4) AS engagement_rate,
+  strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at FROM r WHERE rn <= 5
+""")
+
+SCORED = """,
+raw AS (SELECT *, CAST(reach AS DOUBLE) AS r1, CAST(engagement_total AS DOUBLE) AS r2,
+          CAST(likes AS DOUBLE) * 1.0 + CAST(comments AS DOUBLE) * 3.0 + CAST(shares AS DOUBLE) * 5.0
+            + CAST(saves AS DOUBLE) * 4.0 + CAST(link_clicks AS DOUBLE) * 2.0 AS r3,
+          engagement_rate AS r4, CAST(followers_gained AS DOUBLE) AS r5 FROM posts),
+st AS (SELECT min(r1) a1, max(r1) b1, min(r2) a2, max(r2) b2, min(r3) a3, max(r3) b3, min(r4) a4, max(r4) b4,
+              min(r5) a5, max(r5) b5, count(*) AS n FROM raw),
+nz AS (SELECT raw.*,
+  CASE WHEN b1 = a1 THEN 0.5 ELSE (r1 - a1) / (b1 - a1) END AS reach_score,
+  CASE WHEN b2 = a2 THEN 0.5 ELSE (r2 - a2) / (b2 - a2) END AS engagement_score,
+  CASE WHEN b3 = a3 THEN 0.5 ELSE (r3 - a3) / (b3 - a3) END AS quality_score,
+  CASE WHEN b4 = a4 THEN 0.5 ELSE (r4 - a4) / (b4 - a4) END AS efficiency_score,
+  CASE WHEN b5 = a5 THEN 0.5 ELSE (r5 - a5) / (b5 - a5) END AS growth_score, st.n
+  FROM raw CROSS JOIN st),
+sc AS (SELECT *, round((reach_score * 0.2 + engagement_score * 0.25 + quality_score * 0.25 + efficiency_score * 0.2
+                        + growth_score * 0.1) * 100, 1) AS composite_score FROM nz WHERE n >= 3),
+scored AS (SELECT *, CASE WHEN composite_score >= 70 THEN 'A+' WHEN composite_score >= 55 THEN 'A'
+    WHEN composite_score >= 40 THEN 'B+' WHEN composite_score >= 30 THEN 'B' WHEN composite_score >= 20 THEN 'C+'
+    WHEN composite_score >= 12 THEN 'C' WHEN composite_score >= 6 THEN 'D' ELSE 'F' END AS grade FROM sc)
+"""
+
+SQL["scored_posts"] = _q(SCORED + """
+SELECT post_id, platform, content_type, round(reach_score, 6) AS reach_score, round(engagement_score, 6) AS engagement_score,
+  round(quality_score, 6) AS quality_score, round(efficiency_score, 6) AS efficiency_score,
+  round(growth_score, 6) AS growth_score, composite_score, grade FROM scored
+""")
+
+SQL["scores_by_type"] = _q(SCORED + """
+SELECT content_type, round(avg(composite_score), 1) AS avg_score, round(quantile_cont(composite_score, 0.5), 1) AS median_score,
+  round(max(composite_score), 1) AS best_score, round(min(composite_score), 1) AS worst_score, count(composite_score) AS count
+FROM scored GROUP BY content_type
+""")
+
+SQL["scores_by_platform"] = _q(SCORED + """
+SELECT platform, round(avg(composite_score), 1) AS avg_score, round(max(composite_score), 1) AS best_score,
+  count(composite_score) AS count FROM scored GROUP BY platform
+""")
+
+SQL["top_scored"] = _q(SCORED + f"""
+SELECT CAST(row_number() OVER (ORDER BY composite_score DESC, {NEWEST}) AS INTEGER) AS rank, post_id, platform, content_type,
+  composite_score AS score, grade, reach, engagement_total AS engagement,
+  strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at, permalink
+FROM scored ORDER BY composite_score DESC, {NEWEST} LIMIT 10
+""")
+
+EXP_STATS = """count(*) AS n, quantile_cont(reach, 0.5) AS reach_med, quantile_cont(engagement_total, 0.5) AS eng_med,
+  quantile_cont(engagement_rate, 0.5) AS rate_med, quantile_cont(likes, 0.5) AS likes_med,
+  quantile_cont(comments, 0.5) AS comments_med, quantile_cont(shares, 0.5) AS shares_med,
+  quantile_cont(reach, 0.25) AS q25, quantile_cont(reach, 0.75) AS q75"""
+
+SQL["expected_performance"] = _q(f""",
+pr AS (SELECT content_type, platform, {EXP_STATS} FROM posts GROUP BY content_type, platform),
+pl AS (SELECT platform, {EXP_STATS} FROM posts GROUP BY platform),
+j AS (SELECT pr.content_type, pr.platform, pr.n >= 3 AS up,
+        CASE WHEN pr.n >= 3 THEN pr.n ELSE pl.n END AS n,
+        CASE WHEN pr.n >= 3 THEN pr.reach_med ELSE pl.reach_med END AS reach_med,
+        CASE WHEN pr.n >= 3 THEN pr.eng_med ELSE pl.eng_med END AS eng_med,
+        CASE WHEN pr.n >= 3 THEN pr.rate_med ELSE pl.rate_med END AS rate_med,
+        CASE WHEN pr.n >= 3 THEN pr.likes_med ELSE pl.likes_med END AS likes_med,
+        CASE WHEN pr.n >= 3 THEN pr.comments_med ELSE pl.comments_med END AS comments_med,
+        CASE WHEN pr.n >= 3 THEN pr.shares_med ELSE pl.shares_med END AS shares_med,
+        CASE WHEN pr.n >= 3 THEN pr.q25 ELSE pl.q25 END AS q25,
+        CASE WHEN pr.n >= 3 THEN pr.q75 ELSE pl.q75 END AS q75
+      FROM pr JOIN pl USING (platform))
+SELECT content_type, platform, CAST(trunc(reach_med) AS BIGINT) AS expected_reach,
+  CAST(trunc(eng_med) AS BIGINT) AS expected_engagement, round(rate_med, 4) AS expected_engagement_rate,
+  CAST(trunc(likes_med) AS BIGINT) AS expected_likes, CAST(trunc(comments_med) AS BIGINT) AS expected_comments,
+  CAST(trunc(shares_med) AS BIGINT) AS expected_shares, CAST(trunc(q75) AS BIGINT) AS optimistic_reach,
+  CAST(trunc(q25) AS BIGINT) AS pessimistic_reach,
+  CASE WHEN n >= 20 THEN 'high' WHEN n >= 10 THEN 'medium' ELSE 'low' END AS confidence,
+  n AS based_on_posts, CASE WHEN up THEN 'content_type' ELSE 'platform' END AS basis
+FROM j WHERE n >= 3
+""")
+
+SQL["seasonal_index"] = _q(FPARAMS.replace("fp AS (", "fp_unused AS (") + """,
+nn AS (SELECT scope, metric, count(*) AS n, avg(y) AS m FROM lg GROUP BY 1, 2),
+wy AS (SELECT scope, metric, CAST(week(week_start) AS INTEGER) AS woy, avg(y) AS wm FROM lg GROUP BY 1, 2, 3)
+SELECT wy.scope, wy.metric, woy, round(wm / CASE WHEN m <> 0 THEN m END, 4) AS seasonal_index
+FROM wy JOIN nn USING (scope, metric) WHERE n >= 52
+""")

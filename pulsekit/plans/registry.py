@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsekit.operators import kpi
+from pulsekit.operators import growth, kpi, scoring, temporal
 from pulsekit.sources.testdata import posts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,4 +37,35 @@ QUERIES: dict[str, Query] = {
     "content_unweighted": _on_posts(kpi.content_unweighted),
     "mix_unpivot": _on_posts(kpi.mix_unpivot),
     "cross_platform_table": _on_posts(lambda p: kpi.cross_platform_table(kpi.platform_overview(p))),
+    # temporal
+    "hourly_profile": _on_posts(temporal.hourly_profile),
+    "daily_profile": _on_posts(temporal.daily_profile),
+    "best_times_platform": _on_posts(temporal.best_times_platform),
+    "heatmap_pivot": _on_posts(temporal.heatmap_pivot),
+    "weekly_schedule": _on_posts(temporal.weekly_schedule),
+    "schedule_days": _on_posts(temporal.schedule_days),
+    "top5_slots": _on_posts(temporal.top5_slots),
+    "avoid_slots": _on_posts(temporal.avoid_slots),
+    "next_best_time": _on_posts(temporal.next_best_time),
+    # growth
+    "weekly_rollup": _on_posts(growth.weekly_rollup),
+    "weekly_growth": _on_posts(growth.weekly_growth),
+    "trajectory": _on_posts(growth.trajectory),
+    "platform_growth": _on_posts(growth.platform_growth),
+    "trend_label": _on_posts(growth.trend_label),
+    "weekly_series_monday": _on_posts(growth.weekly_series_monday),
+    "forecast_params": _on_posts(growth.forecast_params_view),
+    "stat_forecast": _on_posts(growth.stat_forecast),
+    "forecast_summary": _on_posts(growth.forecast_summary),
+    "health": _on_posts(growth.health),
+    "weekly_dense_90d": _on_posts(growth.weekly_dense_90d),
+    "seasonal_index": _on_posts(growth.seasonal_index),
+    # scoring
+    "viral_posts": _on_posts(scoring.viral_posts),
+    "underperformers": _on_posts(scoring.underperformers),
+    "scored_posts": _on_posts(scoring.scored_posts_view),
+    "scores_by_type": _on_posts(scoring.scores_by_type),
+    "scores_by_platform": _on_posts(scoring.scores_by_platform),
+    "top_scored": _on_posts(scoring.top_scored),
+    "expected_performance": _on_posts(scoring.expected_performance),
 }
