@@ -576,3 +576,142 @@ wy AS (SELECT scope, metric, CAST(week(week_start) AS INTEGER) AS woy, avg(y) AS
 SELECT wy.scope, wy.metric, woy, round(wm / CASE WHEN m <> 0 THEN m END, 4) AS seasonal_index
 FROM wy JOIN nn USING (scope, metric) WHERE n >= 52
 """)
+
+# ---------------------------------------------------------------------------
+# Account daily (A1–A9, J2, J3, F5, F6), history
+# ---------------------------------------------------------------------------
+SERIES = """
+WITH ev AS (
+  SELECT CAST(ts AS DATE) AS date, user_id,
+    CASE WHEN CAST(floor(user_id / 7) AS BIGINT) % 2 = 0 THEN 'instagram' ELSE 'tiktok' END AS platform,
+    CASE event_type WHEN 'view' THEN 'views' WHEN 'signup' THEN 'follows' WHEN 'click' THEN 'interactions'
+      WHEN 'purchase' THEN 'link_clicks' WHEN 'error' THEN 'visits' END AS metric,
+    CAST(CASE WHEN event_type = 'view' THEN floor(value) ELSE 1 END AS BIGINT) AS v
+  FROM events),
+series AS (
+  SELECT platform, metric, date, CAST(sum(v) AS BIGINT) AS value FROM ev WHERE metric IS NOT NULL GROUP BY platform, metric, date
+  UNION ALL SELECT platform, 'reach', date, count(DISTINCT user_id) FROM ev GROUP BY platform, date)
+"""
+METRIC_COLS = ["follows", "interactions", "link_clicks", "views", "visits", "reach"]
+
+
+def DENSE(src: str, name: str) -> str:
+    pv = ", ".join(f"sum(CASE WHEN metric = '{m}' THEN value END) AS {m}" for m in METRIC_COLS)
+    co = ", ".join(f"CAST(coalesce(w.{m}, 0) AS BIGINT) AS {m}" for m in METRIC_COLS)
+    return f""",
+{name}_span AS (SELECT platform, min(date) AS lo, max(date) AS hi FROM {src} GROUP BY platform),
+{name}_spine AS (SELECT platform, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM {name}_span),
+{name}_wide AS (SELECT platform, date, {pv} FROM {src} GROUP BY platform, date),
+{name} AS (SELECT s.platform, s.date, {co} FROM {name}_spine s LEFT JOIN {name}_wide w
+           ON s.platform = w.platform AND s.date = w.date)
+"""
+
+
+ROLL = ", ".join(f"round_even(avg({c}) OVER w7, 1) AS {c}_7d_avg" for c in ["follows", "reach", "views", "interactions", "visits"])
+DAILY = SERIES + DENSE("series", "dense") + f""",
+daily AS (
+  SELECT *, CAST(sum(follows) OVER (PARTITION BY platform ORDER BY date ROWS UNBOUNDED PRECEDING) AS BIGINT) AS follower_count,
+    CASE WHEN reach > 0 THEN round(interactions / reach, 4) ELSE 0.0 END AS engagement_rate_daily,
+    {ROLL}, CAST(week(date) AS INTEGER) AS week, strftime(date, '%Y-W%U') AS year_week
+  FROM dense WINDOW w7 AS (PARTITION BY platform ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))
+"""
+
+SQL["account_daily_dense"] = SERIES + DENSE("series", "dense") + "SELECT * FROM dense"
+SQL["account_rate"] = DAILY + "SELECT platform, date, engagement_rate_daily FROM daily"
+SQL["rolling_7d"] = DAILY + ("SELECT platform, date, follows_7d_avg, reach_7d_avg, views_7d_avg, interactions_7d_avg, "
+                             "visits_7d_avg FROM daily")
+SQL["week_columns"] = DAILY + "SELECT platform, date, week, year_week FROM daily"
+
+SQL["trim_nonzero"] = DAILY + """,
+c AS (SELECT daily.* FROM daily JOIN (SELECT platform, max(date) AS l FROM daily GROUP BY platform) m USING (platform)
+      WHERE date >= l - 90),
+sm AS (SELECT platform, sum(reach) sr, sum(views) sv, sum(follows) sf, sum(interactions) si, sum(visits) svi,
+              sum(follower_count) sfc FROM c GROUP BY platform),
+nz AS (SELECT c.*, (sr > 0 AND reach <> 0) OR (sv > 0 AND views <> 0) OR (sf > 0 AND follows <> 0)
+                 OR (si > 0 AND interactions <> 0) OR (svi > 0 AND visits <> 0) OR (sfc > 0 AND follower_count <> 0) AS nzf
+       FROM c JOIN sm USING (platform)),
+b AS (SELECT platform, min(CASE WHEN nzf THEN date END) AS a, max(CASE WHEN nzf THEN date END) AS bb FROM nz GROUP BY platform)
+SELECT nz.platform, date, reach, views, follows, follower_count FROM nz JOIN b USING (platform)
+WHERE a IS NULL OR date BETWEEN a AND bb
+"""
+
+SQL["account_kpis"] = DAILY + """
+SELECT platform, CAST(sum(reach) AS BIGINT) AS total_reach, CAST(sum(views) AS BIGINT) AS total_views,
+  CAST(sum(follows) AS BIGINT) AS total_follows, CAST(sum(interactions) AS BIGINT) AS total_interactions,
+  CAST(sum(visits) AS BIGINT) AS total_visits, CAST(sum(link_clicks) AS BIGINT) AS total_link_clicks,
+  arg_max(follower_count, date) FILTER (WHERE follower_count > 0) AS follower_count, count(*) AS days
+FROM daily GROUP BY platform
+"""
+
+SQL["followers_fallback"] = POSTS + DAILY.replace("\nWITH ev AS (", ",\nev AS (", 1) + """,
+p AS (SELECT platform, CAST(sum(followers_gained) AS BIGINT) AS pf FROM posts GROUP BY platform),
+dd AS (SELECT platform, CAST(sum(follows) AS BIGINT) AS df FROM daily GROUP BY platform)
+SELECT coalesce(p.platform, dd.platform) AS platform,
+  CASE WHEN coalesce(pf, 0) > 0 THEN pf WHEN df IS NOT NULL THEN df ELSE coalesce(pf, 0) END AS followers_gained,
+  CASE WHEN coalesce(pf, 0) > 0 THEN 'posts' WHEN df IS NOT NULL THEN 'account_daily' ELSE 'posts' END AS source
+FROM p FULL OUTER JOIN dd ON p.platform = dd.platform
+"""
+
+SQL["combine_first"] = DAILY + """,
+r AS (SELECT *, CASE platform WHEN 'instagram' THEN 1 WHEN 'tiktok' THEN 2 ELSE 3 END AS rk FROM daily)
+SELECT date, arg_min(views, rk) FILTER (WHERE views IS NOT NULL) AS views,
+  arg_min(reach, rk) FILTER (WHERE reach IS NOT NULL) AS reach,
+  arg_min(follows, rk) FILTER (WHERE follows IS NOT NULL) AS follows,
+  arg_min(follower_count, rk) FILTER (WHERE follower_count IS NOT NULL) AS follower_count
+FROM r GROUP BY date
+"""
+
+SQL["hourly_activity"] = """
+WITH per AS (
+  SELECT CASE WHEN CAST(floor(user_id / 7) AS BIGINT) % 2 = 0 THEN 'instagram' ELSE 'tiktok' END AS platform,
+    CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour, count(DISTINCT user_id) AS active
+  FROM events GROUP BY 1, 2, 3),
+h AS (SELECT platform, hour, CAST(round_even(avg(active), 0) AS BIGINT) AS avg_active FROM per GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY platform ORDER BY avg_active DESC, hour) AS rr FROM h)
+SELECT platform, hour, avg_active, CASE WHEN rr <= 3 THEN CAST(rr AS INTEGER) END AS peak_rank FROM r
+WHERE avg_active > 0 OR rr <= 3
+"""
+
+SQL["upsert_daily"] = SERIES + """,
+sp AS (SELECT min(date) AS lo, max(date) AS hi FROM series),
+md AS (SELECT CAST(lo + CAST(trunc(datediff('day', lo, hi) / 2) AS INTEGER) AS DATE) AS mid FROM sp),
+s1 AS (SELECT series.* FROM series CROSS JOIN md WHERE date < mid + 7),
+s2 AS (SELECT series.* FROM series CROSS JOIN md WHERE date >= mid)
+""" + DENSE("s1", "e1") + DENSE("s2", "e2") + """,
+u AS (SELECT *, 0 AS src FROM e1 UNION ALL SELECT *, 1 AS src FROM e2),
+r AS (SELECT *, row_number() OVER (PARTITION BY platform, date ORDER BY src DESC) AS rn FROM u)
+SELECT platform, date, follows, interactions, link_clicks, views, visits, reach FROM r WHERE rn = 1
+"""
+
+SQL["upsert_posts"] = POSTS + """,
+nw AS (SELECT max(published_at) AS now_ts FROM raw_posts),
+hist AS (SELECT r.*, TIMESTAMP '2020-01-01 00:00:00' AS ing, 0 AS src FROM raw_posts r CROSS JOIN nw
+         WHERE published_at IS NULL OR published_at < now_ts - INTERVAL 30 DAY),
+nb0 AS (SELECT r.* REPLACE (likes + 1 AS likes) FROM raw_posts r CROSS JOIN nw WHERE published_at >= now_ts - INTERVAL 120 DAY),
+nb AS (SELECT nb0.* REPLACE (likes + comments + shares + saves AS engagement_total,
+         least(CASE WHEN reach > 0 THEN CAST(likes + comments + shares + saves AS DOUBLE) / reach ELSE 0.0 END, 1.0) AS engagement_rate),
+         TIMESTAMP '2026-01-01 00:00:00' AS ing, 1 AS src FROM nb0),
+u AS (SELECT * FROM hist UNION ALL BY NAME SELECT * FROM nb),
+r AS (SELECT *, row_number() OVER (PARTITION BY platform, post_id ORDER BY ing DESC, src DESC) AS rn FROM u)
+SELECT post_id, platform, likes, engagement_total, round(engagement_rate, 6) AS engagement_rate,
+  strftime(ing, '%Y-%m-%d %H:%M:%S') AS ingested_at FROM r WHERE rn = 1
+"""
+
+SQL["cleanup_posts"] = POSTS + """
+SELECT post_id, platform, likes + comments + shares + saves AS engagement_total,
+  round(least(CASE WHEN reach > 0 THEN CAST(likes + comments + shares + saves AS DOUBLE) / reach ELSE 0.0 END, 1.0), 6) AS engagement_rate,
+  CAST(length(coalesce(title, '')) AS INTEGER) AS title_chars
+FROM raw_posts
+WHERE published_at IS NULL OR published_at >= (CASE platform WHEN 'instagram' THEN TIMESTAMP '1996-01-01'
+  WHEN 'tiktok' THEN TIMESTAMP '1997-06-01' WHEN 'youtube' THEN TIMESTAMP '1995-01-01'
+  WHEN 'facebook' THEN TIMESTAMP '1995-01-01' END) - INTERVAL 9 HOUR
+"""
+
+SQL["union_missing_cols"] = POSTS + """
+SELECT post_id, platform, reach, likes, comments,
+  CASE WHEN platform IN ('instagram', 'facebook', 'tiktok') THEN shares ELSE 0 END AS shares,
+  CASE WHEN platform = 'instagram' THEN saves ELSE 0 END AS saves,
+  CASE WHEN platform = 'youtube' THEN watch_time_sec ELSE 0 END AS watch_time_sec,
+  CASE WHEN platform = 'facebook' THEN link_clicks ELSE 0 END AS link_clicks
+FROM raw_posts
+"""

@@ -69,3 +69,86 @@ QUERIES: dict[str, Query] = {
     "top_scored": _on_posts(scoring.top_scored),
     "expected_performance": _on_posts(scoring.expected_performance),
 }
+
+
+# ---------------------------------------------------------------------------
+# Account daily (A1–A9, J2, J3, F5, F6) over the events-derived series
+# ---------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from pulsekit.operators import account, history  # noqa: E402
+from pulsekit.sources.testdata import account_series, raw_posts, table  # noqa: E402
+
+
+def _daily(spark, sf_dir):
+    return account.account_daily(account_series(spark, sf_dir))
+
+
+def _export_windows(spark, sf_dir):
+    """Two overlapping weekly-style exports of the same account series: the
+    first up to 7 days past the midpoint of the event span, the second from
+    the midpoint on.  Together they cover every event."""
+    s = account_series(spark, sf_dir)
+    span = s.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+    mid = F.date_add(span.getField("lo"), (F.datediff(span.getField("hi"), span.getField("lo")) / 2).cast("int"))
+    first = s.where(F.col("date") < F.date_add(mid, 7))
+    second = s.where(F.col("date") >= mid)
+    return account.daily_dense(first), account.daily_dense(second)
+
+
+def _upsert_daily(spark, sf_dir):
+    a, b = _export_windows(spark, sf_dir)
+    return history.upsert_daily(a, b)
+
+
+# Platform start dates matching the span of the test tables (the reference's
+# own dates, 2025/2026, post-date every order in them).
+TEST_PLATFORM_START = {"instagram": "1996-01-01", "tiktok": "1997-06-01",
+                       "youtube": "1995-01-01", "facebook": "1995-01-01"}
+
+
+def _upsert_posts(spark, sf_dir):
+    p = raw_posts(spark, sf_dir)
+    now = p.select(F.max("published_at")).scalar()
+    hist = p.where(F.col("published_at").isNull() | (F.col("published_at") < now - F.expr("INTERVAL 30 DAYS")))
+    new = (p.where(F.col("published_at") >= now - F.expr("INTERVAL 120 DAYS"))
+           .withColumn("likes", F.col("likes") + 1))
+    new = history.sanitize_metrics(new)
+    m = history.upsert_posts(hist, new, ingested_at="2026-01-01 00:00:00")
+    return m.select("post_id", "platform", "likes", "engagement_total", F.round("engagement_rate", 6).alias("engagement_rate"),
+                    F.date_format("_ingested_at", "yyyy-MM-dd HH:mm:ss").alias("ingested_at"))
+
+
+def _cleanup_posts(spark, sf_dir):
+    c = history.cleanup(raw_posts(spark, sf_dir), TEST_PLATFORM_START)
+    return c.select("post_id", "platform", "engagement_total", F.round("engagement_rate", 6).alias("engagement_rate"),
+                    F.length("title").alias("title_chars"))
+
+
+def _union_missing(spark, sf_dir):
+    p = raw_posts(spark, sf_dir)
+    base = ["post_id", "platform", "reach", "likes", "comments"]
+    frames = [p.where(F.col("platform") == "instagram").select(*base, "shares", "saves"),
+              p.where(F.col("platform") == "youtube").select(*base, "watch_time_sec"),
+              p.where(F.col("platform") == "facebook").select(*base, "shares", "link_clicks"),
+              p.where(F.col("platform") == "tiktok").select(*base, "shares")]
+    return history.union_missing(frames, fill_zero=["shares", "saves", "watch_time_sec", "link_clicks"])
+
+
+QUERIES.update({
+    "account_daily_dense": lambda s, d: account.daily_dense(account_series(s, d)),
+    "account_rate": lambda s, d: _daily(s, d).select("platform", "date", "engagement_rate_daily"),
+    "rolling_7d": lambda s, d: _daily(s, d).select("platform", "date", *[f"{c}_7d_avg" for c in account.ROLLING]),
+    "week_columns": lambda s, d: _daily(s, d).select("platform", "date", "week", "year_week"),
+    "trim_nonzero": lambda s, d: account.trim_nonzero(account.clip_90d(_daily(s, d))).select(
+        "platform", "date", "reach", "views", "follows", "follower_count"),
+    "account_kpis": lambda s, d: account.account_kpis(_daily(s, d)),
+    "followers_fallback": lambda s, d: account.followers_fallback(posts(s, d), _daily(s, d)),
+    "combine_first": lambda s, d: account.combine_first(
+        _daily(s, d).select("platform", "date", "views", "reach", "follows", "follower_count"), ["instagram", "tiktok"]),
+    "hourly_activity": lambda s, d: account.hourly_activity(table(s, d, "events")),
+    "upsert_daily": _upsert_daily,
+    "upsert_posts": _upsert_posts,
+    "cleanup_posts": _cleanup_posts,
+    "union_missing_cols": _union_missing,
+})
