@@ -715,3 +715,184 @@ SELECT post_id, platform, reach, likes, comments,
   CASE WHEN platform = 'facebook' THEN link_clicks ELSE 0 END AS link_clicks
 FROM raw_posts
 """
+
+# ---------------------------------------------------------------------------
+# Text and trend analytics
+# ---------------------------------------------------------------------------
+from pulsekit.operators.text import default_stop_words  # noqa: E402
+
+
+def _sql_list(words) -> str:
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+
+FEATS = """,
+feat AS (SELECT post_id, platform, content_type,
+  coalesce(CAST(hour(ts_kst) AS INTEGER), 0) AS hour, coalesce(CAST(isodow(ts_kst) - 1 AS INTEGER), 0) AS day_of_week,
+  CASE WHEN coalesce(isodow(ts_kst) - 1, 0) >= 5 THEN 1 ELSE 0 END AS is_weekend,
+  CAST(length(coalesce(title, '')) AS INTEGER) AS caption_length,
+  CAST(len(regexp_extract_all(coalesce(title, ''), '#[\\p{L}\\p{N}_]+')) AS INTEGER) AS hashtag_count,
+  CASE WHEN regexp_matches(coalesce(title, ''), '[\\x{1F600}-\\x{1F9FF}\\x{2600}-\\x{27BF}\\x{1F300}-\\x{1F5FF}]') THEN 1 ELSE 0 END AS has_emoji,
+  CASE WHEN regexp_matches(coalesce(title, ''), '[\\x{AC00}-\\x{D7AF}]') AND regexp_matches(coalesce(title, ''), '[a-zA-Z]') THEN 1 ELSE 0 END AS is_multilingual,
+  coalesce(duration_sec, 0) AS duration_sec, engagement_rate, weight, published_at
+  FROM posts)
+"""
+
+SQL["post_features"] = _q(FEATS + """
+SELECT post_id, platform, content_type, hour, day_of_week, is_weekend, caption_length, hashtag_count, has_emoji,
+  is_multilingual, duration_sec, round(engagement_rate, 6) AS engagement_rate, weight FROM feat
+""")
+
+SQL["term_lift"] = _q(f""",
+valid AS (SELECT platform, post_id, engagement_rate, lower(strip_accents(title)) AS t
+          FROM posts WHERE length(coalesce(title, '')) > 10),
+tot AS (SELECT platform, count(*) AS n_valid, sum(engagement_rate) AS sum_rate FROM valid GROUP BY platform HAVING count(*) >= 5),
+tk AS (SELECT platform, post_id, engagement_rate, unnest(regexp_extract_all(t, '[\\p{{L}}\\p{{N}}_]{{3,}}')) AS term FROM valid),
+tk2 AS (SELECT * FROM tk WHERE term NOT IN ({_sql_list(default_stop_words())})),
+tf AS (SELECT platform, term, count(*) AS tf FROM tk2 GROUP BY platform, term),
+dq AS (SELECT platform, term, count(*) AS posts_with_term, sum(engagement_rate) AS sw
+       FROM (SELECT DISTINCT platform, post_id, engagement_rate, term FROM tk2) GROUP BY platform, term),
+cand AS (SELECT dq.*, tf.tf FROM dq JOIN tf USING (platform, term) WHERE posts_with_term >= 2),
+top AS (SELECT *, CAST(row_number() OVER (PARTITION BY platform ORDER BY tf DESC, term) AS INTEGER) AS tf_rank FROM cand),
+j AS (SELECT top.*, tot.n_valid, tot.sum_rate, sw / posts_with_term AS wm,
+        (sum_rate - sw) / CASE WHEN n_valid - posts_with_term > 0 THEN n_valid - posts_with_term END AS wom
+      FROM top JOIN tot USING (platform) WHERE tf_rank <= 50),
+r AS (SELECT platform, term, posts_with_term, tf, tf_rank, round(wm, 4) AS avg_engagement_with,
+        round(wom, 4) AS avg_engagement_without, round(CASE WHEN wom > 0 THEN wm / wom - 1 ELSE 0.0 END, 4) AS engagement_lift FROM j)
+SELECT *, CAST(row_number() OVER (PARTITION BY platform ORDER BY engagement_lift DESC, term) AS INTEGER) AS lift_rank,
+  CAST(row_number() OVER (PARTITION BY platform ORDER BY engagement_lift ASC, term) AS INTEGER) AS low_rank,
+  starts_with(term, '#') AS is_hashtag
+FROM r
+""")
+
+SQL["driver_corr"] = _q(FEATS + """,
+n AS (SELECT platform, count(*) AS n FROM feat GROUP BY platform),
+rk AS (SELECT feat.*, n.n, row_number() OVER (PARTITION BY feat.platform ORDER BY engagement_rate DESC,
+         published_at DESC NULLS LAST, feat.platform, post_id) AS r FROM feat JOIN n USING (platform)),
+topk AS (SELECT platform, quantile_cont(caption_length, 0.5) AS ol, quantile_cont(hashtag_count, 0.5) AS ot
+         FROM rk WHERE r <= least(5, CAST(floor(n / 3) AS BIGINT)) GROUP BY platform),
+g AS (SELECT platform, count(*) AS n, corr(CAST(caption_length AS DOUBLE), engagement_rate) AS cl,
+        corr(CAST(hashtag_count AS DOUBLE), engagement_rate) AS ct, sum(hashtag_count) AS tags FROM feat GROUP BY platform)
+SELECT g.platform, round(cl, 4) AS length_correlation,
+  CASE WHEN cl > 0.1 THEN 'longer is better' WHEN cl < -0.1 THEN 'shorter is better' ELSE 'no strong effect' END AS length_direction,
+  printf('%d-%d characters', CAST(trunc(ol * 0.7) AS BIGINT), CAST(trunc(ol * 1.3) AS BIGINT)) AS optimal_range,
+  CASE WHEN tags > 0 THEN round(ct, 4) END AS hashtag_correlation,
+  CASE WHEN tags > 0 THEN CASE WHEN ct > 0.1 THEN 'more is better' WHEN ct < -0.1 THEN 'fewer is better' ELSE 'no strong effect' END END AS hashtag_direction,
+  CASE WHEN tags > 0 THEN CAST(trunc(ot) AS BIGINT) END AS optimal_hashtags
+FROM g LEFT JOIN topk USING (platform) WHERE g.n >= 10
+""")
+
+SQL["driver_lift"] = _q(FEATS + """,
+lg AS (SELECT platform, engagement_rate, weight, 'is_multilingual' AS factor, is_multilingual AS "on" FROM feat
+       UNION ALL SELECT platform, engagement_rate, weight, 'has_emoji', has_emoji FROM feat
+       UNION ALL SELECT platform, engagement_rate, weight, 'is_weekend', is_weekend FROM feat),
+g AS (SELECT platform, factor, CAST(sum("on") AS BIGINT) AS n_on, CAST(sum(1 - "on") AS BIGINT) AS n_off,
+        sum(CASE WHEN "on" = 1 THEN engagement_rate * weight END) / sum(CASE WHEN "on" = 1 THEN weight END) AS wi,
+        sum(CASE WHEN "on" = 0 THEN engagement_rate * weight END) / sum(CASE WHEN "on" = 0 THEN weight END) AS wo
+      FROM lg GROUP BY platform, factor)
+SELECT platform, factor, n_on, n_off, round(wi, 4) AS with_avg, round(wo, 4) AS without_avg,
+  round(CASE WHEN wo > 0 THEN wi / wo - 1 ELSE 0.0 END, 4) AS lift,
+  CASE WHEN factor = 'is_weekend' THEN (CASE WHEN wi > wo * 1.05 THEN 'weekend' WHEN wo > wi * 1.05 THEN 'weekday' ELSE 'no difference' END)
+       WHEN factor = 'is_multilingual' THEN (CASE WHEN wi > wo * 1.1 THEN 'Multilingual captions perform better'
+         WHEN wo > wi * 1.1 THEN 'Single-language captions perform better' ELSE 'No significant difference' END) END AS label
+FROM g WHERE n_on >= 2 AND n_off >= 2
+""")
+
+SQL["hashtag_perf"] = _q(""",
+tg AS (SELECT platform, engagement_rate, unnest(regexp_extract_all(coalesce(title, ''), '#([\\p{L}\\p{N}_]{2,})', 1)) AS tag FROM posts),
+g AS (SELECT platform, '#' || lower(tag) AS tag, count(*) AS post_count, round(avg(engagement_rate), 4) AS avg_engagement
+      FROM tg GROUP BY platform, '#' || lower(tag) HAVING count(*) >= 2),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY platform ORDER BY avg_engagement DESC, tag) AS INTEGER) AS rank FROM g)
+SELECT * FROM r WHERE rank <= 10
+""")
+
+DATED15 = """,
+dd AS (SELECT * FROM posts WHERE published_at IS NOT NULL),
+dp AS (SELECT * FROM dd WHERE platform IN (SELECT platform FROM dd GROUP BY platform HAVING count(*) >= {n}))
+"""
+
+SQL["content_fatigue"] = _q(DATED15.format(n=15) + """,
+info AS (SELECT platform, content_type, count(*) AS n, min(published_at) AS t0 FROM dp GROUP BY 1, 2 HAVING count(*) >= 5),
+m AS (SELECT dp.*, info.t0, info.n,
+        row_number() OVER (PARTITION BY dp.platform, dp.content_type ORDER BY published_at, post_id) <= info.n // 2 AS first_half,
+        (epoch_us(published_at) - epoch_us(info.t0)) / 86400e6 AS x
+      FROM dp JOIN info USING (platform, content_type)),
+g AS (SELECT platform, content_type, count(*) AS post_count, sum(weight) AS sw, sum(weight * x) AS swx,
+        sum(weight * engagement_rate) AS swy, sum(weight * x * x) AS swxx, sum(weight * x * engagement_rate) AS swxy,
+        avg(CASE WHEN first_half THEN engagement_rate END) AS older, avg(CASE WHEN NOT first_half THEN engagement_rate END) AS recent
+      FROM m GROUP BY 1, 2),
+s AS (SELECT *, CASE WHEN (swxx - swx * swx / sw) = 0 THEN 0.0 ELSE (swxy - swx * swy / sw) / (swxx - swx * swx / sw) END * 30 AS mc FROM g),
+o AS (SELECT platform, content_type, post_count,
+  CASE WHEN mc < -0.01 THEN 'declining' WHEN mc > 0.01 THEN 'growing' ELSE 'stable' END AS trend,
+  CASE WHEN mc < -0.01 THEN (CASE WHEN mc < -0.03 THEN 'high' ELSE 'medium' END) WHEN mc > 0.01 THEN 'positive' ELSE 'none' END AS severity,
+  round(mc * 100, 2) AS monthly_change_pct, round(older, 4) AS older_avg_rate, round(recent, 4) AS recent_avg_rate,
+  CASE WHEN older > 0 THEN round((recent / older - 1) * 100, 1) ELSE 0.0 END AS change_pct FROM s)
+SELECT *, CAST(CASE severity WHEN 'high' THEN 0 WHEN 'medium' THEN 1 WHEN 'none' THEN 2 WHEN 'positive' THEN 3 END AS INTEGER) AS severity_rank FROM o
+""")
+
+CADENCE = DATED15.format(n=15) + """,
+wk AS (SELECT platform, CAST(date_trunc('week', published_at) AS DATE) AS week_start, count(post_id) AS post_count,
+         avg(engagement_rate) AS avg_engagement, sum(reach) AS total_reach, sum(engagement_total) AS total_engagement
+       FROM dp GROUP BY 1, 2),
+wk2 AS (SELECT * FROM wk WHERE platform IN (SELECT platform FROM wk GROUP BY platform HAVING count(*) >= 4)),
+cad AS (SELECT platform, post_count AS posts_per_week, count(*) AS weeks_observed,
+          round(avg(avg_engagement), 4) AS avg_engagement_rate, CAST(trunc(avg(total_reach)) AS BIGINT) AS avg_total_reach,
+          CAST(trunc(avg(total_engagement)) AS BIGINT) AS avg_total_engagement FROM wk2 GROUP BY 1, 2)
+"""
+
+SQL["posting_cadence"] = _q(CADENCE + "SELECT * FROM cad")
+
+SQL["cadence_summary"] = _q(CADENCE + """,
+rel AS (SELECT platform, max(CASE WHEN weeks_observed >= 2 THEN 1 ELSE 0 END) AS hr FROM cad GROUP BY platform),
+c AS (SELECT cad.* FROM cad JOIN rel USING (platform) WHERE hr = 0 OR weeks_observed >= 2),
+bst AS (SELECT platform,
+        arg_min(posts_per_week, (-avg_engagement_rate, posts_per_week)) AS optimal_for_engagement,
+        max(avg_engagement_rate) AS optimal_engagement_rate,
+        arg_min(posts_per_week, (-avg_total_reach, posts_per_week)) AS optimal_for_reach,
+        max(avg_total_reach) AS optimal_total_reach FROM c GROUP BY platform),
+l AS (SELECT platform, post_count AS n, row_number() OVER (PARTITION BY platform ORDER BY week_start DESC) AS r FROM wk),
+cur AS (SELECT platform, round_even(avg(n), 1) AS current_cadence FROM l WHERE r <= 4 GROUP BY platform)
+SELECT bst.*, current_cadence,
+  CASE WHEN abs(optimal_for_engagement - current_cadence) < 0.5 THEN
+         printf('Your current pace (~%d/week) is close to optimal (%d/week). Maintain it.', CAST(round_even(current_cadence, 0) AS BIGINT), optimal_for_engagement)
+       WHEN optimal_for_engagement - current_cadence > 0 THEN
+         printf('Consider posting more: %d/week is optimal, you''re averaging %d/week.', optimal_for_engagement, CAST(round_even(current_cadence, 0) AS BIGINT))
+       ELSE printf('Consider posting less: %d/week is optimal, you''re averaging %d/week. Quality over quantity.', optimal_for_engagement, CAST(round_even(current_cadence, 0) AS BIGINT))
+  END AS recommendation
+FROM bst JOIN cur USING (platform)
+""")
+
+SQL["momentum"] = _q(DATED15.format(n=10) + """,
+nw AS (SELECT platform, max(published_at) AS nt FROM dp GROUP BY platform),
+d2 AS (SELECT dp.*, published_at >= nt - INTERVAL 30 DAY AS l,
+         published_at >= nt - INTERVAL 60 DAY AND published_at < nt - INTERVAL 30 DAY AS p,
+         shares + saves + comments AS q FROM dp JOIN nw USING (platform)),
+g AS (SELECT platform, CAST(sum(CASE WHEN l THEN 1 ELSE 0 END) AS BIGINT) AS recent_30d_posts,
+        CAST(sum(CASE WHEN p THEN 1 ELSE 0 END) AS BIGINT) AS prev_30d_posts,
+        avg(CASE WHEN l THEN engagement_rate END) AS re, avg(CASE WHEN p THEN engagement_rate END) AS pe,
+        avg(CASE WHEN l THEN reach END) AS rr, avg(CASE WHEN p THEN reach END) AS pr,
+        avg(CASE WHEN l THEN q END) AS rq, avg(CASE WHEN p THEN q END) AS pq FROM d2 GROUP BY platform),
+wk AS (SELECT platform, date_trunc('week', published_at) AS w, count(*) AS n FROM dp GROUP BY 1, 2),
+l4 AS (SELECT platform, count(*) AS nw4, stddev_samp(n) AS sd, avg(n) AS m, min(n) AS mn FROM (
+         SELECT *, row_number() OVER (PARTITION BY platform ORDER BY w DESC) AS r FROM wk) WHERE r <= 4 GROUP BY platform),
+aw AS (SELECT platform, count(*) AS weeks FROM wk GROUP BY platform),
+j AS (SELECT g.*, l4.*, aw.weeks, recent_30d_posts >= 3 AND prev_30d_posts >= 3 AS both_ok
+      FROM g JOIN l4 USING (platform) JOIN aw USING (platform)),
+s AS (SELECT platform, recent_30d_posts, prev_30d_posts, re, pe,
+  CASE WHEN both_ok THEN least(25.0, greatest(0.0, ((CASE WHEN pe > 0 THEN re / pe ELSE 1.0 END) - 0.5) * 50)) ELSE 12.5 END AS e,
+  CASE WHEN weeks >= 4 THEN (CASE WHEN mn > 0 THEN least(25.0, greatest(0.0, least(25.0, (1.0 - CASE WHEN m > 0 THEN sd / m ELSE 1.0 END) * 25)) + 5)
+        ELSE greatest(0.0, least(25.0, (1.0 - CASE WHEN m > 0 THEN sd / m ELSE 1.0 END) * 25)) END) ELSE 10.0 END AS c,
+  CASE WHEN both_ok THEN least(25.0, greatest(0.0, ((CASE WHEN pr > 0 THEN rr / pr ELSE 1.0 END) - 0.5) * 50)) ELSE 12.5 END AS r,
+  CASE WHEN both_ok THEN least(25.0, greatest(0.0, ((CASE WHEN pq > 0 THEN rq / pq ELSE 1.0 END) - 0.5) * 50)) ELSE 12.5 END AS qs
+  FROM j)
+SELECT platform, round_even(e + c + r + qs, 1) AS total_score,
+  CASE WHEN round_even(e + c + r + qs, 1) >= 75 THEN 'Strong momentum — your content strategy is accelerating'
+       WHEN round_even(e + c + r + qs, 1) >= 55 THEN 'Good momentum — steady growth, look for opportunities to push harder'
+       WHEN round_even(e + c + r + qs, 1) >= 35 THEN 'Moderate momentum — stable but not accelerating, consider experimenting'
+       WHEN round_even(e + c + r + qs, 1) >= 20 THEN 'Low momentum — engagement or reach may be stalling'
+       ELSE 'Warning — multiple signals declining, review content strategy' END AS verdict,
+  round_even(e, 1) AS engagement_trend, round_even(c, 1) AS posting_consistency, round_even(r, 1) AS reach_growth,
+  round_even(qs, 1) AS content_quality, recent_30d_posts, prev_30d_posts,
+  coalesce(round(re, 4), 0.0) AS recent_avg_engagement, coalesce(round(pe, 4), 0.0) AS prev_avg_engagement
+FROM s
+""")

@@ -152,3 +152,29 @@ QUERIES.update({
     "cleanup_posts": _cleanup_posts,
     "union_missing_cols": _union_missing,
 })
+
+
+# ---------------------------------------------------------------------------
+# Text and trend analytics
+# ---------------------------------------------------------------------------
+from pulsekit.operators import text, trends  # noqa: E402
+
+
+def _post_features(p):
+    return text.post_features(p).select(
+        "post_id", "platform", "content_type", "hour", "day_of_week", "is_weekend", "caption_length",
+        "hashtag_count", "has_emoji", "is_multilingual", "duration_sec",
+        F.round("engagement_rate", 6).alias("engagement_rate"), "weight")
+
+
+QUERIES.update({
+    "post_features": _on_posts(_post_features),
+    "term_lift": _on_posts(text.term_lift),
+    "driver_corr": _on_posts(text.driver_corr),
+    "driver_lift": _on_posts(text.driver_lift),
+    "hashtag_perf": _on_posts(text.hashtag_perf),
+    "content_fatigue": _on_posts(trends.content_fatigue),
+    "posting_cadence": _on_posts(trends.posting_cadence),
+    "cadence_summary": _on_posts(trends.cadence_summary),
+    "momentum": _on_posts(trends.momentum),
+})
