@@ -896,3 +896,47 @@ SELECT platform, round_even(e + c + r + qs, 1) AS total_score,
   coalesce(round(re, 4), 0.0) AS recent_avg_engagement, coalesce(round(pe, 4), 0.0) AS prev_avg_engagement
 FROM s
 """)
+
+# ---------------------------------------------------------------------------
+# Similar-post prediction (J5 / M18): exact all-pairs in SQL
+# ---------------------------------------------------------------------------
+SIM = """,
+pe0 AS (SELECT p.platform, p.post_id, p.engagement_rate, p.published_at, CAST(e.embedding AS DOUBLE[]) AS v
+        FROM posts p JOIN embeddings e ON CAST(e.vec_id AS VARCHAR) = p.post_id),
+pe AS (SELECT * FROM pe0 WHERE platform IN (SELECT platform FROM pe0 GROUP BY platform HAVING count(*) >= 10)),
+pr AS (SELECT a.platform, a.post_id, b.post_id AS nb, list_cosine_similarity(a.v, b.v) AS sim, b.engagement_rate AS nr
+       FROM pe a JOIN pe b ON a.platform = b.platform AND a.post_id <> b.post_id),
+rk AS (SELECT *, row_number() OVER (PARTITION BY platform, post_id ORDER BY sim DESC, nb) AS r FROM pr),
+pred AS (SELECT platform, post_id, sum(sim * nr) AS swr, sum(sim) AS ss, avg(nr) AS m, max(sim) AS top, count(*) AS n_neighbors
+         FROM rk WHERE r <= 5 GROUP BY platform, post_id),
+sp AS (SELECT pe.platform, pe.post_id, round(engagement_rate, 4) AS actual_rate,
+         round(CASE WHEN ss > 0 THEN swr / ss ELSE m END, 4) AS predicted_rate,
+         round(engagement_rate - CASE WHEN ss > 0 THEN swr / ss ELSE m END, 4) AS error,
+         round(top, 3) AS top_similarity, n_neighbors, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at
+       FROM pe JOIN pred USING (platform, post_id))
+"""
+
+SQL["similar_posts"] = _q(SIM + "SELECT * FROM sp")
+
+SQL["similar_ranked"] = _q(SIM + """,
+r2 AS (SELECT *, row_number() OVER (PARTITION BY platform ORDER BY abs(error) ASC, post_id) AS a,
+              row_number() OVER (PARTITION BY platform ORDER BY abs(error) DESC, post_id DESC) AS b FROM sp)
+SELECT platform, post_id, actual_rate, predicted_rate, error,
+  CASE WHEN a <= 3 THEN CAST(a AS INTEGER) END AS predictable_rank, CASE WHEN b <= 3 THEN CAST(b AS INTEGER) END AS surprising_rank
+FROM r2 WHERE a <= 3 OR b <= 3
+""")
+
+SQL["similar_summary"] = _q(SIM + """,
+mae AS (SELECT platform, count(*) AS n_posts, round(avg(abs(error)), 4) AS mean_absolute_error FROM sp GROUP BY platform),
+md AS (SELECT platform, round(median(sim), 3) AS median_similarity FROM pr WHERE sim > 0 GROUP BY platform)
+SELECT mae.*, md.median_similarity FROM mae LEFT JOIN md USING (platform)
+""")
+
+SQL["similar_recent"] = _q(SIM.replace("WHERE r <= 5 GROUP BY platform, post_id", "WHERE r <= 3 GROUP BY platform, post_id") + """,
+rec AS (SELECT platform, post_id, engagement_rate, row_number() OVER (PARTITION BY platform ORDER BY published_at DESC NULLS LAST, post_id) AS rr FROM pe),
+nb2 AS (SELECT platform, post_id, max(CASE WHEN r = 1 THEN nb END) AS similar_1, max(CASE WHEN r = 2 THEN nb END) AS similar_2
+        FROM rk WHERE r <= 2 GROUP BY platform, post_id)
+SELECT rec.platform, CAST(rr AS INTEGER) AS recency_rank, rec.post_id, round(engagement_rate, 4) AS actual_rate,
+  round(CASE WHEN ss > 0 THEN swr / ss ELSE m END, 4) AS predicted_rate, round(top, 3) AS similarity, similar_1, similar_2
+FROM rec JOIN pred USING (platform, post_id) JOIN nb2 USING (platform, post_id) WHERE rr <= 5
+""")

@@ -178,3 +178,23 @@ QUERIES.update({
     "cadence_summary": _on_posts(trends.cadence_summary),
     "momentum": _on_posts(trends.momentum),
 })
+
+
+# ---------------------------------------------------------------------------
+# Similar-post prediction (J5 / M18) over the embeddings table
+# ---------------------------------------------------------------------------
+from pulsekit.operators import similarity  # noqa: E402
+
+
+def _emb(fn):
+    def run(spark, sf_dir):
+        return fn(posts(spark, sf_dir), table(spark, sf_dir, "embeddings"))
+    return run
+
+
+QUERIES.update({
+    "similar_posts": _emb(similarity.similar_posts),
+    "similar_ranked": _emb(similarity.similar_ranked),
+    "similar_summary": _emb(similarity.similar_summary),
+    "similar_recent": _emb(similarity.similar_recent),
+})
