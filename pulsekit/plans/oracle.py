@@ -940,3 +940,9 @@ SELECT rec.platform, CAST(rr AS INTEGER) AS recency_rank, rec.post_id, round(eng
   round(CASE WHEN ss > 0 THEN swr / ss ELSE m END, 4) AS predicted_rate, round(top, 3) AS similarity, similar_1, similar_2
 FROM rec JOIN pred USING (platform, post_id) JOIN nb2 USING (platform, post_id) WHERE rr <= 5
 """)
+
+SQL["ml_suite_status"] = _q("""
+SELECT platform, count(*) AS n_posts, CASE WHEN count(*) < 10 THEN 'insufficient_data' ELSE 'ok' END AS status,
+  count(*) >= 15 AS predictor_enabled, count(*) >= 15 AS fatigue_enabled
+FROM posts GROUP BY platform
+""")

@@ -198,3 +198,23 @@ QUERIES.update({
     "similar_summary": _emb(similarity.similar_summary),
     "similar_recent": _emb(similarity.similar_recent),
 })
+
+
+# ---------------------------------------------------------------------------
+# Models (M3–M8, M16, M17, M20, M21) — rows-only checks except the status table
+# ---------------------------------------------------------------------------
+from pulsekit.operators import ml  # noqa: E402
+
+QUERIES.update({
+    "caption_pca": _emb(lambda p, e: ml.caption_pca(p, e).select(
+        "platform", "post_id", F.size("pca").alias("n_components"), "explained_variance")),
+    "feature_importance": _emb(ml.feature_importance),
+    "feature_rollup": _emb(lambda p, e: ml.feature_rollup(ml.feature_importance(p, e))),
+    "engagement_predictor": _emb(ml.engagement_predictor),
+    "root_cause": _emb(ml.root_cause),
+    "content_tiers": _on_posts(ml.content_tiers),
+    "isolation_outliers": _on_posts(ml.isolation_outliers),
+    "topics": _emb(ml.topics),
+    "hashtag_clusters": _emb(ml.hashtag_clusters),
+    "ml_suite_status": _on_posts(ml.ml_suite_status),
+})
