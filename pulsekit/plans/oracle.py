@@ -946,3 +946,44 @@ SELECT platform, count(*) AS n_posts, CASE WHEN count(*) < 10 THEN 'insufficient
   count(*) >= 15 AS predictor_enabled, count(*) >= 15 AS fatigue_enabled
 FROM posts GROUP BY platform
 """)
+
+
+# ---------------------------------------------------------------------------
+# Ingestion round trips (N1–N11 with the DST null rule; N6 Greek dates)
+# ---------------------------------------------------------------------------
+SQL["ingest_roundtrip"] = POSTS + """,
+r AS (SELECT *, timezone('America/Los_Angeles', timezone('UTC', published_at)) AS loc FROM raw_posts),
+e AS (SELECT post_id, title, content_type, reach, views, likes, shares, comments, saves, followers_gained,
+        strptime(strftime(loc, '%m/%d/%Y %H:%M'), '%m/%d/%Y %H:%M') AS lt FROM r),
+u AS (SELECT *, timezone('UTC', timezone('America/Los_Angeles', lt)) AS utc FROM e),
+c AS (SELECT *, timezone('America/Los_Angeles', timezone('UTC', utc)) AS back,
+        timezone('America/Los_Angeles', timezone('UTC', utc - INTERVAL 1 HOUR)) AS earlier,
+        timezone('America/Los_Angeles', timezone('UTC', utc + INTERVAL 1 HOUR)) AS later FROM u)
+SELECT post_id, 'instagram' AS platform, content_type,
+  CASE WHEN back <> lt OR earlier = lt OR later = lt THEN NULL ELSE strftime(utc, '%Y-%m-%d %H:%M:%S') END AS published_at,
+  reach, views, likes, comments, shares, saves, followers_gained, likes + comments + shares + saves AS engagement_total,
+  round(CASE WHEN reach > 0 THEN (likes + comments + shares + saves) / CAST(reach AS DOUBLE) ELSE 0.0 END, 6) AS engagement_rate,
+  CAST(length(coalesce(title, '')) AS INTEGER) AS title_chars
+FROM c
+"""
+
+SQL["greek_dates"] = _q(""",
+days AS (SELECT DISTINCT platform, CAST(ts_kst AS DATE) AS d FROM posts WHERE published_at IS NOT NULL),
+rows0 AS (SELECT platform AS file, CAST(row_number() OVER (PARTITION BY platform ORDER BY d) AS INTEGER) AS row_no,
+            CAST(day(d) AS VARCHAR) || ' ' || (CASE month(d) WHEN 1 THEN 'Ιανουαρίου' WHEN 2 THEN 'Φεβρουαρίου' WHEN 3 THEN 'Μαρτίου' WHEN 4 THEN 'Απριλίου' WHEN 5 THEN 'Μαΐου' WHEN 6 THEN 'Ιουνίου' WHEN 7 THEN 'Ιουλίου' WHEN 8 THEN 'Αυγούστου' WHEN 9 THEN 'Σεπτεμβρίου' WHEN 10 THEN 'Οκτωβρίου' WHEN 11 THEN 'Νοεμβρίου' WHEN 12 THEN 'Δεκεμβρίου' END) AS value,
+            max(d) OVER (PARTITION BY platform) AS asof_d FROM days),
+p AS (SELECT *, trim(value) AS v, string_split_regex(trim(value), '\\s+') AS parts FROM rows0),
+p2 AS (SELECT *, CASE WHEN len(parts) >= 2 THEN TRY_CAST(parts[1] AS INTEGER) END AS dd,
+          lower(trim(parts[2])) AS w FROM p),
+p3 AS (SELECT *, CASE WHEN dd IS NOT NULL AND len(parts) >= 2 THEN coalesce(CASE w WHEN 'ιανουαρίου' THEN 1 WHEN 'ιανουάριου' THEN 1 WHEN 'φεβρουαρίου' THEN 2 WHEN 'φεβρουάριου' THEN 2 WHEN 'μαρτίου' THEN 3 WHEN 'μάρτιου' THEN 3 WHEN 'απριλίου' THEN 4 WHEN 'απρίλιου' THEN 4 WHEN 'μαΐου' THEN 5 WHEN 'μαίου' THEN 5 WHEN 'ιουνίου' THEN 6 WHEN 'ιούνιου' THEN 6 WHEN 'ιουλίου' THEN 7 WHEN 'ιούλιου' THEN 7 WHEN 'αυγούστου' THEN 8 WHEN 'σεπτεμβρίου' THEN 9 WHEN 'σεπτέμβριου' THEN 9 WHEN 'οκτωβρίου' THEN 10 WHEN 'οκτώβριου' THEN 10 WHEN 'νοεμβρίου' THEN 11 WHEN 'νοέμβριου' THEN 11 WHEN 'δεκεμβρίου' THEN 12 WHEN 'δεκέμβριου' THEN 12 END, CASE WHEN starts_with(w, 'ιανο') OR starts_with('ιανουαρίου', substring(w, 1, 4)) THEN 1 WHEN starts_with(w, 'ιανο') OR starts_with('ιανουάριου', substring(w, 1, 4)) THEN 1 WHEN starts_with(w, 'φεβρ') OR starts_with('φεβρουαρίου', substring(w, 1, 4)) THEN 2 WHEN starts_with(w, 'φεβρ') OR starts_with('φεβρουάριου', substring(w, 1, 4)) THEN 2 WHEN starts_with(w, 'μαρτ') OR starts_with('μαρτίου', substring(w, 1, 4)) THEN 3 WHEN starts_with(w, 'μάρτ') OR starts_with('μάρτιου', substring(w, 1, 4)) THEN 3 WHEN starts_with(w, 'απρι') OR starts_with('απριλίου', substring(w, 1, 4)) THEN 4 WHEN starts_with(w, 'απρί') OR starts_with('απρίλιου', substring(w, 1, 4)) THEN 4 WHEN starts_with(w, 'μαΐο') OR starts_with('μαΐου', substring(w, 1, 4)) THEN 5 WHEN starts_with(w, 'μαίο') OR starts_with('μαίου', substring(w, 1, 4)) THEN 5 WHEN starts_with(w, 'ιουν') OR starts_with('ιουνίου', substring(w, 1, 4)) THEN 6 WHEN starts_with(w, 'ιούν') OR starts_with('ιούνιου', substring(w, 1, 4)) THEN 6 WHEN starts_with(w, 'ιουλ') OR starts_with('ιουλίου', substring(w, 1, 4)) THEN 7 WHEN starts_with(w, 'ιούλ') OR starts_with('ιούλιου', substring(w, 1, 4)) THEN 7 WHEN starts_with(w, 'αυγο') OR starts_with('αυγούστου', substring(w, 1, 4)) THEN 8 WHEN starts_with(w, 'σεπτ') OR starts_with('σεπτεμβρίου', substring(w, 1, 4)) THEN 9 WHEN starts_with(w, 'σεπτ') OR starts_with('σεπτέμβριου', substring(w, 1, 4)) THEN 9 WHEN starts_with(w, 'οκτω') OR starts_with('οκτωβρίου', substring(w, 1, 4)) THEN 10 WHEN starts_with(w, 'οκτώ') OR starts_with('οκτώβριου', substring(w, 1, 4)) THEN 10 WHEN starts_with(w, 'νοεμ') OR starts_with('νοεμβρίου', substring(w, 1, 4)) THEN 11 WHEN starts_with(w, 'νοέμ') OR starts_with('νοέμβριου', substring(w, 1, 4)) THEN 11 WHEN starts_with(w, 'δεκε') OR starts_with('δεκεμβρίου', substring(w, 1, 4)) THEN 12 WHEN starts_with(w, 'δεκέ') OR starts_with('δεκέμβριου', substring(w, 1, 4)) THEN 12 END) END AS m FROM p2),
+p4 AS (SELECT *, m IS NOT NULL AS valid FROM p3),
+p5 AS (SELECT *, sum(CASE WHEN valid THEN 1 ELSE 0 END) OVER (PARTITION BY file) AS nvalid,
+          lag(m) OVER (PARTITION BY file, valid ORDER BY row_no) AS prevm FROM p4),
+p6 AS (SELECT *, CASE WHEN valid AND m < prevm - 1 THEN 1 ELSE 0 END AS wrap FROM p5),
+p7 AS (SELECT *, sum(wrap) OVER (PARTITION BY file) AS wt,
+          sum(wrap) OVER (PARTITION BY file, valid ORDER BY row_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS wr FROM p6),
+p8 AS (SELECT *, CASE WHEN nvalid >= 60 THEN year(asof_d) - wt + wr
+                      ELSE year(asof_d) - CASE WHEN m > month(asof_d) + 2 THEN 1 ELSE 0 END END AS yy FROM p7)
+SELECT file, row_no, value, CASE WHEN valid THEN TRY_CAST(make_date(CAST(yy AS BIGINT), CAST(m AS BIGINT), CAST(dd AS BIGINT)) AS DATE) END AS date
+FROM p8
+""")

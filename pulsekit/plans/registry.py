@@ -74,8 +74,11 @@ QUERIES: dict[str, Query] = {
 # ---------------------------------------------------------------------------
 # Account daily (A1–A9, J2, J3, F5, F6) over the events-derived series
 # ---------------------------------------------------------------------------
+from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from pulsekit.functions import exprs as X  # noqa: E402
+
 from pulsekit.operators import account, history  # noqa: E402
 from pulsekit.sources.testdata import account_series, raw_posts, table  # noqa: E402
 
@@ -218,3 +221,39 @@ QUERIES.update({
     "hashtag_clusters": _emb(ml.hashtag_clusters),
     "ml_suite_status": _on_posts(ml.ml_suite_status),
 })
+
+
+# ---------------------------------------------------------------------------
+# Ingestion paths driven from the test tables (N1–N11, N5 DST rule, N6)
+# ---------------------------------------------------------------------------
+from pulsekit.sources import greek, normalize  # noqa: E402
+
+
+def _ingest_roundtrip(spark, sf_dir):
+    """Every post rendered as a vendor export, then normalised back."""
+    exp = normalize.render_instagram_export(raw_posts(spark, sf_dir))
+    u = normalize.normalize_export(exp, "instagram")
+    return u.select("post_id", "platform", "content_type",
+                    F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published_at"),
+                    "reach", "views", "likes", "comments", "shares", "saves", "followers_gained",
+                    "engagement_total", F.round("engagement_rate", 6).alias("engagement_rate"),
+                    F.length("title").alias("title_chars"))
+
+
+def _greek_dates(spark, sf_dir):
+    """Each platform's posting days as a TikTok-style file of year-less
+    Greek dates in file order, parsed back with year inference."""
+    p = posts(spark, sf_dir).where(F.col("published_at").isNotNull())
+    days = p.select("platform", F.to_date(X.kst("published_at")).alias("d")).distinct()
+    w = Window.partitionBy("platform").orderBy("d")
+    rows = (days.withColumn("row_no", F.row_number().over(w))
+            .withColumn("_asof", F.max("d").over(Window.partitionBy("platform")))
+            .select(F.col("platform").alias("file"), "row_no", greek.render_greek_date(F.col("d")).alias("value"), "_asof"))
+    out = greek.parse_greek_dates(rows, F.col("_asof"))
+    return out.select("file", "row_no", "value", "date")
+
+
+QUERIES.update({
+    "ingest_roundtrip": _ingest_roundtrip,
+    "greek_dates": _greek_dates,
+})
