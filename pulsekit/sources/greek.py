@@ -89,6 +89,14 @@ def parse_greek_dates(rows: DataFrame, as_of, file_col: str = "file", order_col:
             .drop("_exp", "_m", "_d", "_valid", "_nvalid", "_prev", "_wrap", "_wraps_total", "_wraps_run"))
 
 
+def render_greek_month(month: int) -> str:
+    """Display spelling (first table spelling, capitalised) of a month."""
+    for k, v in GREEK_MONTHS.items():
+        if v == month:
+            return k.capitalize()
+    raise ValueError(month)
+
+
 def render_greek_date(date: F.Column) -> F.Column:
     """``D Month`` in Greek genitive (first spelling per month), no year."""
     first = {}
