@@ -987,3 +987,100 @@ p8 AS (SELECT *, CASE WHEN nvalid >= 60 THEN year(asof_d) - wt + wr
 SELECT file, row_no, value, CASE WHEN valid THEN TRY_CAST(make_date(CAST(yy AS BIGINT), CAST(m AS BIGINT), CAST(dd AS BIGINT)) AS DATE) END AS date
 FROM p8
 """)
+
+# ---------------------------------------------------------------------------
+# Insight tables (R1–R3): rules over the other queries' SQL as subqueries
+# ---------------------------------------------------------------------------
+PNAME = ("(CASE platform WHEN 'instagram' THEN 'Instagram' WHEN 'youtube' THEN 'YouTube' WHEN 'facebook' THEN 'Facebook' "
+         "WHEN 'tiktok' THEN 'TikTok' ELSE platform END)")
+CLABEL = ("(CASE content_type WHEN 'short_video' THEN 'Short Video' WHEN 'long_video' THEN 'Long Video' "
+          "WHEN 'image' THEN 'Image' WHEN 'carousel' THEN 'Carousel' WHEN 'story' THEN 'Story' WHEN 'live' THEN 'Live Stream' "
+          "WHEN 'text_post' THEN 'Text Post' WHEN 'link_post' THEN 'Link Post' WHEN 'other' THEN 'Other' "
+          "ELSE array_to_string(list_transform(string_split(content_type, '_'), lambda x: upper(x[1]) || lower(x[2:])), ' ') END)")
+
+
+def PCT1(x: str) -> str:
+    return f"(printf('%.1f', round(({x}) * 100, 1)) || '%')"
+
+
+def sub(name: str) -> str:
+    return "(" + SQL[name] + ")"
+
+
+SQL["recommendations"] = f"""
+WITH np AS (SELECT total_posts AS n, n_platforms FROM {sub('meta')} m),
+top3 AS (SELECT * FROM {sub('hourly_profile')} h WHERE rank <= 3),
+fo AS (SELECT min(rank) AS r FROM top3 WHERE post_count >= 3),
+vp AS (SELECT platform, string_agg(DISTINCT {CLABEL}, ', ' ORDER BY {CLABEL}) AS types FROM {sub('viral_posts')} v GROUP BY platform),
+rules AS (
+  SELECT 1 AS rule_ix, platform, 'high' AS priority, 'content' AS category,
+    printf('On %s, your best content type is ''%s'' with %s avg engagement (%d posts). Create more of this.',
+           {PNAME}, {CLABEL}, {PCT1('engagement_rate')}, count) AS message
+  FROM {sub('platform_content_ranking')} r WHERE rank = 1
+  UNION ALL SELECT 2, NULL, 'high', 'timing',
+    printf('Your best posting hour is %d:00 KST (based on %.0f posts). Schedule high-priority content around this time.', hour, post_count)
+  FROM top3 WHERE rank = 1 AND post_count >= 3
+  UNION ALL SELECT 3, NULL, 'medium', 'timing',
+    printf('Hour %d:00 KST shows strong engagement (%.0f posts). Consider posting around this time.', hour, post_count)
+  FROM top3, fo WHERE top3.rank = fo.r AND fo.r > 1
+  UNION ALL SELECT 4, NULL, 'low', 'timing', 'Not enough data per time slot to recommend posting hours yet. Keep adding weekly exports.'
+  FROM top3, fo WHERE top3.rank = 1 AND fo.r IS NULL
+  UNION ALL SELECT 5, NULL, 'medium', 'timing', printf('Best performing day is %s. Consider making this your primary posting day.', day_of_week)
+  FROM {sub('daily_profile')} d WHERE rank = 1 AND post_count >= 3
+  UNION ALL SELECT 6, NULL, 'medium', 'engagement',
+    'Comments-to-likes ratio is low. Try asking questions, running polls, or creating discussion-worthy content.'
+  FROM {sub('engagement_composition')} c WHERE conversation_ratio < 0.05
+  UNION ALL SELECT 7, platform, 'medium', 'platform', printf('%s engagement is below industry benchmark. Review content strategy for this platform.', {PNAME})
+  FROM {sub('platform_overview')} o WHERE vs_benchmark < -0.02
+  UNION ALL SELECT 8, platform, 'low', 'platform', printf('%s is outperforming industry benchmark by %s! Keep up the great work.', {PNAME}, {PCT1('vs_benchmark')})
+  FROM {sub('platform_overview')} o2 WHERE vs_benchmark > 0.02
+  UNION ALL SELECT 9, platform, 'high', 'growth',
+    printf('%s reach is declining. Consider boosting posting frequency or trying new content formats on this platform.', {PNAME})
+  FROM {sub('platform_growth')} g WHERE reach_trend = 'declining'
+  UNION ALL SELECT 10, platform, 'low', 'growth', printf('%s reach is growing! Keep up the momentum.', {PNAME})
+  FROM {sub('platform_growth')} g2 WHERE reach_trend = 'growing'
+  UNION ALL SELECT 11, platform, 'high', 'content', printf('Viral content on %s: %s. Create more content in these formats.', {PNAME}, types)
+  FROM vp
+  UNION ALL SELECT 12, NULL, 'low', 'methodology',
+    'Note: Instagram engagement rate uses reach as denominator; TikTok uses views. Direct rate comparison between platforms should be interpreted with this in mind.'
+  FROM np WHERE n_platforms > 1),
+allr AS (
+  SELECT rules.* FROM rules, np WHERE np.n >= 10
+  UNION ALL SELECT 0, NULL, 'high', 'data',
+    'Not enough data for deep analysis yet. Keep adding weekly exports! At least 4 weeks of data is ideal.' FROM np WHERE np.n < 10)
+SELECT CAST(rule_ix AS INTEGER) AS rule_ix, platform, priority,
+  CAST(CASE priority WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END AS INTEGER) AS priority_rank, category, message,
+  CAST(row_number() OVER (ORDER BY CASE priority WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, rule_ix, platform NULLS FIRST) AS INTEGER) AS rank
+FROM allr
+"""
+
+SQL["pulse"] = f"""
+WITH s AS (
+  SELECT CASE WHEN vs_benchmark > 0 THEN 1 ELSE 0 END AS g, CASE WHEN vs_benchmark < -0.02 THEN 1 ELSE 0 END AS b FROM {sub('platform_overview')} o
+  UNION ALL SELECT CASE WHEN reach_trend = 'growing' THEN 1 ELSE 0 END, CASE WHEN reach_trend = 'declining' THEN 1 ELSE 0 END FROM {sub('platform_growth')} g
+  UNION ALL SELECT CASE WHEN total_score >= 60 THEN 1 ELSE 0 END, CASE WHEN total_score < 35 THEN 1 ELSE 0 END FROM {sub('momentum')} m),
+t AS (SELECT CAST(coalesce(sum(g), 0) AS BIGINT) AS signals_good, CAST(coalesce(sum(b), 0) AS BIGINT) AS signals_bad FROM s),
+v AS (SELECT max(multiplier) AS vm FROM {sub('viral_posts')} vp),
+c AS (SELECT t.*, CASE WHEN signals_good >= 2 AND signals_good > signals_bad * 3 THEN 'good'
+                       WHEN signals_bad >= 2 AND signals_bad >= signals_good THEN 'bad' ELSE 'ok' END AS pulse_class, v.vm FROM t, v)
+SELECT signals_good, signals_bad, pulse_class,
+  (CASE pulse_class WHEN 'good' THEN 'Things are looking great! Our content is connecting with the audience and engagement is healthy across platforms.'
+    WHEN 'bad' THEN 'There are some areas that need our attention. Engagement or reach is dropping on one or more platforms — let''s adjust our approach.'
+    ELSE 'Our social media presence is steady. There''s room to grow — the data shows a few opportunities we can take advantage of.' END)
+  || CASE WHEN vm IS NOT NULL THEN ' We had a standout post that performed ' || CAST(vm AS VARCHAR) || 'x above average!' ELSE '' END AS pulse_text
+FROM c
+"""
+
+SQL["key_numbers"] = f"""
+WITH ov AS {sub('platform_overview')},
+tot AS (SELECT sum(total_posts) AS p, sum(total_engagement) AS e, sum(total_followers_gained) AS f FROM ov)
+SELECT 1 AS ix, NULL AS platform, 'We''ve published ' || format('{{:,}}', CAST(p AS BIGINT)) || ' posts in total' AS text FROM tot
+UNION ALL SELECT 2, platform, CASE WHEN platform = 'tiktok' THEN {PNAME} || ': ' || format('{{:,}}', total_reach) || ' video views'
+  ELSE {PNAME} || ': reached ' || format('{{:,}}', total_reach) || ' people' END FROM ov
+UNION ALL SELECT 3, NULL, 'We received ' || format('{{:,}}', CAST(e AS BIGINT)) || ' interactions (likes, comments, shares, saves)' FROM tot
+UNION ALL SELECT 4, NULL, 'We gained ' || format('{{:,}}', CAST(f AS BIGINT)) || ' new followers across all platforms' FROM tot WHERE f > 0
+UNION ALL SELECT 5, platform, {PNAME} || ' reach grew ' || CAST(CAST(round(wow_reach_change * 100, 0) AS INTEGER) AS VARCHAR) || '% compared to last week'
+  FROM ov WHERE wow_reach_change > 0.1
+UNION ALL SELECT 5, platform, {PNAME} || ' reach dropped ' || CAST(CAST(round(abs(wow_reach_change) * 100, 0) AS INTEGER) AS VARCHAR) || '% compared to last week'
+  FROM ov WHERE wow_reach_change < -0.1
+"""

@@ -257,3 +257,15 @@ QUERIES.update({
     "ingest_roundtrip": _ingest_roundtrip,
     "greek_dates": _greek_dates,
 })
+
+
+# ---------------------------------------------------------------------------
+# Insight tables
+# ---------------------------------------------------------------------------
+from pulsekit.operators import insights  # noqa: E402
+
+QUERIES.update({
+    "recommendations": _on_posts(insights.recommendations),
+    "pulse": _on_posts(insights.pulse),
+    "key_numbers": _on_posts(insights.key_numbers),
+})
