@@ -23,15 +23,16 @@ def with_recency_weight(df: DataFrame, ts_col: str = "published_at", reference=N
 
 def with_calendar(df: DataFrame, ts_col: str = "published_at") -> DataFrame:
     """KST day name, hour, ISO week, ``%Y-W%U`` key, ``yyyy-MM`` month.
-    Null timestamps -> 'Unknown' / 0."""
+    Null timestamps -> 'Unknown' / 0.  One projection."""
     local = X.kst(F.col(ts_col))
-    return (df.withColumn("ts_kst", local)
-            .withColumn("day_of_week", F.coalesce(X.day_name(local), F.lit("Unknown")))
-            .withColumn("dow", X.dow_index(local))
-            .withColumn("hour", F.coalesce(F.hour(local), F.lit(0)))
-            .withColumn("week", F.coalesce(X.iso_week(local), F.lit(0)))
-            .withColumn("year_week", F.coalesce(X.year_week_sunday(local), F.lit("Unknown")))
-            .withColumn("month", F.coalesce(F.date_format(local, "yyyy-MM"), F.lit("Unknown"))))
+    return df.select(
+        "*", local.alias("ts_kst"),
+        F.coalesce(X.day_name(local), F.lit("Unknown")).alias("day_of_week"),
+        X.dow_index(local).alias("dow"),
+        F.coalesce(F.hour(local), F.lit(0)).alias("hour"),
+        F.coalesce(X.iso_week(local), F.lit(0)).alias("week"),
+        F.coalesce(X.year_week_sunday(local), F.lit("Unknown")).alias("year_week"),
+        F.coalesce(F.date_format(local, "yyyy-MM"), F.lit("Unknown")).alias("month"))
 
 
 def prepare_posts(df: DataFrame) -> DataFrame:

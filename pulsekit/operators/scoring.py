@@ -54,18 +54,17 @@ def underperformers(posts: DataFrame, min_posts: int = X.MIN_POSTS, flop: float
 
 def _minmax(df: DataFrame, cols: dict[str, F.Column]) -> DataFrame:
     """Min-max normalise each expression over all rows (constant -> 0.5).
-    Min/max come from one scalar-subquery pass; no un-partitioned window."""
-    out = df
-    for name, expr in cols.items():
-        out = out.withColumn(f"_raw_{name}", expr)
-    # One scalar subquery (one scan) returns every min/max as a struct.
-    stats = out.select(F.struct(*[F.struct(F.min(f"_raw_{n}").alias("lo"), F.max(f"_raw_{n}").alias("hi")).alias(n)
+    All mins/maxes come from one scalar subquery (one scan, one row); no
+    un-partitioned window.  Built as two projections to keep analysis cheap."""
+    raw = df.select("*", *[e.alias(f"_raw_{n}") for n, e in cols.items()])
+    stats = raw.select(F.struct(*[F.struct(F.min(f"_raw_{n}").alias("lo"), F.max(f"_raw_{n}").alias("hi")).alias(n)
                                   for n in cols])).scalar()
+    outs = []
     for name in cols:
         lo, hi = stats.getField(name).getField("lo"), stats.getField(name).getField("hi")
-        raw = F.col(f"_raw_{name}")
-        out = out.withColumn(name, F.when(hi == lo, F.lit(0.5)).otherwise((raw - lo) / (hi - lo))).drop(f"_raw_{name}")
-    return out
+        r = F.col(f"_raw_{name}")
+        outs.append(F.when(hi == lo, F.lit(0.5)).otherwise((r - lo) / (hi - lo)).alias(name))
+    return raw.select(*df.columns, *outs)
 
 
 def scored_posts(posts: DataFrame, min_posts: int = 3) -> DataFrame:
