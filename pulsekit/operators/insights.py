@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pulsekit.functions import exprs as X
 from pulsekit.operators import growth, kpi, scoring, temporal
+from pulsekit.session import cut_lineage
 
 PRIORITY = {"high": 0, "medium": 1, "low": 2}
 
@@ -38,13 +39,13 @@ def recommendations(posts: DataFrame, min_posts: int = 10) -> DataFrame:
     pname = X.platform_name(F.col("platform"))
     rules = []
     # 1. best content type per platform
-    pcr = kpi.platform_content_ranking(posts).where(F.col("rank") == 1)
+    pcr = cut_lineage(kpi.platform_content_ranking(posts).where(F.col("rank") == 1))
     rules.append(_rec(pcr, 1, "high", "content", F.format_string(
         "On %s, your best content type is '%s' with %s avg engagement (%d posts). Create more of this.",
         pname, X.content_label(F.col("content_type")), _pct1(F.col("engagement_rate")), F.col("count")), F.col("platform")))
     # 2-4. best hour: the top hour if it has >= 3 posts, else the first of
     # the top-3 hours with >= 3 posts, else a low-priority note
-    top3 = temporal.hourly_profile(posts).where(F.col("rank") <= 3)
+    top3 = cut_lineage(temporal.hourly_profile(posts).where(F.col("rank") <= 3))
     first_ok = top3.where(F.col("post_count") >= 3).select(F.min("rank")).scalar()
     rules.append(_rec(top3.where((F.col("rank") == 1) & (F.col("post_count") >= 3)), 2, "high", "timing",
                       F.format_string("Your best posting hour is %d:00 KST (based on %.0f posts). Schedule "
@@ -63,14 +64,14 @@ def recommendations(posts: DataFrame, min_posts: int = 10) -> DataFrame:
     rules.append(_rec(ec, 6, "medium", "engagement", F.lit(
         "Comments-to-likes ratio is low. Try asking questions, running polls, or creating discussion-worthy content.")))
     # 7/8. benchmark gap
-    ov = kpi.platform_overview(posts)
+    ov = cut_lineage(kpi.platform_overview(posts))
     rules.append(_rec(ov.where(F.col("vs_benchmark") < -0.02), 7, "medium", "platform", F.format_string(
         "%s engagement is below industry benchmark. Review content strategy for this platform.", pname), F.col("platform")))
     rules.append(_rec(ov.where(F.col("vs_benchmark") > 0.02), 8, "low", "platform", F.format_string(
         "%s is outperforming industry benchmark by %s! Keep up the great work.", pname, _pct1(F.col("vs_benchmark"))),
         F.col("platform")))
     # 9/10. reach trend per platform
-    pg = growth.platform_growth(posts)
+    pg = cut_lineage(growth.platform_growth(posts))
     rules.append(_rec(pg.where(F.col("reach_trend") == "declining"), 9, "high", "growth", F.format_string(
         "%s reach is declining. Consider boosting posting frequency or trying new content formats on this platform.",
         pname), F.col("platform")))
@@ -150,3 +151,85 @@ def key_numbers(posts: DataFrame) -> DataFrame:
             F.round(F.abs(F.col("wow_reach_change")) * 100, 0).cast("int")).alias("text")),
     ]
     return reduce(DataFrame.unionByName, lines)
+
+
+def summary_lists(posts: DataFrame) -> DataFrame:
+    """R4: 'what's working' (max 6), 'needs attention' (max 5) and 'this
+    week's actions' (max 4) as ranked rows (list, ix, text).  Items follow
+    the reference's order; platforms are taken in name order; viral items
+    name the post id instead of a caption excerpt."""
+    from pulsekit.operators import text as T_
+    from pulsekit.operators import trends
+    pname = X.platform_name(F.col("platform"))
+    ctitle = F.initcap(F.regexp_replace(F.col("content_type"), "_", " "))
+    # Each input is a small result table used several times below: compute
+    # it once and keep it in the shared checkpoint folder (short plans).
+    hp = cut_lineage(temporal.hourly_profile(posts).where(F.col("rank") == 1))
+    dp = cut_lineage(temporal.daily_profile(posts).where(F.col("rank") == 1))
+    pcr = cut_lineage(kpi.platform_content_ranking(posts).where(F.col("rank") == 1))
+    dl = cut_lineage(T_.driver_lift(posts))
+    vp = cut_lineage(scoring.viral_posts(posts))
+    pg = cut_lineage(growth.platform_growth(posts))
+    fat = cut_lineage(trends.content_fatigue(posts))
+    ov = cut_lineage(kpi.platform_overview(posts))
+    ec = cut_lineage(kpi.engagement_composition(posts))
+    cad = cut_lineage(trends.cadence_summary(posts))
+
+    def item(df, lst, ix, txt, sub=None):
+        return df.select(F.lit(lst).alias("list"), F.lit(ix).alias("ix"),
+                         (sub if sub is not None else F.lit(None).cast("string")).alias("sub_key"), txt.alias("text"))
+    work = [
+        item(pcr, "working", 1, F.format_string("%s posts on %s get the best engagement (%d posts analyzed)",
+                                                ctitle, pname, F.col("count")), F.col("platform")),
+        item(hp.where(F.col("post_count") >= 3), "working", 2,
+             F.format_string("Posting around %d:00 KST gets the most engagement", F.col("hour"))),
+        item(dp.where(F.col("post_count") >= 3), "working", 3,
+             F.format_string("%s is our best performing day", F.col("day_of_week"))),
+        item(dl.where((F.col("factor") == "is_multilingual") & (F.col("lift") > 0.1)), "working", 4,
+             F.format_string("Multilingual captions (Korean + English) boost engagement on %s", pname),
+             F.concat(F.col("platform"), F.lit("1"))),
+        item(dl.where((F.col("factor") == "has_emoji") & (F.col("lift") > 0.1)), "working", 4,
+             F.format_string("Using emojis increases engagement on %s", pname), F.concat(F.col("platform"), F.lit("2"))),
+        item(vp.withColumn("_v", F.row_number().over(Window.orderBy(F.col("multiplier").desc(), "platform", "post_id")))
+             .where(F.col("_v") <= 2), "working", 5,
+             F.format_string("Our post %s went viral on %s (%sx above average)", F.col("post_id"), pname,
+                             F.col("multiplier").cast("string")), F.lpad(F.col("_v").cast("string"), 3, "0")),
+    ]
+    attn = [
+        item(pg.where(F.col("reach_trend") == "declining"), "attention", 1, F.format_string(
+            "%s reach has been declining recently — try new content formats or increase posting frequency", pname),
+            F.col("platform")),
+        item(fat.where(F.col("trend") == "declining"), "attention", 2, F.format_string(
+            "Our audience may be getting tired of %s posts on %s (engagement is dropping)", ctitle, pname),
+            F.concat_ws("|", "platform", "severity_rank", "content_type")),
+        item(ec.where(F.col("conversation_ratio") < 0.05), "attention", 3, F.lit(
+            "We're getting lots of likes but very few comments — try asking questions or creating discussion-worthy content")),
+        item(ov.where(F.col("vs_benchmark") < -0.02), "attention", 4, F.format_string(
+            "%s engagement is below the industry average — our content strategy on this platform needs a refresh", pname),
+            F.col("platform")),
+    ]
+    first_plat = pcr.select(F.min("platform")).scalar()
+    has_attn = reduce(DataFrame.unionByName, attn).select(F.count(F.lit(1))).scalar() > 0
+    cad_first = cad.where(F.col("platform") == cad.select(F.min("platform")).scalar())
+    grow = fat.where(F.col("trend") == "growing")
+    grow_first = grow.where(F.col("platform") == grow.select(F.min("platform")).scalar())
+    grow_first = grow_first.where(F.col("content_type") == grow_first.select(F.min("content_type")).scalar())
+    acts = [
+        item(pcr.where(F.col("platform") == first_plat), "actions", 1, F.format_string(
+            "Create more %s content on %s — it's your top performer", ctitle, pname)),
+        item(hp, "actions", 2, F.format_string("Schedule your most important post for %d:00 KST", F.col("hour"))),
+        item(cad_first.where(F.col("optimal_for_engagement") > F.col("current_cadence") + 1), "actions", 3,
+             F.format_string("Try posting %d times per week on %s (currently ~%d)", F.col("optimal_for_engagement"),
+                             pname, F.bround("current_cadence", 0).cast("long"))),
+        item(grow_first.where(has_attn), "actions", 4, F.format_string(
+            "%s content is gaining momentum on %s — invest more in this format", ctitle, pname)),
+    ]
+    a = reduce(DataFrame.unionByName, acts)
+    n_acts = a.select(F.count(F.lit(1))).scalar()
+    a = a.unionByName(item(a.sparkSession.range(1).where(n_acts == 0), "actions", 9, F.lit(
+        "Keep posting consistently — your data is still building and the models will improve each week")))
+    allr = reduce(DataFrame.unionByName, work + attn).unionByName(a)
+    w = Window.partitionBy("list").orderBy("ix", F.col("sub_key").asc_nulls_first())
+    cap = F.element_at(X.map_lit({"working": 6, "attention": 5, "actions": 4}), F.col("list"))
+    return (allr.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= cap)
+            .select("list", "pos", "text"))

@@ -1084,3 +1084,44 @@ UNION ALL SELECT 5, platform, {PNAME} || ' reach grew ' || CAST(CAST(round(wow_r
 UNION ALL SELECT 5, platform, {PNAME} || ' reach dropped ' || CAST(CAST(round(abs(wow_reach_change) * 100, 0) AS INTEGER) AS VARCHAR) || '% compared to last week'
   FROM ov WHERE wow_reach_change < -0.1
 """
+
+CTITLE = "array_to_string(list_transform(string_split(content_type, '_'), lambda x: upper(x[1]) || lower(x[2:])), ' ')"
+
+SQL["summary_lists"] = f"""
+WITH hp AS (SELECT * FROM {sub('hourly_profile')} h WHERE rank = 1),
+dp AS (SELECT * FROM {sub('daily_profile')} d WHERE rank = 1),
+pcr AS (SELECT * FROM {sub('platform_content_ranking')} r WHERE rank = 1),
+dl AS {sub('driver_lift')},
+vp AS (SELECT *, row_number() OVER (ORDER BY multiplier DESC, platform, post_id) AS v FROM {sub('viral_posts')} v0),
+pg AS {sub('platform_growth')},
+fat AS {sub('content_fatigue')},
+ov AS {sub('platform_overview')},
+ec AS {sub('engagement_composition')},
+cad AS {sub('cadence_summary')},
+work AS (
+  SELECT 'working' AS list, 1 AS ix, platform AS sub_key, printf('%s posts on %s get the best engagement (%d posts analyzed)', {CTITLE}, {PNAME}, count) AS text FROM pcr
+  UNION ALL SELECT 'working', 2, NULL, printf('Posting around %d:00 KST gets the most engagement', hour) FROM hp WHERE post_count >= 3
+  UNION ALL SELECT 'working', 3, NULL, printf('%s is our best performing day', day_of_week) FROM dp WHERE post_count >= 3
+  UNION ALL SELECT 'working', 4, platform || '1', printf('Multilingual captions (Korean + English) boost engagement on %s', {PNAME}) FROM dl WHERE factor = 'is_multilingual' AND lift > 0.1
+  UNION ALL SELECT 'working', 4, platform || '2', printf('Using emojis increases engagement on %s', {PNAME}) FROM dl WHERE factor = 'has_emoji' AND lift > 0.1
+  UNION ALL SELECT 'working', 5, lpad(CAST(v AS VARCHAR), 3, '0'), printf('Our post %s went viral on %s (%sx above average)', post_id, {PNAME}, CAST(multiplier AS VARCHAR)) FROM vp WHERE v <= 2),
+attn AS (
+  SELECT 'attention' AS list, 1 AS ix, platform AS sub_key, printf('%s reach has been declining recently — try new content formats or increase posting frequency', {PNAME}) AS text FROM pg WHERE reach_trend = 'declining'
+  UNION ALL SELECT 'attention', 2, concat_ws('|', platform, CAST(severity_rank AS VARCHAR), content_type), printf('Our audience may be getting tired of %s posts on %s (engagement is dropping)', {CTITLE}, {PNAME}) FROM fat WHERE trend = 'declining'
+  UNION ALL SELECT 'attention', 3, NULL, 'We''re getting lots of likes but very few comments — try asking questions or creating discussion-worthy content' FROM ec WHERE conversation_ratio < 0.05
+  UNION ALL SELECT 'attention', 4, platform, printf('%s engagement is below the industry average — our content strategy on this platform needs a refresh', {PNAME}) FROM ov WHERE vs_benchmark < -0.02),
+cf AS (SELECT * FROM cad WHERE platform = (SELECT min(platform) FROM cad)),
+gr AS (SELECT * FROM fat WHERE trend = 'growing'),
+gf AS (SELECT * FROM gr WHERE platform = (SELECT min(platform) FROM gr)),
+gf2 AS (SELECT * FROM gf WHERE content_type = (SELECT min(content_type) FROM gf)),
+acts0 AS (
+  SELECT 'actions' AS list, 1 AS ix, NULL AS sub_key, printf('Create more %s content on %s — it''s your top performer', {CTITLE}, {PNAME}) AS text FROM pcr WHERE platform = (SELECT min(platform) FROM pcr)
+  UNION ALL SELECT 'actions', 2, NULL, printf('Schedule your most important post for %d:00 KST', hour) FROM hp
+  UNION ALL SELECT 'actions', 3, NULL, printf('Try posting %d times per week on %s (currently ~%d)', optimal_for_engagement, {PNAME}, CAST(round_even(current_cadence, 0) AS BIGINT)) FROM cf WHERE optimal_for_engagement > current_cadence + 1
+  UNION ALL SELECT 'actions', 4, NULL, printf('%s content is gaining momentum on %s — invest more in this format', {CTITLE}, {PNAME}) FROM gf2 WHERE (SELECT count(*) FROM attn) > 0),
+acts AS (SELECT * FROM acts0 UNION ALL SELECT 'actions', 9, NULL, 'Keep posting consistently — your data is still building and the models will improve each week' WHERE (SELECT count(*) FROM acts0) = 0),
+allr AS (SELECT * FROM work UNION ALL SELECT * FROM attn UNION ALL SELECT * FROM acts),
+r AS (SELECT *, row_number() OVER (PARTITION BY list ORDER BY ix, sub_key NULLS FIRST) AS pos FROM allr)
+SELECT list, CAST(pos AS INTEGER) AS pos, text FROM r
+WHERE pos <= CASE list WHEN 'working' THEN 6 WHEN 'attention' THEN 5 ELSE 4 END
+"""
