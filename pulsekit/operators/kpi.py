@@ -36,7 +36,15 @@ def period_flags(posts: DataFrame):
     return this_week, last_week
 
 
-def platform_overview(posts: DataFrame) -> DataFrame:
+def median(c: str, approx: bool = False, accuracy: int = 100_000):
+    """Interpolated median.  Exact (``percentile``) by default, as the
+    reference; ``approx=True`` uses ``percentile_approx`` whose per-group
+    state is a bounded sketch — the choice for groups of billions of
+    distinct values, where the exact value->count map would not fit a task."""
+    return F.percentile_approx(c, 0.5, accuracy) if approx else F.percentile(c, 0.5)
+
+
+def platform_overview(posts: DataFrame, approx_median: bool = False) -> DataFrame:
     """C1 (with C2 weighted mean, C3 week-over-week, C4 top post, F3 periods)."""
     tw, lw = period_flags(posts)
 
@@ -49,7 +57,7 @@ def platform_overview(posts: DataFrame) -> DataFrame:
         F.sum("reach").alias("total_reach"),
         F.sum("engagement_total").alias("total_engagement"),
         X.wavg("engagement_rate").alias("_wr"),
-        F.percentile("engagement_rate", 0.5).alias("_median"),
+        median("engagement_rate", approx_median).alias("_median"),
         F.sum("followers_gained").alias("total_followers_gained"),
         s_if(tw, "reach").alias("_reach_tw"), s_if(lw, "reach").alias("_reach_lw"),
         s_if(tw, "engagement_total").alias("_eng_tw"), s_if(lw, "engagement_total").alias("_eng_lw"),
