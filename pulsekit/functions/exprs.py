@@ -161,3 +161,20 @@ def benchmark(c: Column) -> Column:
 def tie_key_newest_first() -> list[Column]:
     """Deterministic stand-in for the reference's table order (newest first)."""
     return [F.col("published_at").desc_nulls_last(), F.col("platform").asc(), F.col("post_id").asc()]
+
+
+def distribution_pct(c: Column) -> Column:
+    """A 0..1 distribution share -> percentage with 1 dp (null when
+    the value is not numeric)."""
+    return F.round(c.cast("string").try_cast("double") * 100, 1)
+
+
+def safe_text(c: Column, max_len: int | None = None) -> Column:
+    """HTML-escape a display string (& < > ") and optionally cut it to
+    ``max_len`` characters first."""
+    t = F.coalesce(c.cast("string"), F.lit(""))
+    if max_len:
+        t = F.substring(t, 1, max_len)
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        t = F.replace(t, F.lit(a), F.lit(b))
+    return t

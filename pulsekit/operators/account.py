@@ -143,3 +143,26 @@ def hourly_activity(events: DataFrame) -> DataFrame:
     return (r.select("platform", "hour", "avg_active",
                      F.when(F.col("_r") <= 3, F.col("_r")).alias("peak_rank"))
             .where((F.col("avg_active") > 0) | F.col("peak_rank").isNotNull()))
+
+
+TIKTOK_METRICS = ["views", "visits", "likes", "comments", "shares", "total_viewers", "new_viewers",
+                  "returning_viewers", "follower_count", "follows"]
+
+
+def tiktok_daily(series: DataFrame) -> DataFrame:
+    """A5: the TikTok-style account table from its per-file series
+    (overview, viewers, follower history): pivot the metrics present, derive
+    interactions = likes + comments + shares only when all three series
+    exist for the account, densify the calendar, 7-day means of views,
+    follows, interactions and visits."""
+    present = (series.groupBy("platform")
+               .agg(F.collect_set("metric").alias("_m"))
+               .select("platform", (F.array_contains("_m", "likes") & F.array_contains("_m", "comments")
+                                    & F.array_contains("_m", "shares")).alias("_has_inter")))
+    d = daily_dense(series, TIKTOK_METRICS).join(F.broadcast(present), "platform")
+    d = d.withColumn("interactions", F.when(F.col("_has_inter"), F.col("likes") + F.col("comments") + F.col("shares"))
+                     ).drop("_has_inter")
+    w = Window.partitionBy("platform").orderBy("date").rowsBetween(-6, 0)
+    for c in ["views", "follows", "interactions", "visits"]:
+        d = d.withColumn(f"{c}_7d_avg", F.bround(F.avg(c).over(w), 1))
+    return d

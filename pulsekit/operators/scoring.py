@@ -166,3 +166,10 @@ def expected_performance(posts: DataFrame, min_match: int = 3) -> DataFrame:
         n.alias("based_on_posts"),
         F.when(use_pair, "content_type").otherwise("platform").alias("basis"))
     return out.where(F.col("based_on_posts") >= min_match)
+
+
+def score_content(posts: DataFrame, n: int = 10) -> dict[str, DataFrame]:
+    """X11: the scoring bundle (top posts, by type, by platform) over one
+    scored frame."""
+    return {"top_posts": top_scored(posts, n), "content_type_scores": scores_by_type(posts),
+            "platform_scores": scores_by_platform(posts)}

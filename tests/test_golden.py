@@ -60,3 +60,22 @@ def test_daily_rate_and_rolling(spark):
     assert d[1]["engagement_rate_daily"] == 0.3333 and d[3]["engagement_rate_daily"] == 0.0
     assert d[4]["engagement_rate_daily"] == 0.2857
     assert d[2]["reach"] == 0 and d[4]["reach_7d_avg"] == 2.5
+
+
+def test_gender_distribution_and_safe_text(spark):
+    df = spark.createDataFrame([("Female", "0.62"), ("Male", "0.37"), ("Other", "undefined")], "g string, d string")
+    got = [r[0] for r in df.select(X.distribution_pct(F.col("d"))).collect()]
+    assert got == [62.0, 37.0, None]
+    s = spark.createDataFrame([('a<b & "c">',)], "t string").select(X.safe_text(F.col("t"), 6)).first()[0]
+    assert s == "a&lt;b &amp; "
+
+
+def test_tiktok_daily_interactions_rule(spark):
+    rows = [("tt", m, dt.date(2026, 1, d), v) for d in (1, 3) for m, v in
+            (("views", 10 * d), ("likes", d), ("comments", 1), ("shares", 2))]
+    rows += [("ig", "views", dt.date(2026, 1, 1), 5), ("ig", "likes", dt.date(2026, 1, 1), 1)]
+    s = spark.createDataFrame(rows, "platform string, metric string, date date, value long")
+    d = {(r["platform"], r["date"].day): r for r in account.tiktok_daily(s).collect()}
+    assert d[("tt", 1)]["interactions"] == 4 and d[("tt", 2)]["interactions"] == 0
+    assert d[("tt", 3)]["views_7d_avg"] == 13.3
+    assert d[("ig", 1)]["interactions"] is None        # comments/shares series missing
