@@ -207,10 +207,14 @@ def normalize_export(df: DataFrame, platform: str, spec: dict[str, list[str]] |
         sel[source_col] = F.col(source_col)
     out = df.select(*[v.alias(k) for k, v in sel.items()])
     if platform == "youtube" and "watch_time_sec" in cm:
-        # A file whose mean watch time is < 1000 is in hours
-        part = Window.partitionBy(source_col) if source_col else Window.partitionBy()
-        out = out.withColumn("watch_time_sec", F.when(F.avg("watch_time_sec").over(part) < 1000,
-                                                      (F.col("watch_time_sec") * 3600).cast("long"))
+        # A file whose mean watch time is < 1000 is in hours.  Per
+        # source file (a size-bounded export) when files are known, else
+        # one scalar subquery over the whole frame — never a global window.
+        if source_col:
+            mean = F.avg("watch_time_sec").over(Window.partitionBy(source_col))
+        else:
+            mean = out.select(F.avg("watch_time_sec")).scalar()
+        out = out.withColumn("watch_time_sec", F.when(mean < 1000, (F.col("watch_time_sec") * 3600).cast("long"))
                              .otherwise(F.col("watch_time_sec")))
     eng = F.col("likes") + F.col("comments") + F.col("shares") + F.col("saves")
     return (out.withColumn("engagement_total", eng)

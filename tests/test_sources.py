@@ -145,3 +145,14 @@ def test_incremental_stream(spark, tmp_path):
 def test_normalize_column_map_first_candidate_wins():
     cm = normalize.build_column_map(["\ufeffPost ID", "Reach", "Impressions"], normalize.SOURCE_SPECS["instagram"])
     assert cm["post_id"] == "\ufeffPost ID" and cm["reach"] == "Reach" and cm["views"] == "Impressions"
+
+
+def test_youtube_watch_hours_heuristic(spark):
+    hours = spark.createDataFrame([("a", "Video 1", "2.5"), ("b", "Video 2", "1")],
+                                  "`Video ID` string, `Video title` string, `Watch time (hours)` string")
+    secs = spark.createDataFrame([("c", "Video 3", "5000"), ("d", "Video 4", "7000")],
+                                 "`Video ID` string, `Video title` string, `Watch time (hours)` string")
+    h = {r["post_id"]: r["watch_time_sec"] for r in normalize.normalize_export(hours, "youtube").collect()}
+    s = {r["post_id"]: r["watch_time_sec"] for r in normalize.normalize_export(secs, "youtube").collect()}
+    assert h == {"a": 7200, "b": 3600}      # int() truncation before the unit switch, as the reference
+    assert s == {"c": 5000, "d": 7000}
