@@ -156,3 +156,21 @@ def test_youtube_watch_hours_heuristic(spark):
     s = {r["post_id"]: r["watch_time_sec"] for r in normalize.normalize_export(secs, "youtube").collect()}
     assert h == {"a": 7200, "b": 3600}      # int() truncation before the unit switch, as the reference
     assert s == {"c": 5000, "d": 7000}
+
+
+def test_legacy_encoding_fallback(spark, tmp_path):
+    p = str(tmp_path / "kr.csv")
+    _write(p, "제목,좋아요\n서울 여행,12\n", "cp949")
+    t = exports.read_text_files(spark, p)
+    assert t.first()["text"].startswith("제목,좋아요")
+
+
+def test_demographics_version_log(spark, tmp_path):
+    log = str(tmp_path / "demo_log")
+    d1 = spark.createDataFrame([("tiktok", "GR", 38.1)], "platform string, code string, percentage double")
+    d2 = spark.createDataFrame([("tiktok", "GR", 40.0)], "platform string, code string, percentage double")
+    history.append_demographics(spark, log, d1, "2026-03-01")
+    history.append_demographics(spark, log, d2, "2026-03-08")
+    latest = history.latest_demographics(spark, log).collect()
+    assert len(latest) == 1 and latest[0]["percentage"] == 40.0
+    assert spark.read.json(log).count() == 2
