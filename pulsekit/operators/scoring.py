@@ -96,12 +96,18 @@ def scored_posts_view(posts: DataFrame) -> DataFrame:
         "composite_score", "grade")
 
 
-def scores_by_type(posts: DataFrame) -> DataFrame:
+def _pct(c: str, q, approx: bool):
+    """Exact interpolated percentile(s), or a bounded-state sketch when
+    ``approx`` (groups with billions of distinct values)."""
+    return F.percentile_approx(c, q, 100_000) if approx else F.percentile(c, q)
+
+
+def scores_by_type(posts: DataFrame, approx: bool = False) -> DataFrame:
     """Composite score mean/median/max/min/count per content type (1 dp)."""
     s = scored_posts(posts)
     return s.groupBy("content_type").agg(
         F.round(F.avg("composite_score"), 1).alias("avg_score"),
-        F.round(F.percentile("composite_score", 0.5), 1).alias("median_score"),
+        F.round(_pct("composite_score", 0.5, approx), 1).alias("median_score"),
         F.round(F.max("composite_score"), 1).alias("best_score"),
         F.round(F.min("composite_score"), 1).alias("worst_score"),
         F.count("composite_score").alias("count"))
@@ -129,20 +135,20 @@ def top_scored(posts: DataFrame, n: int = 10) -> DataFrame:
                       F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published_at"), "permalink")
 
 
-def expected_performance(posts: DataFrame, min_match: int = 3) -> DataFrame:
+def expected_performance(posts: DataFrame, min_match: int = 3, approx: bool = False) -> DataFrame:
     """For every (content type, platform) seen, medians of its own posts,
     falling back to the whole platform when it has < 3 posts.  Both grains
     are one aggregate each; the request rows pick one by support."""
     def stats(keys):
         return posts.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("n"),
-            F.percentile("reach", 0.5).alias("reach_med"),
-            F.percentile("engagement_total", 0.5).alias("eng_med"),
-            F.percentile("engagement_rate", 0.5).alias("rate_med"),
-            F.percentile("likes", 0.5).alias("likes_med"),
-            F.percentile("comments", 0.5).alias("comments_med"),
-            F.percentile("shares", 0.5).alias("shares_med"),
-            F.percentile("reach", [0.25, 0.75]).alias("reach_q"))
+            _pct("reach", 0.5, approx).alias("reach_med"),
+            _pct("engagement_total", 0.5, approx).alias("eng_med"),
+            _pct("engagement_rate", 0.5, approx).alias("rate_med"),
+            _pct("likes", 0.5, approx).alias("likes_med"),
+            _pct("comments", 0.5, approx).alias("comments_med"),
+            _pct("shares", 0.5, approx).alias("shares_med"),
+            _pct("reach", [0.25, 0.75], approx).alias("reach_q"))
     pair = stats(["content_type", "platform"])
     plat = stats(["platform"])
     cols = ["n", "reach_med", "eng_med", "rate_med", "likes_med", "comments_med", "shares_med", "reach_q"]
