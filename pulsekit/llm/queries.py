@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pulsekit.llm import mixing, secrets, topk
+from pulsekit.llm import bpe, mixing, secrets, topk
 
 QUERIES = {
+    "op2_bpe_round_trip": bpe.op2_bpe_round_trip,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op8_exact_top_k": topk.op8_exact_top_k,
     "op9_secret_scan": secrets.op9_secret_scan,
