@@ -18,7 +18,6 @@ import json
 import mmap
 import os
 import re
-import sys
 import tempfile
 import unicodedata
 import uuid
@@ -50,6 +49,18 @@ def default_vocabulary() -> str:
 
 
 _HIGH = re.compile("[\u0557-\U0010ffff]")
+#: Letters and digits that the tokenizer's word pattern does not count as such, being younger than its tables.
+LATE_LETTERS = [
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F),
+    (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1), (0xAB6C,
+    0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A),
+    (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1), (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550,
+    0x12686), (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF6), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA),
+    (0x18D09, 0x18D20), (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168,
+    0x1B168), (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF),
+    (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE,
+    0x1E6FF), (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F),
+]
 #: Lower case of capitals younger than Python's Unicode tables (single ones, then runs with their distance).
 LATE_LOWER = ({0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
               | {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)})
@@ -98,13 +109,11 @@ class Vocabulary:
 
     @cached_property
     def late(self) -> tuple:
-        """Letters and digits that the word pattern does not count as such, being younger than its
-        Unicode tables; and the pattern without them."""
-        free = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Cn")
-        young = "".join(map(regex.escape, regex.findall(r"[\p{L}\p{N}]", free)))
+        """What finds a late letter, and the word pattern without them."""
+        young = "".join(f"{chr(a)}-{chr(b)}" for a, b in LATE_LETTERS)
         words = (self.words.pattern.replace(r"[^\s\p{L}\p{N}]+", rf"(?:[^\s\p{{L}}\p{{N}}]|[{young}])+")
                  .replace(r"[\p{L}]+", rf"[\p{{L}}--[{young}]]+").replace(r"|[\p{N}]|", rf"|[\p{{N}}--[{young}]]|"))
-        return regex.compile(f"[{young}]"), regex.compile(words, regex.V1)
+        return regex.compile(f"[{young}{''.join(map(chr, LATE_LOWER))}]"), regex.compile(words, regex.V1)
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word by the rank rules."""

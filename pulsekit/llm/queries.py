@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pulsekit.llm import bpe, mixing, secrets, topk
+from pulsekit.llm import bpe, mixing, quality, secrets, topk
 
 QUERIES = {
     "op2_bpe_round_trip": bpe.op2_bpe_round_trip,
     "op3_mix_sources": mixing.op3_mix_sources,
+    "op7_quality_rules": quality.op7_quality_rules,
     "op8_exact_top_k": topk.op8_exact_top_k,
     "op9_secret_scan": secrets.op9_secret_scan,
 }
