@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pulsekit.llm import bpe, mixing, quality, secrets, topk
+from pulsekit.llm import bpe, licences, mixing, quality, secrets, topk, toxicity
 
 QUERIES = {
     "op2_bpe_round_trip": bpe.op2_bpe_round_trip,
     "op3_mix_sources": mixing.op3_mix_sources,
+    "op6_licence_scan": licences.op6_licence_scan,
     "op7_quality_rules": quality.op7_quality_rules,
     "op8_exact_top_k": topk.op8_exact_top_k,
     "op9_secret_scan": secrets.op9_secret_scan,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 SQL = {
     "op3_mix_sources": mixing.SQL_MIX,
+    "op6_licence_scan": licences.SQL_LICENCES,
     "op8_exact_top_k": topk.SQL_TOP_K,
     "op9_secret_scan": secrets.SQL_SECRETS,
 }
