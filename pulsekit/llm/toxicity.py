@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 from pulsekit.llm.common import cut, table
 
 #: Words with weights, the most telling of the training labels first.
-VOCABULARY = 4096
+VOCABULARY = 256
 #: Documents per class (distinct texts, in hash order) on which the weights are fitted.
 FIT_DOCS = 2000
 #: A word must be in this many toxic training texts and have this log-likelihood ratio.
-MIN_TOXIC, MIN_RATIO = 3, 20.0
-STEPS, RATE, RIDGE, START_BIAS = 300, 0.1, 2e-3, -4.0
+MIN_TOXIC, MIN_RATIO = 3, 10.8
+STEPS, RATE, RIDGE, START_BIAS = 300, 0.1, 1e-6, -4.0
 THRESHOLD = 0.7
 #: Sentences with at least this score are reported.
 OFFENDING = 0.5
@@ -117,7 +117,7 @@ def fit(train: DataFrame, words: list[str], fit_docs: int = FIT_DOCS) -> dict[st
         slope = share * (np.where(y == 1, -1 / np.expm1(np.minimum(a, 500)), 1.0))
         g = slope[doc] / (1 + np.exp(-z))
         grad = np.append(np.bincount(at, g[sent], len(words)), g.sum())
-        grad[:-1] += RIDGE * w[:-1] / len(words)
+        grad[:-1] += RIDGE * w[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         w -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-9)
     return dict(zip(words, np.round(w[:-1], 6).tolist())) | {"": float(np.round(w[-1], 6))}
