@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pulsekit.llm import bpe, licences, mixing, quality, secrets, topk, toxicity
+from pulsekit.llm import bpe, licences, mixing, near_dedup, quality, secrets, topk, toxicity
 
 QUERIES = {
     "op2_bpe_round_trip": bpe.op2_bpe_round_trip,
     "op3_mix_sources": mixing.op3_mix_sources,
+    "op4_near_dedup": near_dedup.op4_near_dedup,
     "op6_licence_scan": licences.op6_licence_scan,
     "op7_quality_rules": quality.op7_quality_rules,
     "op8_exact_top_k": topk.op8_exact_top_k,
@@ -16,6 +17,7 @@ QUERIES = {
 
 SQL = {
     "op3_mix_sources": mixing.SQL_MIX,
+    "op4_near_dedup": near_dedup.SQL_NEAR,
     "op6_licence_scan": licences.SQL_LICENCES,
     "op8_exact_top_k": topk.SQL_TOP_K,
     "op9_secret_scan": secrets.SQL_SECRETS,
