@@ -39,7 +39,7 @@ LEXICON_WORDS = 1 << 16
 #: Words longer than this (bytes) are merged, not compiled.
 LEXICON_BYTES = 48
 #: Words that a worker remembers before it starts anew, and characters that it holds at once.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 400_000
 SLICE_CHARS = 2_000_000
 
 
@@ -98,7 +98,7 @@ class Vocabulary:
 
     def _plain(self, text: str) -> list[str]:
         if text.isascii():
-            return self.words.findall(text.lower())
+            return self.ascii_words.findall(text.lower())
         # lower-casing goes by single characters: no final form of sigma
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         if _HIGH.search(text):
@@ -107,6 +107,11 @@ class Vocabulary:
                 return words.findall(text.lower().translate(LATE_LOWER))
         return self.words.findall(text.lower())
 
+    @cached_property
+    def ascii_words(self) -> re.Pattern:
+        """The word pattern within lower-cased ASCII, for the plain regular expressions."""
+        return re.compile(self.words.pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\t-\r a-z0-9]").replace(r"[\p{L}]", "[a-z]").replace(r"[\p{N}]", "[0-9]"))
+
     @cached_property
     def late(self) -> tuple:
         """What finds a late letter, and the word pattern without them."""
@@ -115,28 +120,63 @@ class Vocabulary:
                  .replace(r"[\p{L}]+", rf"[\p{{L}}--[{young}]]+").replace(r"|[\p{N}]|", rf"|[\p{{N}}--[{young}]]|"))
         return regex.compile(f"[{young}{''.join(map(chr, LATE_LOWER))}]"), regex.compile(words, regex.V1)
 
-    def merge(self, word: str) -> list[int]:
-        """Ids of one word by the rank rules."""
-        if word in self.special:
-            return [self.special[word]]
-        parts = [self.symbol[b] for b in word.encode("utf-8", "surrogatepass")]
-        parts[-1] += self.end
-        rank = self.rank
-        while len(parts) > 1:
-            least, at = min((rank.get(pair, 1 << 60), i) for i, pair in enumerate(zip(parts, parts[1:])))
-            if least == 1 << 60:
-                break
-            left, right = parts[at], parts[at + 1]
-            out, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and parts[i] == left and parts[i + 1] == right:
-                    out.append(left + right)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return [self.ids[p] for p in parts if p in self.ids]
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted keys of mergeable id pairs, with the rank and the merged id of each."""
+        known = [(self.ids[a] << 32 | self.ids[b], r, self.ids[a + b]) for (a, b), r in self.rank.items()
+                 if a in self.ids and b in self.ids and a + b in self.ids]
+        return tuple(np.array(sorted(known), np.int64).reshape(-1, 3).T.copy())
+
+    @cached_property
+    def bytes_to_ids(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of single bytes inside a word and at its end."""
+        return (np.array([self.ids.get(self.symbol[b], -1) for b in range(256)]),
+                np.array([self.ids.get(self.symbol[b] + self.end, -1) for b in range(256)]))
+
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Ids (as bytes) of each word by the rank rules: always the leftmost pair of lowest rank.
+
+        Words of one length go together.  In each round every unfinished word merges
+        one pair, so all of them stay equally long.
+        """
+        out: list[bytes] = [b""] * len(words)
+        keys, ranks, merged = self.pairs
+        none = len(self.rank)
+        by_size: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            by_size.setdefault(len(w), []).append(i)
+        for size, rows in by_size.items():
+            if not size:
+                continue
+            raw = np.frombuffer(b"".join([words[i] for i in rows]), np.uint8).reshape(-1, size)
+            ids = self.bytes_to_ids[0][raw]
+            ids[:, -1] = self.bytes_to_ids[1][raw[:, -1]]
+            at = np.array(rows)
+            while len(at):
+                rank = np.full((len(at), max(1, ids.shape[1] - 1)), none)
+                if ids.shape[1] > 1 and len(keys):
+                    pair = ids[:, :-1] << 32 | ids[:, 1:]
+                    pos = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+                    rank = np.where(keys[pos] == pair, ranks[pos], none)
+                first = rank.argmin(axis=1)
+                row = np.arange(len(at))
+                open_ = rank[row, first] < none
+                flat, n = ids[~open_].astype("<u4").tobytes(), 4 * ids.shape[1]
+                for k, i in enumerate(at[~open_].tolist()):
+                    out[i] = flat[k * n:(k + 1) * n]
+                if not open_.any():
+                    break
+                ids, at, first, row = ids[open_], at[open_], first[open_], row[open_]
+                new = merged[pos[row, first]]
+                rest = np.arange(ids.shape[1] - 1)
+                ids = np.take_along_axis(ids, rest + (rest > first[:, None]), axis=1)
+                ids[np.arange(len(at)), first] = new
+        return out
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids (as bytes) of words and special tokens."""
+        out = self.merge([b"" if w in self.special else w.encode("utf-8", "surrogatepass") for w in words])
+        return [np.array([self.special[w]], "<u4").tobytes() if w in self.special else o for w, o in zip(words, out)]
 
     def decode(self, ids: np.ndarray) -> str:
         return " ".join(filter(None, self.names[ids[ids < len(self.names)]].tolist()))
@@ -270,7 +310,8 @@ def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> str
     top = (count_words(docs, path).where(F.octet_length("word") <= LEXICON_BYTES)
            .orderBy(F.col("n").desc(), "word").limit(words).collect())
     voc = vocabulary(path)
-    block = compile_lexicon({r["word"].encode(): voc.merge(r["word"]) for r in top})
+    names = [r["word"] for r in top]
+    block = compile_lexicon({w.encode(): np.frombuffer(x, "<u4").tolist() for w, x in zip(names, voc.encode_words(names))})
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     local = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)   # the driver's copy, from which Spark serves the file
     with open(local, "wb") as f:
@@ -292,8 +333,10 @@ class Encoder:
         memo = self.memo
         split = [self.voc.split(t) for t in texts]
         new = [w for w in set().union(*split) if w not in memo]
-        for word, found in zip(new, self.lexicon.find([w.encode("utf-8", "surrogatepass") for w in new])):
-            memo[word] = np.array(self.voc.merge(word), "<u4").tobytes() if found is None else found
+        found = self.lexicon.find([w.encode("utf-8", "surrogatepass") for w in new])
+        memo.update((w, f) for w, f in zip(new, found) if f is not None)
+        unseen = [w for w, f in zip(new, found) if f is None]
+        memo.update(zip(unseen, self.voc.encode_words(unseen)))
         return [b"".join([memo[w] for w in ws]) for ws in split]
 
 

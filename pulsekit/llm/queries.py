@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pulsekit.llm import bpe, licences, mixing, near_dedup, quality, secrets, topk, toxicity
+from pulsekit.llm import bpe, licences, mixing, near_dedup, quality, secrets, substring, topk, toxicity
 
 QUERIES = {
+    "op1_repeated_passages": substring.op1_repeated_passages,
     "op2_bpe_round_trip": bpe.op2_bpe_round_trip,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op4_near_dedup": near_dedup.op4_near_dedup,

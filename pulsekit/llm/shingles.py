@@ -84,8 +84,8 @@ def shingle(words: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray,
         keep = inside & long[doc]
         out[np.repeat(long, size)] = mix(run[keep] + np.uint64(k))
     for d in np.flatnonzero((n > 0) & ~long):
-        h = np.uint64(0)
-        for w in words[offsets[d]: offsets[d + 1]]:
-            h = h * _STEP + w
-        out[out_at[d]] = mix(np.array([h + n[d].astype(np.uint64)]))[0]
+        h = 0
+        for w in words[offsets[d]: offsets[d + 1]].tolist():
+            h = (h * int(_STEP) + w + 1) % (1 << 64)
+        out[out_at[d]] = mix(np.array([h], np.uint64))[0]
     return out, out_at
