@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import cut, table
+from pulsekit.llm.common import materialise, table
 
 #: Words with weights, the most telling of the training labels first.
 VOCABULARY = 256
@@ -49,7 +49,10 @@ def training_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, toxic) of the labelled, not held-out documents; each distinct text once, toxic if any label says so."""
     marks = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
-    return rows.join(marks, "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
+    rows = materialise(rows.join(marks, "doc_id").withColumn("h", F.xxhash64("text", F.length("text"))))
+    # which row stands for a text is settled on narrow rows
+    first = rows.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("mark"))
+    return materialise(rows.join(first, ["doc_id", "h"]).select("text", F.col("mark").alias("toxic")))
 
 
 def telling_words(train: DataFrame, size: int = VOCABULARY) -> list[str]:
@@ -151,7 +154,7 @@ def score(docs: DataFrame, weights: dict[str, float]) -> DataFrame:
 
 
 def train_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    train = cut(training_texts(docs, labels))
+    train = training_texts(docs, labels)
     return score(docs, fit(train, telling_words(train)))
 
 
