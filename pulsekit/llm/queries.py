@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pulsekit.llm import bpe, licences, mixing, near_dedup, quality, secrets, substring, topk, toxicity
+from pulsekit.llm import bpe, licences, mixing, near_dedup, quality, repeats, secrets, substring, topk, toxicity
 
 QUERIES = {
     "op1_repeated_passages": substring.op1_repeated_passages,
     "op2_bpe_round_trip": bpe.op2_bpe_round_trip,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op4_near_dedup": near_dedup.op4_near_dedup,
+    "op5_repeat_removal": repeats.op5_repeat_removal,
     "op6_licence_scan": licences.op6_licence_scan,
     "op7_quality_rules": quality.op7_quality_rules,
     "op8_exact_top_k": topk.op8_exact_top_k,
