@@ -48,11 +48,12 @@ def sentence_words(text: str) -> Iterator[tuple[int, int, list[str]]]:
 def training_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, toxic) of the labelled, not held-out documents; each distinct text once, toxic if any label says so."""
     marks = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
-    rows = materialise(rows.join(marks, "doc_id").withColumn("h", F.xxhash64("text", F.length("text"))))
-    # which row stands for a text is settled on narrow rows
-    first = rows.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("mark"))
-    return materialise(rows.join(first, ["doc_id", "h"]).select("text", F.col("mark").alias("toxic")))
+    rows = (docs.select("doc_id", "text").where(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
+            .withColumn("h", F.xxhash64("text", F.length("text"))))
+    # which row stands for a text is settled on narrow rows; texts are shuffled once, by the same plan at every size
+    first = (rows.select("doc_id", "h").join(marks, "doc_id")
+             .groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")))
+    return materialise(rows.hint("merge").join(first, ["doc_id", "h"]).select("text", "toxic"))
 
 
 def telling_words(train: DataFrame, size: int = VOCABULARY) -> list[str]:
