@@ -70,7 +70,7 @@ def ranked(df: DataFrame, by: list[str], order: list[str], name: str = "rank") -
     on = F.col("_part") == F.col("_p")
     for c in by:
         on = on & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    return out.join(parts, on).select(*df.columns, (F.col("_base") + F.col("_at")).alias(name))
+    return out.join(parts, on).select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_base") + F.col("_at")).alias(name))
 
 
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:

@@ -63,12 +63,14 @@ def mix(docs: DataFrame, max_repeat: int = MAX_REPEAT, offsets: int = OFFSETS) -
     """All rows of ``docs`` (with ``doc_id``, ``source``, ``size``) plus source_size, target, copies, taken.
 
     Rows with size 0 take no words.  Null sources form one source.  Equal rows
-    are counted each for itself.  Empty input: empty output.  Further columns pass through.
+    are counted each for itself.  Empty input: empty output.  Further columns pass through,
+    but for any named like an added one, which is replaced.
     """
-    tie = F.xxhash64(*[F.col(c) for c in docs.columns])
-    keep = list(docs.columns)
+    docs = docs.drop("source_size", "target", "copies", "taken")
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    keep = [F.col(f"`{c}`") for c in docs.columns]
     rows = ranked(docs.withColumn("_tie", tie), ["source"], ["size", "doc_id", "_tie"], "_k")
-    targets = source_targets(docs.select("source", "size"), max_repeat)
+    targets = source_targets(rows.select("source", "size"), max_repeat)
     t = targets.select(F.col("source").alias("_s"), "source_size", "target",
                        F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0)).alias("_rate"))
     narrow = rows.select("source", "size", "_k").join(t, F.col("source").eqNullSafe(F.col("_s")))
