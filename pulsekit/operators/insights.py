@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsekit.functions import exprs as X
+from pulsekit.functions.messages import TEXT
 from pulsekit.operators import growth, kpi, scoring, temporal
 from pulsekit.session import cut_lineage
 
@@ -41,55 +42,52 @@ def recommendations(posts: DataFrame, min_posts: int = 10) -> DataFrame:
     # 1. best content type per platform
     pcr = cut_lineage(kpi.platform_content_ranking(posts).where(F.col("rank") == 1))
     rules.append(_rec(pcr, 1, "high", "content", F.format_string(
-        "On %s, your best content type is '%s' with %s avg engagement (%d posts). Create more of this.",
+        TEXT["on_your_best_content_type"],
         pname, X.content_label(F.col("content_type")), _pct1(F.col("engagement_rate")), F.col("count")), F.col("platform")))
     # 2-4. best hour: the top hour if it has >= 3 posts, else the first of
     # the top-3 hours with >= 3 posts, else a low-priority note
     top3 = cut_lineage(temporal.hourly_profile(posts).where(F.col("rank") <= 3))
     first_ok = top3.where(F.col("post_count") >= 3).select(F.min("rank")).scalar()
     rules.append(_rec(top3.where((F.col("rank") == 1) & (F.col("post_count") >= 3)), 2, "high", "timing",
-                      F.format_string("Your best posting hour is %d:00 KST (based on %.0f posts). Schedule "
-                                      "high-priority content around this time.", F.col("hour"), F.col("post_count"))))
+                      F.format_string(TEXT["your_best_posting_hour_is"], F.col("hour"), F.col("post_count"))))
     rules.append(_rec(top3.where((F.col("rank") == first_ok) & (first_ok > 1)), 3, "medium", "timing",
-                      F.format_string("Hour %d:00 KST shows strong engagement (%.0f posts). Consider posting around "
-                                      "this time.", F.col("hour"), F.col("post_count"))))
+                      F.format_string(TEXT["hour_kst_shows_strong_engagement"], F.col("hour"), F.col("post_count"))))
     rules.append(_rec(top3.where((F.col("rank") == 1) & first_ok.isNull()), 4, "low", "timing",
-                      F.lit("Not enough data per time slot to recommend posting hours yet. Keep adding weekly exports.")))
+                      F.lit(TEXT["not_enough_data_per_time"])))
     # 5. best day
     dp = temporal.daily_profile(posts).where((F.col("rank") == 1) & (F.col("post_count") >= 3))
     rules.append(_rec(dp, 5, "medium", "timing", F.format_string(
-        "Best performing day is %s. Consider making this your primary posting day.", F.col("day_of_week"))))
+        TEXT["best_performing_day_is_consider"], F.col("day_of_week"))))
     # 6. conversation ratio
     ec = kpi.engagement_composition(posts).where(F.col("conversation_ratio") < 0.05)
     rules.append(_rec(ec, 6, "medium", "engagement", F.lit(
-        "Comments-to-likes ratio is low. Try asking questions, running polls, or creating discussion-worthy content.")))
+        TEXT["comments_to_likes_ratio_is"])))
     # 7/8. benchmark gap
     ov = cut_lineage(kpi.platform_overview(posts))
     rules.append(_rec(ov.where(F.col("vs_benchmark") < -0.02), 7, "medium", "platform", F.format_string(
-        "%s engagement is below industry benchmark. Review content strategy for this platform.", pname), F.col("platform")))
+        TEXT["engagement_is_below_industry_benchmark"], pname), F.col("platform")))
     rules.append(_rec(ov.where(F.col("vs_benchmark") > 0.02), 8, "low", "platform", F.format_string(
-        "%s is outperforming industry benchmark by %s! Keep up the great work.", pname, _pct1(F.col("vs_benchmark"))),
+        TEXT["is_outperforming_industry_benchmark_by"], pname, _pct1(F.col("vs_benchmark"))),
         F.col("platform")))
     # 9/10. reach trend per platform
     pg = cut_lineage(growth.platform_growth(posts))
     rules.append(_rec(pg.where(F.col("reach_trend") == "declining"), 9, "high", "growth", F.format_string(
-        "%s reach is declining. Consider boosting posting frequency or trying new content formats on this platform.",
+        TEXT["reach_is_declining_consider_boosting"],
         pname), F.col("platform")))
     rules.append(_rec(pg.where(F.col("reach_trend") == "growing"), 10, "low", "growth", F.format_string(
-        "%s reach is growing! Keep up the momentum.", pname), F.col("platform")))
+        TEXT["reach_is_growing_keep_up"], pname), F.col("platform")))
     # 11. viral formats per platform
     vp = (scoring.viral_posts(posts).groupBy("platform")
           .agg(F.array_join(F.array_sort(F.collect_set(X.content_label(F.col("content_type")))), ", ").alias("_types")))
     rules.append(_rec(vp, 11, "high", "content", F.format_string(
-        "Viral content on %s: %s. Create more content in these formats.", pname, F.col("_types")), F.col("platform")))
+        TEXT["viral_content_on_create_more"], pname, F.col("_types")), F.col("platform")))
     # 12. methodology note
     nplat = posts.select(F.count_distinct("platform")).scalar()
     rules.append(_rec(one.where(nplat > 1), 12, "low", "methodology", F.lit(
-        "Note: Instagram engagement rate uses reach as denominator; TikTok uses views. Direct rate comparison "
-        "between platforms should be interpreted with this in mind.")))
+        TEXT["note_instagram_engagement_rate_uses"])))
     body = reduce(DataFrame.unionByName, rules).where(enough)
     warn = _rec(one.where(~enough), 0, "high", "data", F.lit(
-        "Not enough data for deep analysis yet. Keep adding weekly exports! At least 4 weeks of data is ideal."))
+        TEXT["not_enough_data_for_deep"]))
     out = body.unionByName(warn)
     w = Window.orderBy("priority_rank", "rule_ix", F.col("platform").asc_nulls_first())
     return out.withColumn("rank", F.row_number().over(w))
@@ -111,14 +109,11 @@ def pulse(posts: DataFrame) -> DataFrame:
     vmax = scoring.viral_posts(posts).select(F.max("multiplier")).scalar()
     g, b = F.col("signals_good"), F.col("signals_bad")
     cls = F.when((g >= 2) & (g > b * 3), "good").when((b >= 2) & (b >= g), "bad").otherwise("ok")
-    text = (F.when(cls == "good", "Things are looking great! Our content is connecting with the audience and engagement "
-                                  "is healthy across platforms.")
-            .when(cls == "bad", "There are some areas that need our attention. Engagement or reach is dropping on one "
-                                "or more platforms — let's adjust our approach.")
-            .otherwise("Our social media presence is steady. There's room to grow — the data shows a few "
-                       "opportunities we can take advantage of."))
+    text = (F.when(cls == "good", TEXT["things_are_looking_great_our"])
+            .when(cls == "bad", TEXT["there_are_some_areas_that"])
+            .otherwise(TEXT["our_social_media_presence_is"]))
     text = F.when(vmax.isNotNull(), F.concat(text, F.format_string(
-        " We had a standout post that performed %sx above average!", vmax.cast("string")))).otherwise(text)
+        TEXT["we_had_a_standout_post"], vmax.cast("string")))).otherwise(text)
     return s.select(g.cast("long").alias("signals_good"), b.cast("long").alias("signals_bad"),
                     cls.alias("pulse_class"), text.alias("pulse_text"))
 
@@ -135,19 +130,19 @@ def key_numbers(posts: DataFrame) -> DataFrame:
         return F.format_number(F.col(c).cast("double"), 0)
     lines = [
         tot.select(F.lit(1).alias("ix"), F.lit(None).cast("string").alias("platform"),
-                   F.format_string("We've published %s posts in total", fmt("p")).alias("text")),
+                   F.format_string(TEXT["we_ve_published_posts_in"], fmt("p")).alias("text")),
         ov.select(F.lit(2).alias("ix"), "platform", F.when(F.col("platform") == "tiktok", F.format_string(
             "%s: %s video views", pname, fmt("total_reach"))).otherwise(F.format_string(
                 "%s: reached %s people", pname, fmt("total_reach"))).alias("text")),
         tot.select(F.lit(3).alias("ix"), F.lit(None).cast("string").alias("platform"), F.format_string(
-            "We received %s interactions (likes, comments, shares, saves)", fmt("e")).alias("text")),
+            TEXT["we_received_interactions_likes_comments"], fmt("e")).alias("text")),
         tot.where(F.col("f") > 0).select(F.lit(4).alias("ix"), F.lit(None).cast("string").alias("platform"),
-                                         F.format_string("We gained %s new followers across all platforms", fmt("f")).alias("text")),
+                                         F.format_string(TEXT["we_gained_new_followers_across"], fmt("f")).alias("text")),
         ov.where(F.col("wow_reach_change") > 0.1).select(F.lit(5).alias("ix"), "platform", F.format_string(
-            "%s reach grew %d%% compared to last week", pname,
+            TEXT["reach_grew_compared_to_last"], pname,
             F.round(F.col("wow_reach_change") * 100, 0).cast("int")).alias("text")),
         ov.where(F.col("wow_reach_change") < -0.1).select(F.lit(5).alias("ix"), "platform", F.format_string(
-            "%s reach dropped %d%% compared to last week", pname,
+            TEXT["reach_dropped_compared_to_last"], pname,
             F.round(F.abs(F.col("wow_reach_change")) * 100, 0).cast("int")).alias("text")),
     ]
     return reduce(DataFrame.unionByName, lines)
@@ -179,33 +174,33 @@ def summary_lists(posts: DataFrame) -> DataFrame:
         return df.select(F.lit(lst).alias("list"), F.lit(ix).alias("ix"),
                          (sub if sub is not None else F.lit(None).cast("string")).alias("sub_key"), txt.alias("text"))
     work = [
-        item(pcr, "working", 1, F.format_string("%s posts on %s get the best engagement (%d posts analyzed)",
+        item(pcr, "working", 1, F.format_string(TEXT["posts_on_get_the_best"],
                                                 ctitle, pname, F.col("count")), F.col("platform")),
         item(hp.where(F.col("post_count") >= 3), "working", 2,
-             F.format_string("Posting around %d:00 KST gets the most engagement", F.col("hour"))),
+             F.format_string(TEXT["posting_around_kst_gets_the"], F.col("hour"))),
         item(dp.where(F.col("post_count") >= 3), "working", 3,
-             F.format_string("%s is our best performing day", F.col("day_of_week"))),
+             F.format_string(TEXT["is_our_best_performing_day"], F.col("day_of_week"))),
         item(dl.where((F.col("factor") == "is_multilingual") & (F.col("lift") > 0.1)), "working", 4,
-             F.format_string("Multilingual captions (Korean + English) boost engagement on %s", pname),
+             F.format_string(TEXT["multilingual_captions_korean_english_boost"], pname),
              F.concat(F.col("platform"), F.lit("1"))),
         item(dl.where((F.col("factor") == "has_emoji") & (F.col("lift") > 0.1)), "working", 4,
-             F.format_string("Using emojis increases engagement on %s", pname), F.concat(F.col("platform"), F.lit("2"))),
+             F.format_string(TEXT["using_emojis_increases_engagement_on"], pname), F.concat(F.col("platform"), F.lit("2"))),
         item(vp.withColumn("_v", F.row_number().over(Window.orderBy(F.col("multiplier").desc(), "platform", "post_id")))
              .where(F.col("_v") <= 2), "working", 5,
-             F.format_string("Our post %s went viral on %s (%sx above average)", F.col("post_id"), pname,
+             F.format_string(TEXT["our_post_went_viral_on"], F.col("post_id"), pname,
                              F.col("multiplier").cast("string")), F.lpad(F.col("_v").cast("string"), 3, "0")),
     ]
     attn = [
         item(pg.where(F.col("reach_trend") == "declining"), "attention", 1, F.format_string(
-            "%s reach has been declining recently — try new content formats or increase posting frequency", pname),
+            TEXT["reach_has_been_declining_recently"], pname),
             F.col("platform")),
         item(fat.where(F.col("trend") == "declining"), "attention", 2, F.format_string(
-            "Our audience may be getting tired of %s posts on %s (engagement is dropping)", ctitle, pname),
+            TEXT["our_audience_may_be_getting"], ctitle, pname),
             F.concat_ws("|", "platform", "severity_rank", "content_type")),
         item(ec.where(F.col("conversation_ratio") < 0.05), "attention", 3, F.lit(
-            "We're getting lots of likes but very few comments — try asking questions or creating discussion-worthy content")),
+            TEXT["we_re_getting_lots_of"])),
         item(ov.where(F.col("vs_benchmark") < -0.02), "attention", 4, F.format_string(
-            "%s engagement is below the industry average — our content strategy on this platform needs a refresh", pname),
+            TEXT["engagement_is_below_the_industry"], pname),
             F.col("platform")),
     ]
     first_plat = pcr.select(F.min("platform")).scalar()
@@ -216,18 +211,18 @@ def summary_lists(posts: DataFrame) -> DataFrame:
     grow_first = grow_first.where(F.col("content_type") == grow_first.select(F.min("content_type")).scalar())
     acts = [
         item(pcr.where(F.col("platform") == first_plat), "actions", 1, F.format_string(
-            "Create more %s content on %s — it's your top performer", ctitle, pname)),
-        item(hp, "actions", 2, F.format_string("Schedule your most important post for %d:00 KST", F.col("hour"))),
+            TEXT["create_more_content_on_it"], ctitle, pname)),
+        item(hp, "actions", 2, F.format_string(TEXT["schedule_your_most_important_post"], F.col("hour"))),
         item(cad_first.where(F.col("optimal_for_engagement") > F.col("current_cadence") + 1), "actions", 3,
-             F.format_string("Try posting %d times per week on %s (currently ~%d)", F.col("optimal_for_engagement"),
+             F.format_string(TEXT["try_posting_times_per_week"], F.col("optimal_for_engagement"),
                              pname, F.bround("current_cadence", 0).cast("long"))),
         item(grow_first.where(has_attn), "actions", 4, F.format_string(
-            "%s content is gaining momentum on %s — invest more in this format", ctitle, pname)),
+            TEXT["content_is_gaining_momentum_on"], ctitle, pname)),
     ]
     a = reduce(DataFrame.unionByName, acts)
     n_acts = a.select(F.count(F.lit(1))).scalar()
     a = a.unionByName(item(a.sparkSession.range(1).where(n_acts == 0), "actions", 9, F.lit(
-        "Keep posting consistently — your data is still building and the models will improve each week")))
+        TEXT["keep_posting_consistently_your_data"])))
     allr = reduce(DataFrame.unionByName, work + attn).unionByName(a)
     w = Window.partitionBy("list").orderBy("ix", F.col("sub_key").asc_nulls_first())
     cap = F.element_at(X.map_lit({"working": 6, "attention": 5, "actions": 4}), F.col("list"))

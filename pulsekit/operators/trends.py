@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsekit.functions import exprs as X
+from pulsekit.functions.messages import TEXT
 
 SEVERITY_ORDER = {"high": 0, "medium": 1, "none": 2, "positive": 3}
 
@@ -119,11 +120,11 @@ def cadence_summary(posts: DataFrame, min_posts: int = 15, min_weeks: int = 4) -
     cur0 = F.bround("current_cadence", 0).cast("long")
     diff = F.col("optimal_for_engagement") - F.col("current_cadence")
     rec = (F.when(F.abs(diff) < 0.5, F.format_string(
-        "Your current pace (~%d/week) is close to optimal (%d/week). Maintain it.", cur0, F.col("optimal_for_engagement")))
-        .when(diff > 0, F.format_string("Consider posting more: %d/week is optimal, you're averaging %d/week.",
+        TEXT["your_current_pace_week_is"], cur0, F.col("optimal_for_engagement")))
+        .when(diff > 0, F.format_string(TEXT["consider_posting_more_week_is"],
                                         F.col("optimal_for_engagement"), cur0))
         .otherwise(F.format_string(
-            "Consider posting less: %d/week is optimal, you're averaging %d/week. Quality over quantity.",
+            TEXT["consider_posting_less_week_is"],
             F.col("optimal_for_engagement"), cur0)))
     return j.select("platform", "optimal_for_engagement", "optimal_engagement_rate", "optimal_for_reach",
                     "optimal_total_reach", "current_cadence", rec.alias("recommendation"))
@@ -164,11 +165,11 @@ def momentum(posts: DataFrame, min_posts: int = 10) -> DataFrame:
                  ratio_score("_re", "_pe").alias("e"), cs.alias("c"),
                  ratio_score("_rr", "_pr").alias("r"), ratio_score("_rq", "_pq").alias("qs"))
     total = F.bround(F.col("e") + F.col("c") + F.col("r") + F.col("qs"), 1)
-    verdict = (F.when(total >= 75, "Strong momentum — your content strategy is accelerating")
-               .when(total >= 55, "Good momentum — steady growth, look for opportunities to push harder")
-               .when(total >= 35, "Moderate momentum — stable but not accelerating, consider experimenting")
-               .when(total >= 20, "Low momentum — engagement or reach may be stalling")
-               .otherwise("Warning — multiple signals declining, review content strategy"))
+    verdict = (F.when(total >= 75, TEXT["strong_momentum_your_content_strategy"])
+               .when(total >= 55, TEXT["good_momentum_steady_growth_look"])
+               .when(total >= 35, TEXT["moderate_momentum_stable_but_not"])
+               .when(total >= 20, TEXT["low_momentum_engagement_or_reach"])
+               .otherwise(TEXT["warning_multiple_signals_declining_review"]))
     return j.select("platform", total.alias("total_score"), verdict.alias("verdict"),
                     F.bround("e", 1).alias("engagement_trend"), F.bround("c", 1).alias("posting_consistency"),
                     F.bround("r", 1).alias("reach_growth"), F.bround("qs", 1).alias("content_quality"),

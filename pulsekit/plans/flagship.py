@@ -1,19 +1,20 @@
 """R6 — the weekly report job: posts -> every result table -> sinks.
 
-``posts`` is materialised once (checkpointed into the shared checkpoint
-folder, so executor loss does not replay the whole ingest lineage); the
+``posts`` is written once as Parquet in the shared checkpoint folder (executor
+loss does not replay the ingest, and each table reads its own columns); the
 independent result tables are then computed as concurrent Spark jobs from a
 small driver thread pool and written one sink per table.
 """
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pulsekit.operators import growth, insights, kpi, scoring, temporal, text, trends
-from pulsekit.session import cut_lineage
+from pulsekit.session import ensure_checkpoint_dir
 from pulsekit.sources.history import summary_document, write_results
 
 REPORT_TABLES = {
@@ -41,6 +42,7 @@ REPORT_TABLES = {
     "scores_by_type": scoring.scores_by_type,
     "scores_by_platform": scoring.scores_by_platform,
     "top_scored": scoring.top_scored,
+    "expected_performance": scoring.expected_performance,
     "term_lift": text.term_lift,
     "hashtag_perf": text.hashtag_perf,
     "content_fatigue": trends.content_fatigue,
@@ -49,14 +51,25 @@ REPORT_TABLES = {
     "recommendations": insights.recommendations,
     "pulse": insights.pulse,
     "key_numbers": insights.key_numbers,
+    "summary_lists": insights.summary_lists,
+    "driver_corr": text.driver_corr,
+    "driver_lift": text.driver_lift,
 }
 
 
+def snapshot(posts: DataFrame) -> DataFrame:
+    """``posts`` as Parquet in the shared folder: the tables then read only their columns."""
+    spark = posts.sparkSession
+    at = f"{ensure_checkpoint_dir(spark)}/report-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    posts.write.parquet(at)
+    return spark.read.schema(posts.schema).parquet(at)
+
+
 def weekly_report(spark: SparkSession, posts: DataFrame, out_dir: str | None = None,
                   tables: dict | None = None, parallel: int = 4) -> dict[str, DataFrame]:
     """Build every result table from ``posts``; write them when ``out_dir``
     is given (one JSON sink per table + ``summary``)."""
-    base = cut_lineage(posts)
+    base = snapshot(posts)
     fns = tables or REPORT_TABLES
     results = {name: fn(base) for name, fn in fns.items()}
     if out_dir:

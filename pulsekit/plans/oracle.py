@@ -707,6 +707,14 @@ WHERE published_at IS NULL OR published_at >= (CASE platform WHEN 'instagram' TH
   WHEN 'facebook' THEN TIMESTAMP '1995-01-01' END) - INTERVAL 9 HOUR
 """
 
+SQL["cleanup_negative"] = POSTS + """
+SELECT post_id, platform, greatest(likes - 60, 0) AS likes, greatest(reach - 400, 0) AS reach,
+  greatest(likes + comments + shares + saves - 60, 0) AS engagement_total, followers_gained - 5 AS followers_gained,
+  link_clicks - 1 AS link_clicks,
+  round(least(CASE WHEN reach > 400 THEN CAST(greatest(likes + comments + shares + saves - 60, 0) AS DOUBLE) / (reach - 400) ELSE 0.0 END, 1.0), 6) AS engagement_rate
+FROM raw_posts
+"""
+
 SQL["union_missing_cols"] = POSTS + """
 SELECT post_id, platform, reach, likes, comments,
   CASE WHEN platform IN ('instagram', 'facebook', 'tiktok') THEN shares ELSE 0 END AS shares,
@@ -719,7 +727,22 @@ FROM raw_posts
 # ---------------------------------------------------------------------------
 # Text and trend analytics
 # ---------------------------------------------------------------------------
-from pulsekit.operators.text import default_stop_words  # noqa: E402
+from pulsekit.operators.text import GREEK_STOP_WORDS, KOREAN_STOP_WORDS, NOISE_TERMS, strip_accents_py  # noqa: E402
+
+# The English stop words.
+ENGLISH_STOP_WORDS = """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+    herself it its itself they them their theirs themselves what which who whom this that these those am is
+    are was were be been being have has had having do does did doing a an the and but if or because as until
+    while of at by for with about against between into through during before after above below to from up down
+    in out on off over under again further then once here there when where why how all any both each few more
+    most other some such no nor not only own same so than too very s t can will just don should now i'll
+    you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're
+    they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't
+    won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's how's let's ought that's
+    there's what's when's where's who's why's would
+""".split()
+STOP_WORDS = sorted({strip_accents_py(w) for w in [*ENGLISH_STOP_WORDS, *GREEK_STOP_WORDS, *KOREAN_STOP_WORDS]} | set(NOISE_TERMS))
 
 
 def _sql_list(words) -> str:
@@ -748,7 +771,7 @@ valid AS (SELECT platform, post_id, engagement_rate, lower(strip_accents(title))
           FROM posts WHERE length(coalesce(title, '')) > 10),
 tot AS (SELECT platform, count(*) AS n_valid, sum(engagement_rate) AS sum_rate FROM valid GROUP BY platform HAVING count(*) >= 5),
 tk AS (SELECT platform, post_id, engagement_rate, unnest(regexp_extract_all(t, '[\\p{{L}}\\p{{N}}_]{{3,}}')) AS term FROM valid),
-tk2 AS (SELECT * FROM tk WHERE term NOT IN ({_sql_list(default_stop_words())})),
+tk2 AS (SELECT * FROM tk WHERE term NOT IN ({_sql_list(STOP_WORDS)})),
 tf AS (SELECT platform, term, count(*) AS tf FROM tk2 GROUP BY platform, term),
 dq AS (SELECT platform, term, count(*) AS posts_with_term, sum(engagement_rate) AS sw
        FROM (SELECT DISTINCT platform, post_id, engagement_rate, term FROM tk2) GROUP BY platform, term),

@@ -128,6 +128,16 @@ def _cleanup_posts(spark, sf_dir):
                     F.length("title").alias("title_chars"))
 
 
+def _cleanup_negative(spark, sf_dir):
+    """F2 on metrics shifted below zero: counts are clipped, lost followers are not."""
+    p = raw_posts(spark, sf_dir).withColumns({
+        "likes": F.col("likes") - 60, "reach": F.col("reach") - 400, "engagement_total": F.col("engagement_total") - 60,
+        "followers_gained": F.col("followers_gained") - 5, "link_clicks": F.col("link_clicks") - 1})
+    c = history.sanitize_metrics(p)
+    return c.select("post_id", "platform", "likes", "reach", "engagement_total", "followers_gained", "link_clicks",
+                    F.round("engagement_rate", 6).alias("engagement_rate"))
+
+
 def _union_missing(spark, sf_dir):
     p = raw_posts(spark, sf_dir)
     base = ["post_id", "platform", "reach", "likes", "comments"]
@@ -153,6 +163,7 @@ QUERIES.update({
     "upsert_daily": _upsert_daily,
     "upsert_posts": _upsert_posts,
     "cleanup_posts": _cleanup_posts,
+    "cleanup_negative": _cleanup_negative,
     "union_missing_cols": _union_missing,
 })
 

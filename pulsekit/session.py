@@ -1,49 +1,57 @@
-"""Session helpers: a tuned local/cluster SparkSession and the shared
-checkpoint folder used to cut lineage."""
+"""Session helpers: library settings for a session that leaves them open, and
+the shared checkpoint folder used to cut lineage."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Settings that the library assumes; a session that names one keeps its own.
+DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
 
 def get_spark(master: str | None = None, app: str = "pulsekit",
-              shuffle_partitions: int | None = None) -> SparkSession:
-    """Build (or reuse) a session with the settings this library assumes.
+              shuffle_partitions: int | None = None, driver_memory: str | None = None) -> SparkSession:
+    """Build (or reuse) a session.
 
-    On a cluster, pass ``master=None`` and let spark-submit decide; the
-    settings below only fill in what is unset.
+    On a cluster call it without arguments: master, memory and shuffle
+    partitions then come from spark-submit, and only those of ``DEFAULTS`` that
+    the session does not set are filled in.  Tests and the bench pass a
+    local master.
     """
-    cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     b = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
-        b = b.master(master or f"local[{cpus}]")
-    b = (b.config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.driver.memory", os.environ.get("PULSEKIT_DRIVER_MEM", "16g")))
+    if master:
+        b = (b.master(master).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+             .config("spark.driver.memory", driver_memory or "16g"))
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    given = spark.sparkContext.getConf()
+    wanted = DEFAULTS | ({"spark.sql.shuffle.partitions": str(shuffle_partitions)} if shuffle_partitions else {})
+    for key, value in wanted.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    if master:
+        spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (HDFS/object-store) folder there; we only set
-    our own when nothing is configured, which happens in local tests.
+    Where a cluster session names none, this is an error: a folder made up here
+    would lie on one machine only.  A local session (all tasks in one process) gets its own.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="pulsekit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:

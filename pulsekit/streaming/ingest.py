@@ -36,6 +36,7 @@ def start_incremental_ingest(spark: SparkSession, landing_dir: str, history_base
     name = name or f"ingest_{platform}"
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
     src = (spark.readStream.schema(export_schema(columns)).option("header", True).option("multiLine", True)
+           .option("enforceSchema", False)      # columns go by the header's names; another order is an error, not a misreading
            .option("pathGlobFilter", "*.csv").csv(landing_dir)
            .withColumn("source_file", F.col("_metadata.file_path")))
 

@@ -92,7 +92,7 @@ def test_landing_classify_and_validate(spark, tmp_path):
     _write(str(d / "Overview (1).csv"), '"Date","Video Views","Profile Views"\n')
     for i, n in enumerate(["Overview.csv", "Mar-01-2026_Mar-07-2026_123.csv", "random.csv", "Overview (1).csv"]):
         os.utime(str(d / n), (1_700_000_000 + i, 1_700_000_000 + i))   # arrival order
-    files = landing.with_heads(spark, landing.list_landing(spark, str(d)))
+    files = landing.with_heads(spark, landing.list_landing(spark, str(d)), str(d))
     c = {r["file_name"]: r for r in landing.classify_files(files, "tiktok").collect()}
     assert c["Overview.csv"]["target"] == "Overview.csv" and c["Overview.csv"]["status"] == "ok"
     assert c["Mar-01-2026_Mar-07-2026_123.csv"]["status"] == "warn"
