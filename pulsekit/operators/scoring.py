@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsekit.functions import exprs as X
+from pulsekit.session import cut_lineage
 from pulsekit.operators.kpi import LONG_MAX
 
 
@@ -96,9 +97,9 @@ def scored_posts_view(posts: DataFrame) -> DataFrame:
         "composite_score", "grade")
 
 
-def scores_by_type(posts: DataFrame) -> DataFrame:
+def scores_by_type(posts: DataFrame, scored: DataFrame | None = None) -> DataFrame:
     """Composite score mean/median/max/min/count per content type (1 dp)."""
-    s = scored_posts(posts)
+    s = scored_posts(posts) if scored is None else scored
     return s.groupBy("content_type").agg(
         F.round(F.avg("composite_score"), 1).alias("avg_score"),
         F.round(F.percentile("composite_score", 0.5), 1).alias("median_score"),
@@ -107,20 +108,20 @@ def scores_by_type(posts: DataFrame) -> DataFrame:
         F.count("composite_score").alias("count"))
 
 
-def scores_by_platform(posts: DataFrame) -> DataFrame:
+def scores_by_platform(posts: DataFrame, scored: DataFrame | None = None) -> DataFrame:
     """Composite score mean/max/count per platform (1 dp)."""
-    s = scored_posts(posts)
+    s = scored_posts(posts) if scored is None else scored
     return s.groupBy("platform").agg(
         F.round(F.avg("composite_score"), 1).alias("avg_score"),
         F.round(F.max("composite_score"), 1).alias("best_score"),
         F.count("composite_score").alias("count"))
 
 
-def top_scored(posts: DataFrame, n: int = 10) -> DataFrame:
+def top_scored(posts: DataFrame, n: int = 10, scored: DataFrame | None = None) -> DataFrame:
     """The n best-scored posts (newest first on ties) with rank.
     ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject: a per-partition
     top-n, never a global sort."""
-    s = scored_posts(posts)
+    s = scored_posts(posts) if scored is None else scored
     top = s.orderBy(F.col("composite_score").desc(), *_newest_first_key()).limit(n)
     w = Window.orderBy(F.col("composite_score").desc(), *_newest_first_key())
     return top.select(F.row_number().over(w).alias("rank"), "post_id", "platform", "content_type",
@@ -170,6 +171,7 @@ def expected_performance(posts: DataFrame, min_match: int = 3) -> DataFrame:
 
 def score_content(posts: DataFrame, n: int = 10) -> dict[str, DataFrame]:
     """X11: the scoring bundle (top posts, by type, by platform) over one
-    scored frame."""
-    return {"top_posts": top_scored(posts, n), "content_type_scores": scores_by_type(posts),
-            "platform_scores": scores_by_platform(posts)}
+    scored frame, materialised without captions."""
+    s = cut_lineage(scored_posts(posts).drop("title"))
+    return {"top_posts": top_scored(posts, n, s), "content_type_scores": scores_by_type(posts, s),
+            "platform_scores": scores_by_platform(posts, s)}

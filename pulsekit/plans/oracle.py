@@ -1148,3 +1148,57 @@ r AS (SELECT *, row_number() OVER (PARTITION BY list ORDER BY ix, sub_key NULLS
 SELECT list, CAST(pos AS INTEGER) AS pos, text FROM r
 WHERE pos <= CASE list WHEN 'working' THEN 6 WHEN 'attention' THEN 5 ELSE 4 END
 """
+
+
+# ---------------------------------------------------------------------------
+# File parsers over rendered texts, TikTok-style table, tags, scoring bundle
+# ---------------------------------------------------------------------------
+from pulsekit.sources.greek import COUNTRY_CODES  # noqa: E402
+
+SQL["preamble_series"] = SERIES + "SELECT platform || '/' || metric AS path, date, metric, value FROM series"
+
+SQL["audience_sections"] = """
+WITH c AS (SELECT CAST(n_regionkey AS VARCHAR) AS path, n_name, c_mktsegment, 'band ' || (c_custkey % 4) AS age, c_custkey % 3 = 0 AS man
+           FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT path, 'countries' AS section, n_name AS name, CAST(count(*) AS DOUBLE) AS value, NULL::DOUBLE AS men, NULL::DOUBLE AS women FROM c GROUP BY ALL
+UNION ALL SELECT path, 'cities', c_mktsegment, CAST(count(*) AS DOUBLE), NULL, NULL FROM c GROUP BY ALL
+UNION ALL SELECT path, 'age_gender', age, CAST(count(*) AS DOUBLE), CAST(count(*) FILTER (man) AS DOUBLE), CAST(count(*) FILTER (NOT man) AS DOUBLE)
+FROM c GROUP BY path, age
+"""
+
+# expected target, score and status of each landing case before duplicates are settled
+LANDING = """
+WITH k(m, target, score, status, allowed) AS (VALUES (0, 'Overview.csv', 57, 'ok', 'Overview.csv'), (1, 'content.csv', 55, 'warn', NULL),
+  (2, 'Viewers.csv', 3, 'err', NULL), (3, 'FollowerGender.csv', 25, 'err', NULL), (4, 'FollowerHistory.csv', 29, 'ok', 'FollowerHistory.csv')),
+f AS (SELECT 'landing/' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS path, o_orderkey % 5 AS m, CAST(trunc(o_totalprice) AS BIGINT) AS length, o_orderdate FROM orders),
+j AS (SELECT f.*, k.target, k.score, k.status, k.allowed, row_number() OVER (PARTITION BY k.target ORDER BY o_orderdate, path) AS nth FROM f JOIN k USING (m))
+"""
+SQL["landing_classes"] = LANDING + """
+SELECT path, target, CAST(score AS INTEGER) AS score, CASE WHEN status = 'ok' AND nth > 1 THEN 'err' ELSE status END AS status,
+  FALSE AS ambiguous FROM j
+"""
+SQL["landing_checks"] = LANDING + """
+SELECT path, allowed AS correct_name, allowed IS NOT NULL AND length <= 300000 AS ok,
+  'data/tiktok/' || allowed AS target_path, FALSE AS batch_ok FROM j
+"""
+
+SQL["country_shares"] = f"""
+WITH c AS (SELECT n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name),
+names(code, name) AS (VALUES {", ".join(f"('{k}', '{v}')" for k, v in COUNTRY_CODES.items())})
+SELECT n_name, coalesce(name, upper(substr(n_name, 1, 2))) AS country, round(n / (SELECT sum(n) FROM c) * 100, 1) AS share_pct,
+  '&lt;b &quot;' || n_name || '&quot;&gt; &amp; more' AS shown FROM c LEFT JOIN names ON code = upper(substr(n_name, 1, 2))
+"""
+
+SQL["tiktok_daily"] = DAILY + """
+SELECT platform, date, interactions AS likes, link_clicks AS comments, reach AS shares, interactions + link_clicks + reach AS interactions,
+  views_7d_avg, follows_7d_avg, visits_7d_avg FROM daily
+"""
+
+SQL["hashtag_rows"] = _q("""
+SELECT DISTINCT platform, post_id, '#' || lower(unnest(regexp_extract_all(coalesce(title, ''), '#([\\p{L}\\p{N}_]{2,})', 1))) AS tag FROM posts
+""")
+
+SQL["scoring_bundle"] = f"""
+SELECT 'type' AS kind, content_type AS name, avg_score, best_score, count FROM ({SQL["scores_by_type"]})
+UNION ALL SELECT 'platform', platform, avg_score, best_score, count FROM ({SQL["scores_by_platform"]})
+"""

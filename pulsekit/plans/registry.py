@@ -281,3 +281,107 @@ QUERIES.update({
     "key_numbers": _on_posts(insights.key_numbers),
     "summary_lists": _on_posts(insights.summary_lists),
 })
+
+
+# ---------------------------------------------------------------------------
+# File parsers over texts rendered from the tables (S4, S5, S14, S15, N15, N16,
+# N18), the TikTok-style account table (A5), tag rows (J8), scoring bundle (X11)
+# ---------------------------------------------------------------------------
+from pulsekit.sources import exports, landing  # noqa: E402
+
+SERIES_METRICS = ["follows", "interactions", "link_clicks", "reach", "views", "visits"]
+
+
+def _preamble_series(spark, sf_dir):
+    """Every daily series as a file with preamble, parsed back."""
+    rows = account_series(spark, sf_dir)
+    line = F.concat(F.lit('"'), F.date_format("date", "yyyy-MM-dd"), F.lit('T00:00:00","'), F.col("value").cast("string"), F.lit('"'))
+    files = (rows.groupBy("platform", "metric").agg(F.array_sort(F.collect_list(line)).alias("v"))   # a day per line
+             .select("metric", F.concat_ws("/", "platform", "metric").alias("path"), F.concat(
+                 F.lit('sep=,\n"Title"\n"Date","Primary"\n'), F.array_join("v", "\n")).alias("text")))
+    out = [exports.parse_preamble_series(files.where(F.col("metric") == m).select("path", "text"), m) for m in SERIES_METRICS]
+    return history.union_missing(out)
+
+
+def _audience_sections(spark, sf_dir):
+    """Customers per country, segment and age band, rendered as one audience file per region."""
+    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = c.select("n_regionkey", "n_name", "c_mktsegment", F.concat(F.lit("band "), (F.col("c_custkey") % 4).cast("string")).alias("age"),
+                 (F.col("c_custkey") % 3 == 0).alias("man"))
+
+    def listed(col, title):
+        n = c.groupBy("n_regionkey", F.col(col).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        v = n.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("k", "n"))).alias("v"))
+        pick = lambda f: F.array_join(F.transform("v", lambda x: F.concat(F.lit('"'), x[f].cast("string"), F.lit('"'))), ",")
+        return v.select("n_regionkey", F.concat(F.lit(title + "\n"), pick("k"), F.lit("\n"), pick("n"), F.lit("\n")).alias(title))
+
+    ages = c.groupBy("n_regionkey", "age").agg(F.count_if(~F.col("man")).alias("w"), F.count_if("man").alias("m"))
+    ages = ages.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.concat_ws(",", "age", F.col("w").cast("string"), F.col("m").cast("string")))).alias("v"))
+    ages = ages.select("n_regionkey", F.concat(F.lit("Age & gender\n,Women,Men\n"), F.array_join("v", "\n"), F.lit("\nend")).alias("ages"))
+    files = (listed("n_name", "Top countries").join(listed("c_mktsegment", "Top cities"), "n_regionkey").join(ages, "n_regionkey")
+             .select(F.col("n_regionkey").cast("string").alias("path"), F.concat("Top countries", "Top cities", "ages").alias("text")))
+    return exports.parse_audience(files)
+
+
+#: File name and first lines of the landing files that orders stand for, by order key modulo 5.
+LANDING_CASES = [
+    ("Overview.csv", "Date,Video Views,Profile Views,Likes\n1,2,3,4"),
+    ("Feb-01-2026_Feb-07-2026_9.csv", "Post ID,Publish time,Reach\n1,2,3"),
+    ("random.csv", "a,b\n1,2"),
+    ("notes.txt", "Gender,Distribution\nx,0.5"),
+    ("FollowerHistory.csv", "Date,Followers,Difference in followers from previous day\n1,2,3"),
+]
+
+
+def _landing_files(spark, sf_dir):
+    case = F.element_at(F.array(*[F.struct(F.lit(n).alias("file_name"), F.lit(h).alias("head")) for n, h in LANDING_CASES]),
+                        (F.col("o_orderkey") % 5 + 1).cast("int"))
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("landing/"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("path"), case["file_name"].alias("file_name"),
+        F.col("o_totalprice").cast("long").alias("length"), F.col("o_orderdate").alias("modificationTime"), case["head"].alias("head"))
+
+
+def _landing_classes(spark, sf_dir):
+    return landing.classify_files(_landing_files(spark, sf_dir), "tiktok").select("path", "target", "score", "status", "ambiguous")
+
+
+def _landing_checks(spark, sf_dir):
+    return landing.validate_batch(_landing_files(spark, sf_dir), "tiktok", max_bytes=300_000).select(
+        "path", "correct_name", F.col("error").isNull().alias("ok"), "target_path", "batch_ok")
+
+
+def _country_shares(spark, sf_dir):
+    """Customers per country as display rows: name by code, share in percent, escaped text."""
+    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    per = c.groupBy("n_name").agg(F.count(F.lit(1)).alias("n"))
+    total = per.select(F.sum("n")).scalar()
+    return per.select("n_name", greek.country_name(F.upper(F.substring("n_name", 1, 2))).alias("country"),
+                      X.distribution_pct(F.col("n") / total).alias("share_pct"),
+                      X.safe_text(F.concat(F.lit('<b "'), F.col("n_name"), F.lit('"> & more'))).alias("shown"))
+
+
+def _tiktok_daily(spark, sf_dir):
+    named = X.map_lit({"interactions": "likes", "link_clicks": "comments", "reach": "shares", "views": "views",
+                       "follows": "follows", "visits": "visits"})
+    s = account_series(spark, sf_dir).withColumn("metric", F.element_at(named, F.col("metric")))
+    return account.tiktok_daily(s).select("platform", "date", "likes", "comments", "shares", "interactions",
+                                          "views_7d_avg", "follows_7d_avg", "visits_7d_avg")
+
+
+def _scoring_bundle(p):
+    b = scoring.score_content(p)
+    a = b["content_type_scores"].select(F.lit("type").alias("kind"), F.col("content_type").alias("name"), "avg_score", "best_score", "count")
+    c = b["platform_scores"].select(F.lit("platform").alias("kind"), F.col("platform").alias("name"), "avg_score", "best_score", "count")
+    return a.unionByName(c)
+
+
+QUERIES.update({
+    "preamble_series": _preamble_series,
+    "audience_sections": _audience_sections,
+    "landing_classes": _landing_classes,
+    "landing_checks": _landing_checks,
+    "country_shares": _country_shares,
+    "tiktok_daily": _tiktok_daily,
+    "hashtag_rows": _on_posts(text.hashtag_posts),
+    "scoring_bundle": _on_posts(_scoring_bundle),
+})
