@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsekit.functions import exprs as X
+from pulsekit.functions.order_stats import percentiles
 
 LONG_MAX = 9223372036854775807
 
@@ -49,12 +50,13 @@ def platform_overview(posts: DataFrame) -> DataFrame:
         F.sum("reach").alias("total_reach"),
         F.sum("engagement_total").alias("total_engagement"),
         X.wavg("engagement_rate").alias("_wr"),
-        F.percentile("engagement_rate", 0.5).alias("_median"),
         F.sum("followers_gained").alias("total_followers_gained"),
         s_if(tw, "reach").alias("_reach_tw"), s_if(lw, "reach").alias("_reach_lw"),
         s_if(tw, "engagement_total").alias("_eng_tw"), s_if(lw, "engagement_total").alias("_eng_lw"),
         F.min_by(F.struct("post_id", "engagement_total", "reach", "content_type"), top_post_key()).alias("_top"),
     )
+    med = percentiles(posts, ["platform"], {"_median": ("engagement_rate", 0.5)}).withColumnRenamed("platform", "_p")
+    agg = agg.join(med, F.col("platform").eqNullSafe(F.col("_p")), "left")
     bench = X.benchmark(F.col("platform"))
     return agg.select(
         "platform", "total_posts", "posts_this_week", "total_reach", "total_engagement",

@@ -7,10 +7,13 @@ scoring is a single map-side projection over the posts.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsekit.functions import exprs as X
+from pulsekit.functions.order_stats import percentiles
 from pulsekit.session import cut_lineage
 from pulsekit.operators.kpi import LONG_MAX
 
@@ -102,6 +105,7 @@ def scores_by_type(posts: DataFrame, scored: DataFrame | None = None) -> DataFra
     s = scored_posts(posts) if scored is None else scored
     return s.groupBy("content_type").agg(
         F.round(F.avg("composite_score"), 1).alias("avg_score"),
+        # scores have one decimal from 0 to 100, so a group keeps at most 1001 values
         F.round(F.percentile("composite_score", 0.5), 1).alias("median_score"),
         F.round(F.max("composite_score"), 1).alias("best_score"),
         F.round(F.min("composite_score"), 1).alias("worst_score"),
@@ -134,19 +138,18 @@ def expected_performance(posts: DataFrame, min_match: int = 3) -> DataFrame:
     """For every (content type, platform) seen, medians of its own posts,
     falling back to the whole platform when it has < 3 posts.  Both grains
     are one aggregate each; the request rows pick one by support."""
+    wanted = {"reach_med": ("reach", 0.5), "eng_med": ("engagement_total", 0.5), "rate_med": ("engagement_rate", 0.5),
+              "likes_med": ("likes", 0.5), "comments_med": ("comments", 0.5), "shares_med": ("shares", 0.5),
+              "reach_q1": ("reach", 0.25), "reach_q3": ("reach", 0.75)}
+
     def stats(keys):
-        return posts.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile("reach", 0.5).alias("reach_med"),
-            F.percentile("engagement_total", 0.5).alias("eng_med"),
-            F.percentile("engagement_rate", 0.5).alias("rate_med"),
-            F.percentile("likes", 0.5).alias("likes_med"),
-            F.percentile("comments", 0.5).alias("comments_med"),
-            F.percentile("shares", 0.5).alias("shares_med"),
-            F.percentile("reach", [0.25, 0.75]).alias("reach_q"))
+        n = posts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        q = percentiles(posts, keys, wanted).withColumnsRenamed({k: f"_{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        return n.join(q, reduce(lambda a, b: a & b, same), "left").drop(*[f"_{k}" for k in keys])
     pair = stats(["content_type", "platform"])
     plat = stats(["platform"])
-    cols = ["n", "reach_med", "eng_med", "rate_med", "likes_med", "comments_med", "shares_med", "reach_q"]
+    cols = ["n", "reach_med", "eng_med", "rate_med", "likes_med", "comments_med", "shares_med", "reach_q1", "reach_q3"]
     j = pair.join(F.broadcast(plat.select("platform", *[F.col(c).alias("p_" + c) for c in cols])), "platform")
     use_pair = F.col("n") >= min_match
 
@@ -161,8 +164,8 @@ def expected_performance(posts: DataFrame, min_match: int = 3) -> DataFrame:
         pick("likes_med").cast("long").alias("expected_likes"),
         pick("comments_med").cast("long").alias("expected_comments"),
         pick("shares_med").cast("long").alias("expected_shares"),
-        F.element_at(pick("reach_q"), 2).cast("long").alias("optimistic_reach"),
-        F.element_at(pick("reach_q"), 1).cast("long").alias("pessimistic_reach"),
+        pick("reach_q3").cast("long").alias("optimistic_reach"),
+        pick("reach_q1").cast("long").alias("pessimistic_reach"),
         F.when(n >= 20, "high").when(n >= 10, "medium").otherwise("low").alias("confidence"),
         n.alias("based_on_posts"),
         F.when(use_pair, "content_type").otherwise("platform").alias("basis"))

@@ -93,3 +93,15 @@ def test_given_settings_stay(spark):
         session.get_spark()
         assert spark.conf.get(key) == before
     assert "SPARK_MASTER" not in os.environ
+
+
+def test_percentiles_equal_the_built_in_ones(spark):
+    from pulsekit.functions.order_stats import percentiles
+    rows = [(k, float(v), None if v % 5 == 0 else v * 1e-6) for k, n in (("a", 101), ("b", 2), ("c", 1), (None, 40)) for v in range(-n // 2, n)]
+    rows += [("a", 7.0, 0.25)] * 50 + [("d", None, None)]
+    df = spark.createDataFrame(rows, "k string, x double, y double")
+    wanted = {"x50": ("x", 0.5), "x25": ("x", 0.25), "y75": ("y", 0.75), "y100": ("y", 1.0)}
+    got = {r["k"]: tuple(r)[1:] for r in percentiles(df, ["k"], wanted).collect()}
+    want = {r["k"]: tuple(r)[1:] for r in df.groupBy("k").agg(*[F.percentile(c, q).alias(n) for n, (c, q) in wanted.items()]).collect()}
+    assert got.keys() == want.keys() - {"d"}
+    assert all(a == pytest.approx(b) for k in got for a, b in zip(got[k], want[k]))
