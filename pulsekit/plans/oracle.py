@@ -924,17 +924,25 @@ FROM s
 # Similar-post prediction (J5 / M18): exact all-pairs in SQL
 # ---------------------------------------------------------------------------
 SIM = """,
-pe0 AS (SELECT p.platform, p.post_id, p.engagement_rate, p.published_at, CAST(e.embedding AS DOUBLE[]) AS v
-        FROM posts p JOIN embeddings e ON CAST(e.vec_id AS VARCHAR) = p.post_id),
+e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+pe0 AS (SELECT p.platform, p.post_id, p.engagement_rate, p.published_at, CAST(p.post_id AS BIGINT) % (SELECT max(vec_id) + 1 FROM e) AS vec_id
+        FROM posts p),
 pe AS (SELECT * FROM pe0 WHERE platform IN (SELECT platform FROM pe0 GROUP BY platform HAVING count(*) >= 10)),
-pr AS (SELECT a.platform, a.post_id, b.post_id AS nb, list_cosine_similarity(a.v, b.v) AS sim, b.engagement_rate AS nr
-       FROM pe a JOIN pe b ON a.platform = b.platform AND a.post_id <> b.post_id),
+pv AS (SELECT platform, vec_id, v, count(*) AS n, min(post_id) AS first_id FROM pe JOIN e USING (vec_id) GROUP BY platform, vec_id, v),
+vs AS (SELECT a.platform, a.vec_id AS a, b.vec_id AS b, b.first_id, round(list_cosine_similarity(a.v, b.v), 9) AS sim,
+         a.n * (b.n - CASE WHEN a.vec_id = b.vec_id THEN 1 ELSE 0 END) AS pairs
+       FROM pv a JOIN pv b USING (platform)),
+near AS (SELECT * FROM vs QUALIFY row_number() OVER (PARTITION BY platform, a ORDER BY sim DESC, first_id) <= 6),
+mem AS (SELECT platform, vec_id, post_id, engagement_rate FROM pe QUALIFY row_number() OVER (PARTITION BY platform, vec_id ORDER BY post_id) <= 6),
+pr AS (SELECT p.platform, p.post_id, m.post_id AS nb, near.sim, m.engagement_rate AS nr
+       FROM pe p JOIN near ON near.platform = p.platform AND near.a = p.vec_id
+       JOIN mem m ON m.platform = p.platform AND m.vec_id = near.b AND m.post_id <> p.post_id),
 rk AS (SELECT *, row_number() OVER (PARTITION BY platform, post_id ORDER BY sim DESC, nb) AS r FROM pr),
 pred AS (SELECT platform, post_id, sum(sim * nr) AS swr, sum(sim) AS ss, avg(nr) AS m, max(sim) AS top, count(*) AS n_neighbors
          FROM rk WHERE r <= 5 GROUP BY platform, post_id),
 sp AS (SELECT pe.platform, pe.post_id, round(engagement_rate, 4) AS actual_rate,
          round(CASE WHEN ss > 0 THEN swr / ss ELSE m END, 4) AS predicted_rate,
-         round(engagement_rate - CASE WHEN ss > 0 THEN swr / ss ELSE m END, 4) AS error,
+         round(engagement_rate - CASE WHEN ss > 0 THEN swr / ss ELSE m END, 4) + 0.0::DOUBLE AS error,
          round(top, 3) AS top_similarity, n_neighbors, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at
        FROM pe JOIN pred USING (platform, post_id))
 """
@@ -951,7 +959,10 @@ FROM r2 WHERE a <= 3 OR b <= 3
 
 SQL["similar_summary"] = _q(SIM + """,
 mae AS (SELECT platform, count(*) AS n_posts, round(avg(abs(error)), 4) AS mean_absolute_error FROM sp GROUP BY platform),
-md AS (SELECT platform, round(median(sim), 3) AS median_similarity FROM pr WHERE sim > 0 GROUP BY platform)
+cu AS (SELECT platform, sim, sum(pairs) OVER (PARTITION BY platform ORDER BY sim RANGE UNBOUNDED PRECEDING) AS upto,
+         sum(pairs) OVER (PARTITION BY platform) AS total FROM vs WHERE sim > 0 AND pairs > 0),
+md AS (SELECT platform, round((min(sim) FILTER (upto >= (total + 1) // 2) + min(sim) FILTER (upto >= total // 2 + 1)) / 2, 3) AS median_similarity
+       FROM cu GROUP BY platform)
 SELECT mae.*, md.median_similarity FROM mae LEFT JOIN md USING (platform)
 """)
 

@@ -80,7 +80,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from pulsekit.functions import exprs as X  # noqa: E402
 
 from pulsekit.operators import account, history  # noqa: E402
-from pulsekit.sources.testdata import account_series, raw_posts, table  # noqa: E402
+from pulsekit.sources.testdata import account_series, post_embeddings, raw_posts, table  # noqa: E402
 
 
 def _daily(spark, sf_dir):
@@ -202,7 +202,7 @@ from pulsekit.operators import similarity  # noqa: E402
 
 def _emb(fn):
     def run(spark, sf_dir):
-        return fn(posts(spark, sf_dir), table(spark, sf_dir, "embeddings"))
+        return fn(posts(spark, sf_dir), post_embeddings(spark, sf_dir))
     return run
 
 

@@ -124,3 +124,11 @@ def account_series(spark: SparkSession, sf_dir: str) -> DataFrame:
              .agg(F.count_distinct("user_id").alias("value"))
              .select("platform", F.lit("reach").alias("metric"), "date", "value"))
     return per_metric.unionByName(reach)
+
+
+def post_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A caption vector for every post: (vec_id = post id, embedding), dealt from ``embeddings`` by key."""
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("_v"), "embedding")
+    n = (e.agg(F.max("_v")).first()[0] or 0) + 1      # one number
+    keys = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("vec_id"))
+    return keys.join(e, F.pmod("vec_id", F.lit(n)) == F.col("_v")).select("vec_id", "embedding")
