@@ -1,8 +1,8 @@
 """S1–S7 — scans of vendor export files.
 
 * CSV exports (S1/S3/S6): files are grouped by header line so that each
-  group is read with its own column order; encodings other than UTF-8 /
-  UTF-16 are decoded on the executors (Arrow batches) from ``binaryFile``.
+  group is read with its own column order; files that are not UTF-8 are
+  decoded and cut into records on the executors.
 * JSON exports (S2): multi-line JSON, nested objects flattened to dotted
   column names.
 * Preamble time series (S4) and audience sections (S5): whole files as
@@ -12,6 +12,10 @@
 
 from __future__ import annotations
 
+import csv
+import io
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -72,16 +76,6 @@ def lines(texts: DataFrame) -> DataFrame:
                         .alias("line_no", "line"))
 
 
-def post_export_files(spark: SparkSession, root: str) -> DataFrame:
-    """S3: export files of a platform folder (csv/json), skipping dot-files,
-    ``template.csv`` and account-level files."""
-    f = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-         .select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length"))
-    n = F.lower(F.col("name"))
-    return f.where((n.endswith(".csv") | n.endswith(".json")) & ~F.col("name").startswith(".")
-                   & (F.col("name") != "template.csv") & ~n.isin(sorted(ACCOUNT_FILES)))
-
-
 def read_csv_exports(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> DataFrame:
     """CSV files sharing one header layout, all columns as strings, plus the
     source file (S1).  Quoted multi-line fields are supported."""
@@ -109,31 +103,99 @@ def read_json_exports(spark: SparkSession, paths: list[str]) -> DataFrame:
     return flatten(spark.read.option("multiLine", True).json(paths)).withColumn("source_file", F.input_file_name())
 
 
+CSV_GLOB, JSON_GLOB = "*.[cC][sS][vV]", "*.[jJ][sS][oO][nN]"
+#: A file beyond this cannot be one cell; only files that are not UTF-8 need that.
+CELL_BYTES = 2_000_000_000
+
+
+def _is_export(name: F.Column) -> F.Column:
+    return ~name.startswith(".") & (name != "template.csv") & ~F.lower(name).isin(sorted(ACCOUNT_FILES))
+
+
+def csv_files(spark: SparkSession, root: str) -> DataFrame:
+    """(uri, utf8, first): per post-export CSV file whether all of it is UTF-8, and its first line.
+
+    Lines are scanned in splits; a file is never one cell.  Files without any line are left out.
+    """
+    rows = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_GLOB).text(root)
+            .select(F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_name").alias("name"),
+                    F.col("_metadata.file_block_start").alias("block"), "value", F.monotonically_increasing_id().alias("at"))
+            .where(_is_export(F.col("name"))))
+    opening = F.min_by("value", F.when(F.col("block") == 0, F.col("at")))
+    return rows.groupBy("uri").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"), opening.alias("first"))
+
+
+def _header(line: str) -> list[str]:
+    names = next(csv.reader([line.lstrip("\ufeff").rstrip("\r")]), [])
+    return [n if n and n not in names[:i] else f"{n}_{i}" for i, n in enumerate(names)]
+
+
+def _legacy_records(encodings: list[str]):
+    """Records of files in other encodings: the first that decodes (UTF-16 only with its mark) is used for all of a file."""
+    def run(frames):
+        for pdf in frames:
+            for uri, content in zip(pdf["uri"], pdf["content"]):
+                raw, text = bytes(content), None
+                for enc in encodings:
+                    if enc.startswith("utf-8") or enc == "utf-16" and raw[:2] not in (b"\xff\xfe", b"\xfe\xff"):
+                        continue
+                    try:
+                        text = raw.decode(enc)
+                        break
+                    except (UnicodeDecodeError, LookupError):
+                        continue
+                if text is None:
+                    continue
+                text = text.lstrip("\ufeff")
+                first = text.split("\n", 1)[0].rstrip("\r")
+                records = list(csv.reader(io.StringIO(text, newline="")))[1:]
+                yield pd.DataFrame({"uri": uri, "first": first, "cells": [r for r in records if r]})
+    return run
+
+
+def _csv_frames(spark: SparkSession, root: str, encodings: list[str]) -> list[tuple[str, DataFrame]]:
+    """(header line, records) per header layout; only the distinct header lines reach the driver."""
+    files = csv_files(spark, root)
+    plain = files.where("utf8").select("uri", "first")
+    out = []
+    for (line,) in plain.select("first").distinct().collect():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in _header(line)])
+        raw = (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
+               .option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_GLOB).csv(root)
+               .withColumn("source_file", F.col("_metadata.file_path")))
+        mine = plain.where(F.col("first") == line).select(F.col("uri").alias("source_file"))
+        out.append((line, raw.join(mine, "source_file", "left_semi")))
+    other = files.where(~F.col("utf8")).select("uri")
+    content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_GLOB).load(root)
+               .where(F.col("length") < CELL_BYTES).select(F.col("_metadata.file_path").alias("uri"), "content"))
+    records = content.join(other, "uri", "left_semi").mapInPandas(_legacy_records(encodings), "uri string, first string, cells array<string>")
+    for (line,) in records.select("first").distinct().collect():
+        cells = [F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(_header(line))]
+        out.append((line, records.where(F.col("first") == line).select(*cells, F.col("uri").alias("source_file"))))
+    return out
+
+
 def ingest_platform(spark: SparkSession, root: str, platform: str) -> DataFrame | None:
-    """S3 + N3: every post export of a platform folder, normalised and unioned
-    by name.  Files are grouped by their header line (one read per layout);
-    only file names and header lines reach the driver."""
-    files = post_export_files(spark, root)
-    csv_paths = [r["path"] for r in files.where(F.lower("name").endswith(".csv")).select("path").collect()]
-    json_paths = [r["path"] for r in files.where(F.lower("name").endswith(".json")).select("path").collect()]
+    """S3 + N3: every post export of a platform folder, normalised and unioned by name.
+
+    A file's encoding is settled once and holds for its header and its records.
+    Files that no encoding decodes and JSON files that do not parse are passed over.
+    """
     frames = []
-    if csv_paths:
-        heads = (lines(read_text_files(spark, csv_paths)).where(F.col("line_no") == 0)
-                 .groupBy("line").agg(F.collect_list("path").alias("paths")).collect())
-        for h in heads:
-            raw = read_csv_exports(spark, list(h["paths"]))
-            spec_name = platform
-            if platform == "tiktok" and any(k in (h["line"] or "").lower() for k in ("video title", "video link", "total views")):
-                spec_name = "tiktok_content"
-            frames.append(normalize_export(raw, spec_name, source_col="source_file"))
-    if json_paths:
-        frames.append(normalize_export(read_json_exports(spark, json_paths), platform, source_col="source_file"))
-    if not frames:
-        return None
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    for line, raw in _csv_frames(spark, root, TIKTOK_ENCODINGS if platform == "tiktok" else POST_ENCODINGS):
+        spec_name = platform
+        if platform == "tiktok" and any(k in line.lower() for k in ("video title", "video link", "total views")):
+            spec_name = "tiktok_content"
+        frames.append(normalize_export(raw, spec_name, source_col="source_file"))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", JSON_GLOB).load(root)
+    if not listed.select("path").isEmpty():
+        raw = (spark.read.option("multiLine", True).option("recursiveFileLookup", "true").option("pathGlobFilter", JSON_GLOB).json(root))
+        if raw.columns != ["_corrupt_record"]:
+            raw = raw.withColumn("source_file", F.col("_metadata.file_path")).where(_is_export(F.col("_metadata.file_name")))
+            if "_corrupt_record" in raw.columns:
+                raw = raw.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+            frames.append(normalize_export(flatten(raw), platform, source_col="source_file"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
 
 
 def parse_preamble_series(texts: DataFrame, metric: str) -> DataFrame:

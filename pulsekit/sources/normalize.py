@@ -135,14 +135,28 @@ def number_expr(c) -> F.Column:
                       F.lit(0.0)).cast("long")
 
 
+#: Written dates other than ``M/d/yyyy H:mm`` and ISO ones: shape, and the patterns tried on it.
+WRITTEN_DATES = [
+    (r"^[A-Za-z]{3,9}\.? \d{1,2},? \d{4}", ["MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy"]),
+    (r"^\d{1,2} [A-Za-z]{3,9} \d{4}", ["d MMM yyyy", "d MMMM yyyy"]),
+    (r"^\d{4}/\d{1,2}/\d{1,2}", ["yyyy/M/d"]),
+    (r"^\d{1,2}/\d{1,2}/\d{4}", ["M/d/yyyy"]),
+]
+_CLOCKS = ["", " H:mm", " H:mm:ss", " h:mm a", " h:mm:ss a"]
+
+
 def parse_local_time(s: F.Column) -> F.Column:
-    """N5 step 1: ``M/d/yyyy H:mm`` first, then a general ISO-like parse, as a
+    """N5 step 1: ``M/d/yyyy H:mm`` first, then ISO-like and written dates, as a
     zone-less wall clock."""
-    m = F.regexp_extract(s, r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{2})\s*$", 0)
-    g = lambda i: F.regexp_extract(s, r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{2})\s*$", i).try_cast("int")
-    us = F.when(m != "", F.try_make_timestamp_ntz(g(3), g(1), g(2), g(4), g(5), F.lit(0)))
+    shape = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{2})\s*$"
+    g = lambda i: F.regexp_extract(s, shape, i).try_cast("int")
+    us = F.when(s.rlike(shape), F.try_make_timestamp_ntz(g(3), g(1), g(2), g(4), g(5), F.lit(0)))
     iso = F.to_timestamp_ntz(F.try_to_timestamp(F.regexp_replace(s, "T", " ")).cast("string"))
-    return F.coalesce(us, F.when(s.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), iso))
+    plain = F.regexp_replace(F.regexp_replace(F.trim(s), r"\s+", " "), r"^([A-Za-z]{3,9})\. ", "$1 ")
+    written = [F.when(plain.rlike(form), F.coalesce(*[
+        F.to_timestamp_ntz(F.try_to_timestamp(plain, F.lit(day + clock)).cast("string")) for day in days for clock in _CLOCKS]))
+        for form, days in WRITTEN_DATES]
+    return F.coalesce(us, F.when(s.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), iso), *written)
 
 
 def localize_to_utc(local: F.Column, tz: str = EXPORT_TZ) -> F.Column:

@@ -174,3 +174,37 @@ def test_demographics_version_log(spark, tmp_path):
     latest = history.latest_demographics(spark, log).collect()
     assert len(latest) == 1 and latest[0]["percentage"] == 40.0
     assert spark.read.json(log).count() == 2
+
+
+def test_every_file_of_a_folder_in_its_own_encoding(spark, tmp_path):
+    d = tmp_path / "instagram"
+    hdr = "Post ID,Description,Publish time,Post type,Reach,Likes\n"
+    _write(str(d / "kr.csv"), hdr + '1,"서울\n여행",3/1/2026 3:05,IG reel,10,2\n', "cp949")
+    _write(str(d / "sub dir" / "plain.csv"), "﻿" + hdr + '2,"été, ""quoted""","Mar 1, 2026",IG image,10,2\n')
+    _write(str(d / "latin.CSV"), "Likes,Post ID,Description\n5,3,café\n", "latin-1")
+    _write(str(d / "good.json"), json.dumps([{"post_id": "4", "description": "j", "likes": 1}]))
+    _write(str(d / "broken.json"), '{"post_id": "5", ')
+    (d / "empty.csv").write_bytes(b"")
+    out = {r["post_id"]: r for r in exports.ingest_platform(spark, str(d), "instagram").collect()}
+    assert set(out) == {"1", "2", "3", "4"}
+    assert out["1"]["title"] == "서울\n여행" and out["2"]["title"] == 'été, "quoted"' and out["3"]["title"] == "café"
+    assert out["1"]["likes"] == 2 and out["3"]["likes"] == 5
+    assert out["2"]["published_at"] == dt.datetime(2026, 3, 1, 8, 0)
+
+
+def test_other_encodings_of_the_second_platform(spark, tmp_path):
+    d = tmp_path / "tiktok"
+    hdr = "Video title,Video link,Post time,Total likes,Total views\n"
+    _write(str(d / "Content.csv"), hdr + "Χαρά,https://x/video/7,2026-03-01,3,9\n", "utf-16")
+    _write(str(d / "content_old.csv"), hdr + "Χαρά μου,https://x/video/8,2026-03-01,4,9\n", "cp1253")
+    out = {r["post_id"]: r for r in exports.ingest_platform(spark, str(d), "tiktok").collect()}
+    assert {k: (v["title"], v["likes"]) for k, v in out.items()} == {"7": ("Χαρά", 3), "8": ("Χαρά μου", 4)}
+
+
+def test_written_dates(spark):
+    cases = {"3/1/2026 3:05": "2026-03-01 03:05:00", "2026-03-01T10:00": "2026-03-01 10:00:00", "Mar 1, 2026": "2026-03-01 00:00:00",
+             "March 1, 2026 4:30 PM": "2026-03-01 16:30:00", "1 March 2026": "2026-03-01 00:00:00", "2026/3/1 7:08": "2026-03-01 07:08:00",
+             "3/1/2026": "2026-03-01 00:00:00", "Sep. 5 2025 11:00": "2025-09-05 11:00:00", "soon": None, "": None, None: None}
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    got = {r["s"]: r["t"] for r in df.select("s", normalize.parse_local_time(F.col("s")).cast("string").alias("t")).collect()}
+    assert got == cases
