@@ -32,7 +32,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import table
+from pulsekit.llm.common import table, text_batches
 
 #: Words compiled into the automaton, the most frequent of the corpus first.
 LEXICON_WORDS = 1 << 16
@@ -40,7 +40,7 @@ LEXICON_WORDS = 1 << 16
 LEXICON_BYTES = 48
 #: Words that a worker remembers before it starts anew, and characters that it holds at once.
 MEMO_WORDS = 400_000
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 
 
 def default_vocabulary() -> str:
@@ -302,7 +302,7 @@ def count_words(docs: DataFrame, path: str) -> DataFrame:
                     seen.clear()
         yield out()
 
-    return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return text_batches(docs).select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> str:
@@ -371,7 +371,7 @@ def encode(docs: DataFrame, path: str, lexicon: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(part)), pa.ListArray.from_arrays(pa.array(ends), ids)], ["doc_id", "ids"])
                 at += len(part)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return text_batches(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:
@@ -401,7 +401,7 @@ def round_trip(docs: DataFrame, path: str, lexicon: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return text_batches(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -430,4 +430,4 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
                                                  ["doc_id", "source", "n_tokens", "ids"])
                 at += len(part)
 
-    return docs.select("doc_id", "source", "text").mapInArrow(run, "doc_id long, source string, n_tokens long, ids array<int>")
+    return text_batches(docs).select("doc_id", "source", "text").mapInArrow(run, "doc_id long, source string, n_tokens long, ids array<int>")

@@ -19,6 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def text_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, with fewer rows per Arrow batch where the session leaves that open.
+
+    Batches are counted in rows; with whole texts, ten thousand rows can be a gigabyte.
+    """
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) == 10_000 and not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, rows)
+    return df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage of a narrow table in the shared checkpoint folder."""
     return cut_lineage(df)

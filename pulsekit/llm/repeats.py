@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from pulsekit.llm.common import materialise, table
+from pulsekit.llm.common import materialise, table, text_batches
 from pulsekit.llm.shingles import mix, prefix, range_hash
 from pulsekit.llm.substring import slices
 
@@ -237,7 +237,7 @@ def _with_node(docs: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """(node, spans): per text (by its hash), the byte ranges covered by repeated strings."""
-    named = _with_node(docs)
+    named = _with_node(text_batches(docs))
     by_anchor = segments(named).repartition("anchor")
     same, anchor = W.partitionBy("anchor", "segment"), W.partitionBy("anchor")
     hits = materialise(by_anchor

@@ -7,8 +7,6 @@ buffer, gives the hash of any byte range by one difference and one product
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C13 | 3      # odd, 3 modulo 8
@@ -29,17 +27,18 @@ _GAP = np.zeros(256, bool)
 _GAP[[9, 10, 11, 12, 13, 32]] = True
 
 
-@lru_cache(maxsize=2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, up to ``size`` (a power of two)."""
-    up = np.full(size, np.uint64(_BASE))
-    down = np.full(size, np.uint64(pow(_BASE, -1, 1 << 64)))
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+_table: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(16, (n - 1).bit_length()))
+def powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, at least ``n`` of each; one table per process, grown by doubling."""
+    if len(_table[0]) < n:
+        size = 1 << max(16, (n - 1).bit_length())
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size, np.uint64(base))
+            steps[0] = 1
+            _table[i] = np.cumprod(steps)
+    return _table
 
 
 def prefix(buffer: np.ndarray) -> np.ndarray:

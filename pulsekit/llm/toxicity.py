@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import materialise, table
+from pulsekit.llm.common import materialise, table, text_batches
 
 #: Words with weights, the most telling of the training labels first.
 VOCABULARY = 256
@@ -151,11 +151,11 @@ def score(docs: DataFrame, weights: dict[str, float]) -> DataFrame:
                 spans.append(out)
             yield pd.DataFrame({"doc_id": frame["doc_id"], "score": total, "offending": spans})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, score double, offending array<struct<start:int,stop:int,score:double>>")
+    return text_batches(docs).select("doc_id", "text").mapInPandas(run, "doc_id long, score double, offending array<struct<start:int,stop:int,score:double>>")
 
 
 def train_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    train = training_texts(docs, labels)
+    train = training_texts(text_batches(docs), labels)
     return score(docs, fit(train, telling_words(train)))
 
 
