@@ -105,3 +105,22 @@ def test_percentiles_equal_the_built_in_ones(spark):
     want = {r["k"]: tuple(r)[1:] for r in df.groupBy("k").agg(*[F.percentile(c, q).alias(n) for n, (c, q) in wanted.items()]).collect()}
     assert got.keys() == want.keys() - {"d"}
     assert all(a == pytest.approx(b) for k in got for a, b in zip(got[k], want[k]))
+
+
+def test_a_merge_writes_only_the_months_it_touches(spark, tmp_path, posts):
+    base, start = str(tmp_path / "h"), {p: "1990-01-01" for p in ("instagram", "tiktok", "youtube", "facebook")}
+    cols = [c for c in history.POSTS_SCHEMA.fieldNames() if c != "_ingested_at"]
+    batch = posts.select(*cols).limit(200)
+    history.merge_posts_into_history(spark, base, batch, "2026-01-01 00:00:00", start)
+    v1 = history.versions(spark, base)[-1]
+    one = batch.where(F.col("published_at").isNotNull()).orderBy("post_id").limit(1).cache()
+    # the post moves to another month; its old row must go
+    moved = one.withColumn("likes", F.col("likes") + 5).withColumn("published_at", F.col("published_at") + F.expr("INTERVAL 100 DAYS"))
+    history.merge_posts_into_history(spark, base, moved, "2026-02-01 00:00:00", start)
+    v2 = history.versions(spark, base)[-1]
+    m1, m2 = (history.manifest(spark, base, v) for v in (v1, v2))
+    assert sum(v == v2 for v in m2.values()) <= 2 and sum(v == v1 for v in m2.values()) >= len(m1) - 2
+    got = history.read_history(spark, base)
+    pid = one.first()["post_id"]
+    assert got.count() == 200 and [r["likes"] for r in got.where(F.col("post_id") == pid).collect()] == [one.first()["likes"] + 5]
+    assert history.read_history(spark, base, v1).count() == 200
