@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from pulsekit.llm.common import materialise, table, text_batches
-from pulsekit.llm.shingles import mix, prefix, range_hash
-from pulsekit.llm.substring import slices
+from pulsekit.llm.shingles import mix, prefix, range_hash, slices
 
 LENGTH = 200
 ANCHOR = 64

@@ -7,6 +7,8 @@ buffer, gives the hash of any byte range by one difference and one product
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C13 | 3      # odd, 3 modulo 8
@@ -41,6 +43,28 @@ def powers(n: int) -> list[np.ndarray]:
     return _table
 
 
+#: Bytes of text that are hashed at once.
+SLICE_BYTES = 900_000
+
+
+def encoded(texts: list) -> list[bytes]:
+    """Texts as UTF-8 with A-Z in lower case (null: empty)."""
+    return [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
+
+
+def slices(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Runs of texts of about SLICE_BYTES together."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t)
+        size += len(t)
+        if size >= SLICE_BYTES:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def prefix(buffer: np.ndarray) -> np.ndarray:
     """Running sums for range hashes; one longer than ``buffer``."""
     out = np.zeros(len(buffer) + 1, np.uint64)
