@@ -115,7 +115,7 @@ def _upsert_posts(spark, sf_dir):
     now = p.select(F.max("published_at")).scalar()
     hist = p.where(F.col("published_at").isNull() | (F.col("published_at") < now - F.expr("INTERVAL 30 DAYS")))
     new = (p.where(F.col("published_at") >= now - F.expr("INTERVAL 120 DAYS"))
-           .withColumn("likes", F.col("likes") + 1))
+           .withColumns({"likes": F.col("likes") + 1, "engagement_total": F.col("engagement_total") + 1}))
     new = history.sanitize_metrics(new)
     m = history.upsert_posts(hist, new, ingested_at="2026-01-01 00:00:00")
     return m.select("post_id", "platform", "likes", "engagement_total", F.round("engagement_rate", 6).alias("engagement_rate"),
