@@ -88,6 +88,19 @@ def test_repeated_passages(spark):
     assert substring.repeated_passages(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("pairs", [12, 40])      # groups compared by windows and in blocks
+def test_passages_around_a_common_line(spark, pairs):
+    rng = random.Random(9)
+    text = lambda n, tag: " ".join(f"{tag}{rng.randrange(10**9)}" for _ in range(n))
+    line = text(32, "common")
+    rows = []
+    for i in range(pairs):                       # only the two texts of a pair share a passage
+        passage = f"{text(12, 'p')} {line} {text(12, 'q')}"
+        rows += [(2 * i, f"{text(80, 'a')} {passage} {text(20, 'b')}"), (2 * i + 1, f"{passage} {text(70, 'c')}")]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"], r["n_repeated"]) for r in substring.repeated_passages(docs(spark, rows)).collect()}
+    assert got == {i: (i - i % 2, 1, 56) for i in range(2 * pairs)}
+
+
 def test_repeated_passages_against_brute_force(spark, documents):
     seen, want = {}, set()
     for i, t, *_ in documents:
