@@ -1,7 +1,8 @@
 """Licence scan by sentence rules.
 
-A text is cut into sentences, each normalised (case, punctuation, blanks) and
-mapped to the identifier of a known licence sentence.  A document then is a
+A text is normalised (case, punctuation, blanks), with marks where sentences and
+lines end.  A known licence sentence may run over lines, semicolons and colons,
+and stands from one mark to another; it is mapped to its identifier.  A document then is a
 sequence of identifiers, which ordered rules turn into licences: longer
 sequences first, each match consuming its sentences, so that the clauses of a
 full licence are not also read as a shorter one.
@@ -70,9 +71,12 @@ RULES = [
 ]
 RULES += [(f"name:{n}", n) for n in NAMES]
 
-#: Every known sentence holds one of these, so texts and sentences without them are passed over.
+#: A piece of text that holds one of these and is no known sentence stands as ``unknown``.
 HINT = r"(?i)licen[sc]e|copyright|permission|redistribut|warrant"
-_SENTENCE = r"([.!?;:])[\x20\x09]+"
+#: Every known sentence holds one of these, so texts without them are passed over.
+PASS = HINT + r"|(released|distributed|available)[^a-z0-9]+under"
+#: Grants as published texts write them (normalised), where that differs from grant and name.
+PUBLISHED = {"licensed under the apache license version 2 0 the license": "name:Apache-2.0"}
 
 
 def known() -> dict[str, str]:
@@ -83,8 +87,20 @@ def known() -> dict[str, str]:
     return out
 
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), r"[^a-z0-9]+", " "))
+def marked(text: Column) -> Column:
+    """The normalised text between marks: H where a sentence ends, S where a line does or after a semicolon or colon."""
+    text = F.regexp_replace(F.lower(text), r"[.!?](?=[\x20\x09]|\r?\n)", "H")
+    text = F.regexp_replace(text, r"[;:](?=[\x20\x09])|\n", "S")
+    text = F.concat(F.lit("H"), F.regexp_replace(text, r"[^a-z0-9HS]+", " "), F.lit("H"))
+    return F.regexp_replace(F.regexp_replace(text, r" ?S[ S]*", "S"), r"[ S]?H[ HS]*", "H")
+
+
+def _pattern() -> str:
+    """Any known sentence from mark to mark, the longest first."""
+    over = lambda s: s.replace(" ", "[ S]")
+    longest = lambda values: "|".join(over(v) for v in sorted(values, key=lambda v: (-len(v), v)))
+    names = [n for group in NAMES.values() for n in group]
+    return f"(?<=[HS])(?:{longest([*SENTENCES.values(), *PUBLISHED])}|(?:{longest(GRANTS)})[ S](?:{longest(names)}))(?=[HS])"
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -94,11 +110,14 @@ def scan(docs: DataFrame) -> DataFrame:
     sequence and breaks no rule's order only by standing between its sentences.
     Null and empty texts: empty sequences.  A licence named twice is listed once, at its first rule.
     """
-    names = known()
+    names = known() | PUBLISHED
     table_ = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    text = F.coalesce(F.col("text"), F.lit(""))
-    sentences = F.filter(F.split(F.regexp_replace(text, _SENTENCE, "$1\n"), "\n"), lambda s: s.rlike(HINT))
-    ids = F.transform(sentences, lambda s: F.coalesce(F.try_element_at(table_, normalised(s)), F.lit("unknown")))
+    text, pattern = F.coalesce(F.col("text"), F.lit("")), _pattern()
+    unknown = lambda part: F.transform(F.filter(F.split(part, "[HS]"), lambda s: s.rlike(HINT)), lambda s: F.lit("unknown"))
+    name = lambda sentence: F.array(F.try_element_at(table_, F.translate(sentence, "S", " ")))
+    # what stands between the known sentences, and these themselves, in turn
+    ids = let(marked(text), lambda t: let(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda hits: F.flatten(F.transform(
+        F.split(t, pattern), lambda part, i: F.concat(unknown(part), F.when(i < F.size(hits), name(F.get(hits, i))).otherwise(F.array().cast("array<string>")))))))
     rules = F.array(*[F.struct(F.lit(f" {seq} ").alias("seq"), F.lit(name).alias("name")) for seq, name in RULES])
 
     def licences(seq: Column) -> Column:
@@ -109,7 +128,7 @@ def scan(docs: DataFrame) -> DataFrame:
         ).otherwise(acc))["out"]
 
     none = F.array().cast("array<string>")
-    found = F.when(text.rlike(HINT), ids).otherwise(none)
+    found = F.when(F.lower(text).rlike(PASS), ids).otherwise(none)
     # identifiers stand between double blanks, so neighbours can match one after the other
     return docs.select("doc_id", let(found, lambda x: F.struct(
         x.alias("ids"), F.when(F.size(x) == 0, none).otherwise(licences(F.concat(F.lit(" "), F.array_join(x, " "), F.lit(" ")))).alias("licences"))).alias("r")

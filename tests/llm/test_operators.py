@@ -307,6 +307,66 @@ def test_licences(spark):
     assert licences.scan(docs(spark, [])).count() == 0
 
 
+def test_licences_as_published(spark):
+    mit = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+"""
+    gpl = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details.
+"""
+    apache = """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+"""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+    isc = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+    want = [(mit, "MIT"), (gpl, "GPL-3.0-or-later"), (gpl.replace("software:", "software;").replace("version 3", "version 2"), "GPL-2.0-or-later"),
+            (apache, "Apache-2.0"), (bsd, "BSD-2-Clause"), (isc, "ISC"), (mit.replace("\n", "\r\n"), "MIT"),
+            ("Released under GPL v3.", "GPL-3.0-only"), ("Distributed under CC0 1.0.", "CC0-1.0"), ("Available under Apache 2.0.", "Apache-2.0"),
+            ("// SPDX-License-Identifier: MIT\nint x;", "MIT"), ("Released under GPL v3\nor later.", "GPL-3.0-or-later")]
+    found = {r["doc_id"]: r["licences"] for r in licences.scan(docs(spark, [(i, t) for i, (t, _) in enumerate(want)])).collect()}
+    assert found == {i: [name] for i, (_, name) in enumerate(want)}
+    rows = list(licences.known().items())
+    each = {r["doc_id"]: r["ids"] for r in licences.scan(docs(spark, [(i, f"{s}.") for i, (s, _) in enumerate(rows)])).collect()}
+    assert each == {i: [name] for i, (_, name) in enumerate(rows)}
+    apart = licences.scan(docs(spark, [(1, "Licensed under. The MIT license."), (2, "\n" * 3000 + " . " * 3000)])).collect()
+    assert all(r["licences"] == [] for r in apart)
+
+
 # -- 7: quality --------------------------------------------------------------------
 
 def plain_counts(text):
