@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pulsekit.llm import bpe, licences, mixing, near_dedup, quality, repeats, secrets, substring, topk, toxicity
+from pulsekit.llm import (bpe, licences, merge_replay, mixing, near_dedup, quality, ranked_search, repeats, secrets, substring, topk,
+                          toxicity, vector_codes)
 
 QUERIES = {
     "op1_repeated_passages": substring.op1_repeated_passages,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_exact_top_k": topk.op8_exact_top_k,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_ranked_search": ranked_search.op12_ranked_search,
+    "op13_merge_replay": merge_replay.op13_merge_replay,
 }
 
 SQL = {
@@ -23,4 +27,6 @@ SQL = {
     "op6_licence_scan": licences.SQL_LICENCES,
     "op8_exact_top_k": topk.SQL_TOP_K,
     "op9_secret_scan": secrets.SQL_SECRETS,
+    "op11_vector_codes": vector_codes.SQL_CODES,
+    "op12_ranked_search": ranked_search.SQL_SEARCH,
 }
