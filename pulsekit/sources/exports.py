@@ -1,8 +1,11 @@
 """S1–S7 — scans of vendor export files.
 
-* CSV exports (S1/S3/S6): files are grouped by header line so that each
-  group is read with its own column order; files that are not UTF-8 are
-  decoded and cut into records on the executors.
+* CSV exports (S1/S3/S6): files are read in splits, whatever their size, also
+  where quoted fields hold line breaks.  A first pass finds for every split how it
+  turns the state at its start (inside quotes or not) into the state at its end;
+  chaining these per file says where records begin, and the second pass cuts them.
+  Files are then grouped by header line, so that each layout has its own column
+  order.  What cannot be read goes to a quarantine table.
 * JSON exports (S2): multi-line JSON, nested objects flattened to dotted
   column names.
 * Preamble time series (S4) and audience sections (S5): whole files as
@@ -14,13 +17,17 @@ from __future__ import annotations
 
 import csv
 import io
+import re
+from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsekit.session import cut_lineage
 from pulsekit.sources import greek
 from pulsekit.sources.normalize import normalize_export
 
@@ -76,14 +83,6 @@ def lines(texts: DataFrame) -> DataFrame:
                         .alias("line_no", "line"))
 
 
-def read_csv_exports(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> DataFrame:
-    """CSV files sharing one header layout, all columns as strings, plus the
-    source file (S1).  Quoted multi-line fields are supported."""
-    return (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-            .option("encoding", encoding).option("mode", "PERMISSIVE").csv(paths)
-            .withColumn("source_file", F.col("_metadata.file_path")))
-
-
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     """Nested struct columns -> dotted top-level columns."""
     def walk(schema, prefix):
@@ -104,98 +103,288 @@ def read_json_exports(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 CSV_GLOB, JSON_GLOB = "*.[cC][sS][vV]", "*.[jJ][sS][oO][nN]"
-#: A file beyond this cannot be one cell; only files that are not UTF-8 need that.
+#: UTF-16 files are decoded whole; a larger one cannot be one cell and goes to quarantine.
 CELL_BYTES = 2_000_000_000
+QUARANTINE = "source_file string, position long, reason string, record string"
 
 
 def _is_export(name: F.Column) -> F.Column:
     return ~name.startswith(".") & (name != "template.csv") & ~F.lower(name).isin(sorted(ACCOUNT_FILES))
 
 
-def csv_files(spark: SparkSession, root: str) -> DataFrame:
-    """(uri, utf8, first): per post-export CSV file whether all of it is UTF-8, and its first line.
+# -- records of quoted CSV, in splits -----------------------------------------------
 
-    Lines are scanned in splits; a file is never one cell.  Files without any line are left out.
-    """
-    rows = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_GLOB).text(root)
+#: Complete fields of a line read from outside quotes; quotes within an unquoted field are ordinary characters.
+_FIELD = rb'(?:"(?:[^"]|"")*+"[^,]*+|(?!")[^,]*+)'
+_CLOSED = re.compile(rb"%s(?:,%s)*+" % (_FIELD, _FIELD))
+#: The rest of a quoted field that began on an earlier line, up to its closing quote, and what follows it.
+_REST = re.compile(rb'(?:[^"]|"")*+"[^,]*+(?:,%s)*+' % _FIELD)
+
+
+def ends_inside(line: bytes, inside: bool) -> bool:
+    """Whether a line that begins inside (or outside) a quoted field ends inside one."""
+    if b'"' not in line:
+        return inside
+    return (_REST if inside else _CLOSED).fullmatch(line) is None
+
+
+def _text_lines(spark: SparkSession, root: str) -> DataFrame:
+    """(uri, name, block, raw): the lines of all CSV files in splits, within a split in order."""
+    return (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_GLOB).option("lineSep", "\n").text(root)
             .select(F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_name").alias("name"),
-                    F.col("_metadata.file_block_start").alias("block"), "value", F.monotonically_increasing_id().alias("at"))
-            .where(_is_export(F.col("name"))))
-    opening = F.min_by("value", F.when(F.col("block") == 0, F.col("at")))
-    return rows.groupBy("uri").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"), opening.alias("first"))
+                    F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("raw")))
+
+
+def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], Iterator[bytes] | list[bytes]]]:
+    """Runs of lines of one (uri, block)."""
+    for b in batches:
+        uris, blocks, raws = b.column("uri").to_pylist(), b.column("block").to_pylist(), b.column("raw").to_pylist()
+        lo = 0
+        for hi in range(1, len(uris) + 1):
+            if hi == len(uris) or uris[hi] != uris[lo] or blocks[hi] != blocks[lo]:
+                yield (uris[lo], blocks[lo]), raws[lo:hi]
+                lo = hi
+
+
+def _scan(encodings: list[str]):
+    """Per split: its end state from either start state, and the encodings (by bit) in which one of its lines does not decode."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, out, into, bad, marked = None, False, True, 0, False
+
+        def summary() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"uri": [at[0]], "block": pa.array([at[1]], pa.int64()), "out": pa.array([int(out)], pa.int32()),
+                                               "into": pa.array([int(into)], pa.int32()), "bad": pa.array([bad], pa.int64()), "marked": [marked]})
+        for where, raws in _splits(batches):
+            if where != at:
+                if at is not None:
+                    yield summary()
+                at, out, into, bad, marked = where, False, True, 0, False
+                marked = where[1] == 0 and raws[0][:2] in (b"\xff\xfe", b"\xfe\xff")
+            for raw in raws:
+                line = raw.removesuffix(b"\r")
+                out, into = ends_inside(line, out), ends_inside(line, into) if into != out else ends_inside(line, out)
+                if not raw.isascii():
+                    for i, enc in enumerate(encodings):
+                        if not bad >> i & 1:
+                            try:
+                                raw.decode(enc)
+                            except (UnicodeDecodeError, LookupError):
+                                bad |= 1 << i
+        if at is not None:
+            yield summary()
+    return run
+
+
+def _byte_encodings(encodings: list[str]) -> list[str]:
+    """Those in which line ends, quotes and commas are single bytes."""
+    return [e for e in encodings if not e.startswith("utf-16")]
+
+
+def scan_splits(lines: DataFrame, encodings: list[str]) -> DataFrame:
+    """(uri, block, inside, bad, marked): per split whether it begins inside a quoted field."""
+    blocks = lines.select("uri", "block", "raw").mapInArrow(_scan(_byte_encodings(encodings)), "uri string, block long, out int, into int, bad long, marked boolean")
+    # a split sends the state at its start to that at its end: it keeps it, swaps it, or ends alike from both
+    before = Window.partitionBy("uri").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("uri").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    blocks = blocks.withColumn("swaps", F.sum(F.when(F.col("out") > F.col("into"), 1).otherwise(0)).over(upto))
+    fixed = F.last(F.when(F.col("out") == F.col("into"), F.struct("out", "swaps")), ignorenulls=True).over(before)
+    swaps = F.coalesce(F.last("swaps").over(before), F.lit(0))
+    state = F.pmod(F.coalesce(fixed["out"], F.lit(0)) + swaps - F.coalesce(fixed["swaps"], F.lit(0)), F.lit(2))
+    return blocks.select("uri", "block", (state == 1).alias("inside"), "bad", "marked")
+
+
+def _ended(record: bytes) -> bytes:
+    """A record without its line end; where that is CR LF, line breaks in its fields become LF, as in Spark's own reader."""
+    return record[:-1].replace(b"\r\n", b"\n") if record.endswith(b"\r") else record
+
+
+def _glued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        raw = [_ended(b"\n".join(x)) for x in b.column("raws").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("uri"), b.column("position"), pa.array(raw, pa.binary()), b.column("closed")], ["uri", "position", "raw", "closed"])
+
+
+def _cut(inside: set[tuple[str, int]]):
+    """Records of each split: whole ones, the opening piece of one that goes on in the next split, and the closing piece of one begun before.
+
+    ``inside`` names the splits that begin inside a quoted field.
+    """
+    whole, opening, middle, closing = 0, 1, 2, 3
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, state, held, begun, seq = None, False, [], True, 0
+        out: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            rows = list(zip(*out)) if out else [[], [], [], [], []]
+            out.clear()
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], ["uri", "block", "seq", "piece", "raw"])
+
+        for where, raws in _splits(batches):
+            if where != at:
+                if held:
+                    out.append((*at, seq, opening if begun else middle, b"\n".join(held)))
+                at, state, held, seq = where, where in inside, [], 0
+                begun = not state
+            for raw in raws:
+                state = ends_inside(raw.removesuffix(b"\r"), state)
+                held.append(raw)
+                if not state:
+                    record = b"\n".join(held)
+                    if not begun:
+                        out.append((*at, seq, closing, record))
+                        seq += 1
+                    elif record := _ended(record):
+                        out.append((*at, seq, whole, record))
+                        seq += 1
+                    held, begun = [], True
+            if len(out) >= 2000:
+                yield flush()
+        if held:
+            out.append((*at, seq, opening if begun else middle, b"\n".join(held)))
+        yield flush()
+    return run
+
+
+def csv_records(spark: SparkSession, root: str, encodings: list[str] = POST_ENCODINGS, accept=_is_export) -> tuple[DataFrame, DataFrame]:
+    """Records (uri, position, text, closed) of all CSV files under ``root``, and their files (uri, encoding, first).
+
+    A file's encoding is the first in which all of it decodes and holds for its header and its records.
+    Positions increase within a file.  ``closed`` is false for a record whose last quoted field has no end.
+    UTF-16 files go by their mark and are decoded whole.  Empty lines are no records.
+    """
+    lines = _text_lines(spark, root).where(accept(F.col("name")))
+    blocks = cut_lineage(scan_splits(lines, encodings))      # a row per split
+    inside = {(r["uri"], r["block"]) for r in blocks.where("inside AND NOT marked").select("uri", "block").collect()}
+    plain = _byte_encodings(encodings)
+    name = F.lit(None).cast("string")
+    for i, enc in reversed(list(enumerate(plain))):
+        name = F.when(F.col("bad").bitwiseAND(F.lit(1 << i)) == 0, enc).otherwise(name)
+    files = (blocks.groupBy("uri").agg(F.bit_or("bad").alias("bad"), F.bool_or("marked").alias("marked"))
+             .select("uri", F.when(F.col("marked"), "utf-16").otherwise(name).alias("encoding")))
+    pieces = lines.select("uri", "block", "raw").mapInArrow(_cut(inside), "uri string, block long, seq long, piece int, raw binary")
+    # the few records that cross splits are put together again, in the order of the splits
+    position = F.col("block") + F.col("seq")
+    number = F.sum(F.when(F.col("piece") == 1, 1).otherwise(0)).over(Window.partitionBy("uri").orderBy("block", "seq").rowsBetween(Window.unboundedPreceding, 0))
+    crossing = (pieces.where("piece > 0").withColumn("_n", number).groupBy("uri", "_n")
+                .agg(F.min(position).alias("position"), F.sort_array(F.collect_list(F.struct("block", "seq", "raw"))).alias("l"), F.max("piece").alias("_last")))
+    crossing = (crossing.select("uri", "position", F.col("l.raw").alias("raws"), (F.col("_last") == 3).alias("closed"))
+                .mapInArrow(_glued, "uri string, position long, raw binary, closed boolean"))
+    raws = pieces.where("piece = 0").select("uri", position.alias("position"), "raw", F.lit(True).alias("closed")).unionByName(crossing)
+    named = raws.join(files.where("encoding <> 'utf-16'"), "uri")
+    utf8 = F.col("encoding").startswith("utf-8")
+    text = named.where(utf8).select("uri", "position", F.col("raw").cast("string").alias("text"), "closed")
+    other = named.where(~utf8).select("uri", "position", "raw", "closed", "encoding").mapInArrow(_decoded, "uri string, position long, text string, closed boolean")
+    wide = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_GLOB).load(root)
+            .where(F.col("length") < CELL_BYTES).select(F.col("_metadata.file_path").alias("uri"), "content")
+            .join(files.where("encoding = 'utf-16'").select("uri"), "uri", "left_semi").mapInPandas(_wide_records, "uri string, position long, text string, closed boolean"))
+    records = text.unionByName(other).unionByName(wide).withColumn(
+        "text", F.when(F.col("position") == 0, F.regexp_replace("text", "^\ufeff", "")).otherwise(F.col("text")))
+    first = records.groupBy("uri").agg(F.min_by("text", "position").alias("first"))
+    return records, files.join(first, "uri", "left")
+
+
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        text = [raw.decode(enc) for raw, enc in zip(b.column("raw").to_pylist(), b.column("encoding").to_pylist())]
+        yield pa.RecordBatch.from_arrays([b.column("uri"), b.column("position"), pa.array(text, pa.string()), b.column("closed")], ["uri", "position", "text", "closed"])
+
+
+def _wide_records(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Records of whole UTF-16 files."""
+    for pdf in frames:
+        for uri, content in zip(pdf["uri"], pdf["content"]):
+            try:
+                text = bytes(content).decode("utf-16")
+            except UnicodeDecodeError:
+                continue
+            rows, held, at, state = [], [], 0, False
+            for n, line in enumerate([*text.split("\n"), None]):
+                if line is not None:
+                    state = ends_inside(line.removesuffix("\r").encode("utf-8", "surrogatepass"), state)
+                    held.append(line)
+                if held and (line is None or not state):
+                    record = _ended("\n".join(held).encode("utf-8", "surrogatepass")).decode("utf-8", "surrogatepass")
+                    if record:
+                        rows.append((uri, at, record, not state))
+                    held, at = [], n + 1
+            yield pd.DataFrame(rows, columns=["uri", "position", "text", "closed"])
 
 
 def _header(line: str) -> list[str]:
-    names = next(csv.reader([line.lstrip("\ufeff").rstrip("\r")]), [])
+    names = next(csv.reader(io.StringIO(line.lstrip("\ufeff"), newline="")), [])
     return [n if n and n not in names[:i] else f"{n}_{i}" for i, n in enumerate(names)]
 
 
-def _legacy_records(encodings: list[str]):
-    """Records of files in other encodings: the first that decodes (UTF-16 only with its mark) is used for all of a file."""
-    def run(frames):
-        for pdf in frames:
-            for uri, content in zip(pdf["uri"], pdf["content"]):
-                raw, text = bytes(content), None
-                for enc in encodings:
-                    if enc.startswith("utf-8") or enc == "utf-16" and raw[:2] not in (b"\xff\xfe", b"\xfe\xff"):
-                        continue
-                    try:
-                        text = raw.decode(enc)
-                        break
-                    except (UnicodeDecodeError, LookupError):
-                        continue
-                if text is None:
-                    continue
-                text = text.lstrip("\ufeff")
-                first = text.split("\n", 1)[0].rstrip("\r")
-                records = list(csv.reader(io.StringIO(text, newline="")))[1:]
-                yield pd.DataFrame({"uri": uri, "first": first, "cells": [r for r in records if r]})
-    return run
+#: Holds what stands in a record beyond its header's columns.
+_MORE = "_more_"
+
 
+def csv_frames(spark: SparkSession, root: str, encodings: list[str] = POST_ENCODINGS, accept=_is_export) -> tuple[list[tuple[str, DataFrame]], DataFrame]:
+    """(header line, records as columns with source_file and position) per header layout, and the quarantine.
 
-def _csv_frames(spark: SparkSession, root: str, encodings: list[str]) -> list[tuple[str, DataFrame]]:
-    """(header line, records) per header layout; only the distinct header lines reach the driver."""
-    files = csv_files(spark, root)
-    plain = files.where("utf8").select("uri", "first")
+    Only the distinct header lines reach the driver.  Quarantined are files that no encoding decodes, records whose
+    last quoted field has no end, and records with more cells than their header; missing cells are null.
+    """
+    records, files = csv_records(spark, root, encodings, accept)
+    files = cut_lineage(files)
+    bad = [files.where("encoding IS NULL").select(F.col("uri").alias("source_file"), F.lit(0).cast("long").alias("position"),
+                                                  F.lit("no encoding decodes the file").alias("reason"), F.lit(None).cast("string").alias("record")),
+           files.where("encoding = 'utf-16' AND first IS NULL").select(F.col("uri").alias("source_file"), F.lit(0).cast("long").alias("position"),
+                                                                       F.lit("UTF-16 file too large or broken").alias("reason"), F.lit(None).cast("string").alias("record")),
+           records.where("NOT closed").select(F.col("uri").alias("source_file"), "position", F.lit("a quoted field has no end").alias("reason"), F.col("text").alias("record"))]
     out = []
-    for (line,) in plain.select("first").distinct().collect():
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in _header(line)])
-        raw = (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
-               .option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_GLOB).csv(root)
-               .withColumn("source_file", F.col("_metadata.file_path")))
-        mine = plain.where(F.col("first") == line).select(F.col("uri").alias("source_file"))
-        out.append((line, raw.join(mine, "source_file", "left_semi")))
-    other = files.where(~F.col("utf8")).select("uri")
-    content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_GLOB).load(root)
-               .where(F.col("length") < CELL_BYTES).select(F.col("_metadata.file_path").alias("uri"), "content"))
-    records = content.join(other, "uri", "left_semi").mapInPandas(_legacy_records(encodings), "uri string, first string, cells array<string>")
-    for (line,) in records.select("first").distinct().collect():
-        cells = [F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(_header(line))]
-        out.append((line, records.where(F.col("first") == line).select(*cells, F.col("uri").alias("source_file"))))
-    return out
-
-
-def ingest_platform(spark: SparkSession, root: str, platform: str) -> DataFrame | None:
-    """S3 + N3: every post export of a platform folder, normalised and unioned by name.
-
-    A file's encoding is settled once and holds for its header and its records.
-    Files that no encoding decodes and JSON files that do not parse are passed over.
+    for (line,) in files.where("first IS NOT NULL").select("first").distinct().orderBy("first").collect():
+        names = _header(line)
+        ddl = ", ".join(f"`{n.replace('`', '``')}` STRING" for n in [*names, _MORE])
+        cells = F.from_csv("text", ddl, {"escape": '"'})
+        mine = records.join(files.where(F.col("first") == line).select("uri"), "uri", "left_semi").where("closed AND position > 0")
+        parsed = mine.select(F.col("uri").alias("source_file"), "position", "text", cells.alias("c"))
+        out.append((line, parsed.where(F.col("c")[_MORE].isNull()).select(*[F.col("c")[n].alias(n) for n in names], "source_file", "position")))
+        bad.append(parsed.where(F.col("c")[_MORE].isNotNull()).select("source_file", "position", F.lit("more cells than the header").alias("reason"), F.col("text").alias("record")))
+    return out, reduce(lambda a, b: a.unionByName(b), bad)
+
+
+def read_csv_exports(spark: SparkSession, path: str, encodings: list[str] = POST_ENCODINGS) -> DataFrame | None:
+    """The CSV files under ``path``, all columns as strings and unioned by name, with source_file and position; None without any."""
+    frames, _ = csv_frames(spark, path, encodings, accept=lambda name: ~name.startswith("."))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f for _, f in frames]) if frames else None
+
+
+def scan_platform(spark: SparkSession, root: str, platform: str) -> tuple[DataFrame | None, DataFrame]:
+    """S3 + N3: every post export of a platform folder, normalised and unioned by name, and the quarantine (QUARANTINE).
+
+    Quarantined JSON files are those that do not parse; the others as in ``csv_frames``.
     """
+    layouts, bad = csv_frames(spark, root, TIKTOK_ENCODINGS if platform == "tiktok" else POST_ENCODINGS)
     frames = []
-    for line, raw in _csv_frames(spark, root, TIKTOK_ENCODINGS if platform == "tiktok" else POST_ENCODINGS):
+    for line, raw in layouts:
         spec_name = platform
         if platform == "tiktok" and any(k in line.lower() for k in ("video title", "video link", "total views")):
             spec_name = "tiktok_content"
-        frames.append(normalize_export(raw, spec_name, source_col="source_file"))
+        frames.append(normalize_export(raw.drop("position"), spec_name, source_col="source_file"))
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", JSON_GLOB).load(root)
     if not listed.select("path").isEmpty():
         raw = (spark.read.option("multiLine", True).option("recursiveFileLookup", "true").option("pathGlobFilter", JSON_GLOB).json(root))
-        if raw.columns != ["_corrupt_record"]:
-            raw = raw.withColumn("source_file", F.col("_metadata.file_path")).where(_is_export(F.col("_metadata.file_name")))
-            if "_corrupt_record" in raw.columns:
-                raw = raw.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+        raw = raw.withColumn("source_file", F.col("_metadata.file_path")).where(_is_export(F.col("_metadata.file_name")))
+        if "_corrupt_record" in raw.columns:
+            # Spark reads no column of corrupt records alone: their whole rows are kept aside
+            raw = cut_lineage(raw)
+            bad = bad.unionByName(raw.where(F.col("_corrupt_record").isNotNull()).select(
+                "source_file", F.lit(0).cast("long").alias("position"), F.lit("JSON does not parse").alias("reason"), F.col("_corrupt_record").alias("record")))
+            raw = raw.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+        if len(raw.columns) > 1:
             frames.append(normalize_export(flatten(raw), platform, source_col="source_file"))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None, bad
+
+
+def ingest_platform(spark: SparkSession, root: str, platform: str, quarantine: str | None = None) -> DataFrame | None:
+    """The posts of ``scan_platform``; what could not be read is appended to the table at ``quarantine``, where one is named."""
+    posts, bad = scan_platform(spark, root, platform)
+    if quarantine:
+        bad.withColumn("platform", F.lit(platform)).write.mode("append").parquet(quarantine)
+    return posts
 
 
 def parse_preamble_series(texts: DataFrame, metric: str) -> DataFrame:
@@ -252,15 +441,18 @@ def parse_audience(texts: DataFrame) -> DataFrame:
 
 
 def tiktok_series(spark: SparkSession, path: str, as_of, columns: dict[str, list[str]]) -> DataFrame:
-    """S7 + N6: a TikTok daily export (Greek ``D Month`` dates) as
+    """S7 + N6: a TikTok daily export (Greek ``D Month`` dates), in any of its encodings, as
     (date, metric, value).  ``columns`` maps metric -> header candidates."""
-    raw = read_csv_exports(spark, [path])
+    raw = read_csv_exports(spark, path, TIKTOK_ENCODINGS)
+    empty = spark.createDataFrame([], "date date, metric string, value long")
+    if raw is None:
+        return empty
     from pulsekit.sources.normalize import build_column_map
     date_col = build_column_map(raw.columns, {"date": ["date"]}).get("date")
     if date_col is None:
-        return spark.createDataFrame([], "date date, metric string, value long")
+        return empty
     cm = build_column_map(raw.columns, columns)
-    idx = raw.withColumn("row_no", F.monotonically_increasing_id()).withColumn("file", F.lit(path))
+    idx = raw.withColumnsRenamed({"position": "row_no", "source_file": "file"})
     parsed = greek.parse_greek_dates(idx.withColumnRenamed(date_col, "value_raw"), as_of, value_col="value_raw")
     parsed = parsed.where(F.col("date").isNotNull())
     out = None
@@ -268,4 +460,4 @@ def tiktok_series(spark: SparkSession, path: str, as_of, columns: dict[str, list
         part = parsed.select("date", F.lit(metric).alias("metric"),
                              F.coalesce(F.col(f"`{col}`").try_cast("double").cast("long"), F.lit(0)).alias("value"))
         out = part if out is None else out.unionByName(part)
-    return out
+    return out if out is not None else empty
