@@ -1213,3 +1213,107 @@ SQL["scoring_bundle"] = f"""
 SELECT 'type' AS kind, content_type AS name, avg_score, best_score, count FROM ({SQL["scores_by_type"]})
 UNION ALL SELECT 'platform', platform, avg_score, best_score, count FROM ({SQL["scores_by_platform"]})
 """
+
+
+# ---------------------------------------------------------------------------
+# Clustering (M7, M17, M20): seeds by hash races, Lloyd rounds in integers
+# ---------------------------------------------------------------------------
+def kmeans_sql(k_most: int, restarts: int = 10, rounds: int = 20) -> str:
+    """CTEs from ``kp`` (platform, x BIGINT[]) and ``kk`` (platform, k) to ``km`` (platform, key, cluster, distance)."""
+    near = "min((n.s - 2 * list_dot_product(n.v, c.v) + c.s) * 64 + c.i)::BIGINT"
+    out = f"""
+kn AS MATERIALIZED (SELECT platform, x, x::DOUBLE[] AS v, list_dot_product(x::DOUBLE[], x::DOUBLE[]) AS s, count(*) AS n, md5(array_to_string(x, ',')) AS key
+       FROM kp JOIN kk USING (platform) GROUP BY platform, x),
+kr AS (SELECT range AS r FROM range({restarts})),
+w0 AS MATERIALIZED (SELECT platform, r, key, v, s, n, n::DOUBLE AS w, NULL::DOUBLE AS d FROM kn, kr),"""
+    for t in range(k_most):
+        race = f"-ln((('0x' || substr(md5(concat(r, ':{t}:', key)), 1, 8))::BIGINT + 1) / (2.0::DOUBLE ** 32 + 1)) / w"
+        out += f"""
+s{t} AS MATERIALIZED (SELECT platform, r, {t} AS i, v, s FROM w{t} JOIN kk USING (platform) WHERE w > 0 AND k > {t}
+        QUALIFY row_number() OVER (PARTITION BY platform, r ORDER BY {race}, key) = 1),
+w{t + 1} AS MATERIALIZED (SELECT *, n * d AS w FROM (SELECT w.platform, r, key, w.v, w.s, n, least(w.d, w.s - 2 * list_dot_product(w.v, c.v) + c.s) AS d
+        FROM w{t} w JOIN s{t} c USING (platform, r))),"""
+    out += f"""
+c0 AS MATERIALIZED ({" UNION ALL ".join(f"SELECT * FROM s{t}" for t in range(k_most))}),"""
+    for t in range(rounds):
+        out += f"""
+a{t} AS MATERIALIZED (SELECT n.platform, n.key, c.r, {near} & 63 AS i FROM kn n JOIN c{t} c USING (platform) GROUP BY n.platform, n.key, c.r),
+c{t + 1} AS MATERIALIZED (SELECT platform, r, i, v, list_dot_product(v, v) AS s FROM (
+   SELECT c.platform, c.r, c.i, coalesce(m.v, c.v) AS v FROM c{t} c LEFT JOIN (
+     SELECT platform, r, i, list(y ORDER BY place)::DOUBLE[] AS v FROM (
+       SELECT platform, r, i, place, (sum(y) - ((sum(y) % sum(n)) + sum(n)) % sum(n)) // sum(n) AS y FROM (
+         SELECT a.platform, a.r, a.i, n.n, unnest(n.x) * n.n AS y, unnest(range(len(n.x))) AS place FROM a{t} a JOIN kn n USING (platform, key))
+       GROUP BY platform, r, i, place) GROUP BY platform, r, i) m USING (platform, r, i))),"""
+    out += f"""
+kz AS MATERIALIZED (SELECT n.platform, n.key, n.n, c.r, {near} AS z FROM kn n JOIN c{rounds} c USING (platform) GROUP BY n.platform, n.key, n.n, c.r),
+kb AS (SELECT platform, r FROM (SELECT platform, r, sum(n::HUGEINT * (z >> 6)) AS cost FROM kz GROUP BY platform, r)
+       QUALIFY row_number() OVER (PARTITION BY platform ORDER BY cost, r) = 1),
+km AS MATERIALIZED (SELECT platform, key, (z & 63)::INTEGER AS cluster, z >> 6 AS distance FROM kz JOIN kb USING (platform, r))"""
+    return out
+
+
+def _tier(c: str) -> str:
+    return f"CASE WHEN hi_{c} > lo_{c} THEN floor(({c}::DOUBLE - lo_{c}) / (hi_{c} - lo_{c}) * 65536)::BIGINT ELSE 0 END"
+
+
+_TIERS = ("engagement_rate", "likes", "comments", "shares")
+SQL["content_tiers"] = _q(f""",
+ends AS (SELECT platform, {", ".join(f"min({c})::DOUBLE AS lo_{c}, max({c})::DOUBLE AS hi_{c}" for c in _TIERS)} FROM posts GROUP BY platform),
+kp AS MATERIALIZED (SELECT platform, post_id, content_type, reach, published_at, engagement_rate, likes, shares, [{", ".join(map(_tier, _TIERS))}] AS x
+       FROM posts JOIN ends USING (platform)),
+kk AS (SELECT platform, least(3, greatest(2, count(*) // 5)) AS k FROM kp GROUP BY platform HAVING count(*) >= 10),
+{kmeans_sql(3)},
+t AS MATERIALIZED (SELECT kp.*, km.cluster FROM kp JOIN km ON km.platform = kp.platform AND km.key = md5(array_to_string(kp.x, ','))),
+g AS (SELECT platform, cluster, count(*) AS size, round(avg(engagement_rate), 4) AS avg_engagement_rate, trunc(avg(reach))::BIGINT AS avg_reach,
+        trunc(avg(likes))::BIGINT AS avg_likes, trunc(avg(shares))::BIGINT AS avg_shares FROM t GROUP BY platform, cluster),
+ty AS (SELECT platform, cluster, content_type AS dominant_type FROM (SELECT platform, cluster, content_type, count(*) AS n FROM t GROUP BY ALL)
+       QUALIFY row_number() OVER (PARTITION BY platform, cluster ORDER BY n DESC, content_type) = 1),
+sm AS (SELECT platform, cluster, string_agg(post_id, ',' ORDER BY post_id) AS sample_posts FROM (
+         SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY platform, cluster ORDER BY published_at DESC NULLS LAST, post_id) <= 3) GROUP BY platform, cluster)
+SELECT g.*, ty.dominant_type, sm.sample_posts, ['[TOP] Top Performers', '[AVG] Average', '[LOW] Needs Improvement'][
+    least(3, row_number() OVER (PARTITION BY platform ORDER BY avg_engagement_rate DESC, cluster))] AS label
+FROM g JOIN ty USING (platform, cluster) JOIN sm USING (platform, cluster)
+""")
+
+_FIXED = "list_transform(embedding, lambda x: floor(x::DOUBLE * 65536)::BIGINT)"
+_POST_VECTORS = f"""
+ev AS (SELECT vec_id, {_FIXED} AS x FROM embeddings),
+pv AS MATERIALIZED (SELECT p.platform, p.post_id, p.engagement_rate, p.weight, p.reach, p.content_type, e.x
+       FROM posts p JOIN ev e ON e.vec_id = CAST(p.post_id AS BIGINT) % (SELECT max(vec_id) + 1 FROM ev))"""
+
+SQL["topics"] = _q(f""",{_POST_VECTORS},
+kp AS (SELECT platform, x FROM pv),
+kk AS (SELECT platform, least(greatest(3, count(*) // 15), 8) AS k FROM kp GROUP BY platform HAVING count(*) >= 10),
+{kmeans_sql(8)},
+t AS MATERIALIZED (SELECT pv.* EXCLUDE (x), km.cluster AS topic_id, km.distance FROM pv JOIN km ON km.platform = pv.platform AND km.key = md5(array_to_string(pv.x, ','))),
+g AS (SELECT platform, topic_id, count(*) AS post_count, round({WAVG("engagement_rate")}, 4) AS avg_engagement_rate, sum(reach)::BIGINT AS total_reach,
+        arg_min(post_id, (distance, post_id)) AS representative_post FROM t GROUP BY platform, topic_id),
+mi AS (SELECT platform, topic_id, string_agg(c, ',' ORDER BY c) AS content_types FROM (
+         SELECT platform, topic_id, concat(content_type, ':', count(*)) AS c FROM t GROUP BY platform, topic_id, content_type) GROUP BY platform, topic_id),
+tk AS (SELECT platform, post_id, unnest(regexp_extract_all(lower(coalesce(title, '')), '[\\p{{L}}\\p{{N}}_]{{3,}}')) AS term FROM posts),
+kc AS (SELECT platform, topic_id, term, count(*) AS n FROM tk JOIN t USING (platform, post_id) WHERE term NOT IN ({_sql_list(STOP_WORDS)}) GROUP BY platform, topic_id, term
+       QUALIFY row_number() OVER (PARTITION BY platform, topic_id ORDER BY n DESC, term) <= 5),
+kw AS (SELECT platform, topic_id, string_agg(term, ',' ORDER BY n DESC, term) AS keywords FROM kc GROUP BY platform, topic_id)
+SELECT g.*, mi.content_types, kw.keywords, (row_number() OVER (PARTITION BY platform ORDER BY avg_engagement_rate DESC, topic_id))::INTEGER AS rank
+FROM g JOIN mi USING (platform, topic_id) LEFT JOIN kw USING (platform, topic_id)
+""")
+
+SQL["hashtag_clusters"] = _q(f""",{_POST_VECTORS},
+oc AS MATERIALIZED (SELECT platform, post_id, engagement_rate, '#' || lower(unnest(regexp_extract_all(coalesce(title, ''), '#([\\p{{L}}\\p{{N}}_]{{2,}})', 1))) AS tag FROM posts),
+tp AS (SELECT DISTINCT platform, post_id, tag FROM oc),
+tv AS (SELECT platform, tag, list(y ORDER BY place)::BIGINT[] AS x FROM (
+         SELECT platform, tag, place, (sum(y) - ((sum(y) % count(*)) + count(*)) % count(*)) // count(*) AS y FROM (
+           SELECT tp.platform, tp.tag, unnest(pv.x) AS y, unnest(range(len(pv.x))) AS place FROM tp JOIN pv USING (platform, post_id))
+         GROUP BY platform, tag, place) GROUP BY platform, tag),
+kp AS (SELECT platform, x FROM tv),
+kk AS (SELECT platform, least(greatest(2, count(*) // 3), 6) AS k FROM kp GROUP BY platform HAVING count(*) >= 3),
+{kmeans_sql(6)},
+lb AS MATERIALIZED (SELECT tv.platform, tv.tag, km.cluster AS cluster_id FROM tv JOIN km ON km.platform = tv.platform AND km.key = md5(array_to_string(tv.x, ','))),
+pc AS (SELECT platform, cluster_id, round(avg(engagement_rate), 4) AS avg_engagement_rate, count(DISTINCT post_id) AS total_posts, count(DISTINCT tag) AS total_hashtags
+       FROM oc JOIN lb USING (platform, tag) GROUP BY platform, cluster_id),
+rk AS (SELECT lb.platform, lb.cluster_id, lb.tag, row_number() OVER (PARTITION BY lb.platform, lb.cluster_id ORDER BY c.n DESC, lb.tag) AS r
+       FROM lb JOIN (SELECT platform, tag, count(*) AS n FROM tp GROUP BY platform, tag) c USING (platform, tag)),
+tg AS (SELECT platform, cluster_id, string_agg(tag, ',' ORDER BY r) FILTER (r <= 5) AS top_hashtags, string_agg(substr(tag, 2), ' / ' ORDER BY r) FILTER (r <= 3) AS label
+       FROM rk GROUP BY platform, cluster_id)
+SELECT platform, cluster_id, top_hashtags, label, total_hashtags, total_posts, avg_engagement_rate FROM pc JOIN tg USING (platform, cluster_id)
+""")
