@@ -68,6 +68,8 @@ class Ranks:
         self.names: list[bytes] = [b""] * self.size
         for name, r in self.rank.items():
             self.names[r] = name
+        self.packed = [i.to_bytes(4, "little") for i in range(self.size)]
+        self.decimal = [str(i) for i in range(self.size)]
         self.first = np.array([self.rank.get(bytes([b]), -1) for b in range(256)])
         #: a * size + b -> rank of the concatenation, for every way to cut a token in two
         self.pair = {self.rank[a] * self.size + self.rank[b]: r for name, r in self.rank.items()
@@ -114,7 +116,7 @@ class Ranks:
             if r is None:
                 open_.append(i)
             else:
-                out[i] = r.to_bytes(4, "little")
+                out[i] = self.packed[r]
         for i, ids in zip(open_, self.replay([words[i] for i in open_])):
             out[i] = ids
         return out
@@ -172,7 +174,8 @@ class Ranks:
                         else:
                             index[new] = [p]
                             push(heap, new)
-                        low = min(low, new)
+                        if new < low:
+                            low = new
                 else:
                     at_rank[p] = -1
                 o = before[p]
@@ -184,7 +187,8 @@ class Ranks:
                         else:
                             index[new] = [o]
                             push(heap, new)
-                        low = min(low, new)
+                        if new < low:
+                            low = new
                 if low < r:                           # a lower rank goes first, then the rest of this one
                     if rest := places[k + 1:]:
                         index[r] = rest
@@ -284,13 +288,14 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
+        decimal = enc.ranks.decimal
         for b in batches:
             n, ids_sha, text_sha = [], [], []
             for part in _runs([t or "" for t in b.column(1).to_pylist()]):
                 for packed in enc(part):
                     ids = np.frombuffer(packed, "<u4").tolist()
                     n.append(len(ids))
-                    ids_sha.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+                    ids_sha.append(hashlib.sha256(",".join([decimal[i] for i in ids]).encode()).hexdigest())
                     text_sha.append(hashlib.sha256(enc.ranks.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
