@@ -46,11 +46,7 @@ def part_bounds(dim: int, parts: int) -> list[int]:
 
 
 def _distances(q: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Exact squared distances of integer rows: in doubles where all terms fit 53 bits, else in 64-bit integers."""
-    reach = float(np.abs(q).max(initial=0)) + float(np.abs(p).max(initial=0))
-    if reach * reach * max(1, q.shape[1]) < 2.0 ** 53:
-        a, b = q.astype(np.float64), p.astype(np.float64)
-        return ((a * a).sum(1)[:, None] - 2 * (a @ b.T) + (b * b).sum(1)[None, :]).astype(np.int64)
+    """Exact squared distances of 64-bit integer rows."""
     out = np.empty((len(q), len(p)), np.int64)
     for j, row in enumerate(p):
         d = q - row
@@ -58,6 +54,26 @@ def _distances(q: np.ndarray, p: np.ndarray) -> np.ndarray:
     return out
 
 
+class Queries:
+    """Rows to search for, with exact distances to entries: one product in doubles where all its terms fit 53 bits."""
+
+    def __init__(self, q: np.ndarray, points: np.ndarray):
+        self.q, self.points = q, points
+        reach = float(np.abs(q).max(initial=0)) + float(np.abs(points).max(initial=0))
+        self.small = reach * reach * max(1, q.shape[1]) < 2.0 ** 53
+        if self.small:
+            self.qf, self.pf = q.astype(np.float64), points.astype(np.float64)
+            self.qn, self.pn = (self.qf * self.qf).sum(1), (self.pf * self.pf).sum(1)
+
+    def to(self, rows: np.ndarray, entries: np.ndarray) -> np.ndarray:
+        if not self.small:
+            return _distances(self.q[rows], self.points[entries])
+        d = self.qf[rows] @ (-2 * self.pf[entries].T)
+        d += self.qn[rows, None]
+        d += self.pn[entries]
+        return d.astype(np.int64)
+
+
 class Gnat:
     """A geometric near-neighbour access tree over the integer rows of a codebook."""
 
@@ -98,43 +114,38 @@ class Gnat:
         best = np.full(len(q), np.iinfo(np.int64).max)
         index = np.full(len(q), len(self.points))
         if len(q) and len(self.points):
-            self._search(self.root, q, np.arange(len(q)), best, index)
+            self._search(self.root, Queries(q, self.points), np.arange(len(q)), best, index)
         return index, best
 
-    def _take(self, q, rows, entries, best, index) -> np.ndarray:
-        """Distances of ``rows`` to ``entries``, each compared with the best so far as (distance, index)."""
-        d = _distances(q[rows], self.points[entries])
+    def _take(self, q: Queries, rows: np.ndarray, entries: np.ndarray, best: np.ndarray, index: np.ndarray) -> np.ndarray:
+        """Distances of ``rows`` to ``entries`` (in ascending order); the best of them is compared with the best so far as (distance, index)."""
+        d = q.to(rows, entries)
         self.computed += d.size
-        for j in np.argsort(entries):
-            e, dj = int(entries[j]), d[:, j]
-            better = (dj < best[rows]) | ((dj == best[rows]) & (e < index[rows]))
-            best[rows[better]], index[rows[better]] = dj[better], e
+        first = d.argmin(axis=1) if len(entries) > 1 else np.zeros(len(rows), np.int64)
+        near, entry = d[np.arange(len(rows)), first], entries[first]
+        old, old_index = best[rows], index[rows]
+        better = (near < old) | ((near == old) & (entry < old_index))
+        best[rows] = np.where(better, near, old)
+        index[rows] = np.where(better, entry, old_index)
         return d
 
-    def _search(self, node: dict, q, rows, best, index) -> None:
+    def _search(self, node: dict, q: Queries, rows: np.ndarray, best: np.ndarray, index: np.ndarray) -> None:
         if "leaf" in node:
             if len(node["leaf"]):
                 self._take(q, rows, node["leaf"], best, index)
             return
         split, low, high = node["split"], node["low"], node["high"]
         alive = np.ones((len(rows), len(split)), bool)
-        lo, hi = np.full(alive.shape, -np.inf), np.full(alive.shape, np.inf)
-
-        def rule_out(k: np.ndarray, i: int) -> None:
-            radius = np.sqrt(best[rows[k]].astype(np.float64)) * (1 + SLACK)
-            out = ((lo[k, i] - radius)[:, None] > high[i]) | ((hi[k, i] + radius)[:, None] < low[i])
-            alive[k] &= ~out
-
         for i in range(len(split)):
             k = np.flatnonzero(alive[:, i])
             if not len(k):
                 continue
             d = np.sqrt(self._take(q, rows[k], split[i:i + 1], best, index)[:, 0].astype(np.float64))
-            lo[k, i], hi[k, i] = d * (1 - SLACK), d * (1 + SLACK)
-            rule_out(k, i)
-        for i in range(len(split)):                    # once more with the radius that the last split point left
-            k = np.flatnonzero(np.isfinite(hi[:, i]) & alive.any(axis=1))
-            rule_out(k, i)
+            radius = np.sqrt(best[rows[k]].astype(np.float64)) * (1 + SLACK)
+            # children all of whose entries are nearer to the split point than any within the radius, or farther
+            reach = (d * (1 - SLACK) - radius)[:, None] <= high[i]
+            reach &= (d * (1 + SLACK) + radius)[:, None] >= low[i]
+            alive[k] &= reach
         for j, child in enumerate(node["children"]):
             k = np.flatnonzero(alive[:, j])
             if len(k):
