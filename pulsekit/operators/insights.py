@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pulsekit.functions import exprs as X
 from pulsekit.functions.messages import TEXT
 from pulsekit.operators import growth, kpi, scoring, temporal
-from pulsekit.session import cut_lineage
+from pulsekit.session import cut_lineages
 
 PRIORITY = {"high": 0, "medium": 1, "low": 2}
 
@@ -39,14 +39,16 @@ def recommendations(posts: DataFrame, min_posts: int = 10) -> DataFrame:
     enough = n_posts >= min_posts
     pname = X.platform_name(F.col("platform"))
     rules = []
+    # small result tables that several rules read
+    pcr, top3, ov, pg = cut_lineages(
+        kpi.platform_content_ranking(posts).where(F.col("rank") == 1), temporal.hourly_profile(posts).where(F.col("rank") <= 3),
+        kpi.platform_overview(posts), growth.platform_growth(posts))
     # 1. best content type per platform
-    pcr = cut_lineage(kpi.platform_content_ranking(posts).where(F.col("rank") == 1))
     rules.append(_rec(pcr, 1, "high", "content", F.format_string(
         TEXT["on_your_best_content_type"],
         pname, X.content_label(F.col("content_type")), _pct1(F.col("engagement_rate")), F.col("count")), F.col("platform")))
     # 2-4. best hour: the top hour if it has >= 3 posts, else the first of
     # the top-3 hours with >= 3 posts, else a low-priority note
-    top3 = cut_lineage(temporal.hourly_profile(posts).where(F.col("rank") <= 3))
     first_ok = top3.where(F.col("post_count") >= 3).select(F.min("rank")).scalar()
     rules.append(_rec(top3.where((F.col("rank") == 1) & (F.col("post_count") >= 3)), 2, "high", "timing",
                       F.format_string(TEXT["your_best_posting_hour_is"], F.col("hour"), F.col("post_count"))))
@@ -63,14 +65,12 @@ def recommendations(posts: DataFrame, min_posts: int = 10) -> DataFrame:
     rules.append(_rec(ec, 6, "medium", "engagement", F.lit(
         TEXT["comments_to_likes_ratio_is"])))
     # 7/8. benchmark gap
-    ov = cut_lineage(kpi.platform_overview(posts))
     rules.append(_rec(ov.where(F.col("vs_benchmark") < -0.02), 7, "medium", "platform", F.format_string(
         TEXT["engagement_is_below_industry_benchmark"], pname), F.col("platform")))
     rules.append(_rec(ov.where(F.col("vs_benchmark") > 0.02), 8, "low", "platform", F.format_string(
         TEXT["is_outperforming_industry_benchmark_by"], pname, _pct1(F.col("vs_benchmark"))),
         F.col("platform")))
     # 9/10. reach trend per platform
-    pg = cut_lineage(growth.platform_growth(posts))
     rules.append(_rec(pg.where(F.col("reach_trend") == "declining"), 9, "high", "growth", F.format_string(
         TEXT["reach_is_declining_consider_boosting"],
         pname), F.col("platform")))
@@ -159,16 +159,11 @@ def summary_lists(posts: DataFrame) -> DataFrame:
     ctitle = F.initcap(F.regexp_replace(F.col("content_type"), "_", " "))
     # Each input is a small result table used several times below: compute
     # it once and keep it in the shared checkpoint folder (short plans).
-    hp = cut_lineage(temporal.hourly_profile(posts).where(F.col("rank") == 1))
-    dp = cut_lineage(temporal.daily_profile(posts).where(F.col("rank") == 1))
-    pcr = cut_lineage(kpi.platform_content_ranking(posts).where(F.col("rank") == 1))
-    dl = cut_lineage(T_.driver_lift(posts))
-    vp = cut_lineage(scoring.viral_posts(posts))
-    pg = cut_lineage(growth.platform_growth(posts))
-    fat = cut_lineage(trends.content_fatigue(posts))
-    ov = cut_lineage(kpi.platform_overview(posts))
-    ec = cut_lineage(kpi.engagement_composition(posts))
-    cad = cut_lineage(trends.cadence_summary(posts))
+    hp, dp, pcr, dl, vp, pg, fat, ov, ec, cad = cut_lineages(
+        temporal.hourly_profile(posts).where(F.col("rank") == 1), temporal.daily_profile(posts).where(F.col("rank") == 1),
+        kpi.platform_content_ranking(posts).where(F.col("rank") == 1), T_.driver_lift(posts), scoring.viral_posts(posts),
+        growth.platform_growth(posts), trends.content_fatigue(posts), kpi.platform_overview(posts),
+        kpi.engagement_composition(posts), trends.cadence_summary(posts))
 
     def item(df, lst, ix, txt, sub=None):
         return df.select(F.lit(lst).alias("list"), F.lit(ix).alias("ix"),
