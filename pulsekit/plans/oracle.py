@@ -1317,3 +1317,58 @@ tg AS (SELECT platform, cluster_id, string_agg(tag, ',' ORDER BY r) FILTER (r <=
        FROM rk GROUP BY platform, cluster_id)
 SELECT platform, cluster_id, top_hashtags, label, total_hashtags, total_posts, avg_engagement_rate FROM pc JOIN tg USING (platform, cluster_id)
 """)
+
+# ---------------------------------------------------------------------------
+# Isolation forest (M8): samples, features and splits drawn by hashes
+# ---------------------------------------------------------------------------
+_IF = ("reach", "engagement_total", "likes", "comments", "shares")
+_CHANCE = "((('0x' || substr(md5(concat_ws(':', 42, tree, platform, node, '{}')), 1, 8))::BIGINT + 1) / (2.0::DOUBLE ** 32 + 1))"
+
+
+def _search(n: str) -> str:
+    return f"(CASE WHEN {n} <= 1 THEN 0.0 WHEN {n} = 2 THEN 1.0 ELSE 2 * (ln({n}::DOUBLE - 1) + 0.5772156649::DOUBLE) - 2 * ({n}::DOUBLE - 1) / {n}::DOUBLE END)::DOUBLE"
+
+
+def _isolation(trees: int = 100, samples: int = 256, levels: int = 8) -> str:
+    by_feature = lambda f, pick: "CASE " + " ".join(f"WHEN {f} = {i} THEN {pick(i, c)}" for i, c in enumerate(_IF)) + " END"
+    out = f""",
+n_ AS (SELECT platform, count(*) AS n FROM posts GROUP BY platform HAVING count(*) >= 10),
+d AS MATERIALIZED (SELECT platform, post_id, engagement_rate, {", ".join(f"coalesce({c}::DOUBLE, 0) AS {c}" for c in _IF)} FROM posts JOIN n_ USING (platform)),
+l0 AS MATERIALIZED (SELECT * EXCLUDE (k) FROM (SELECT platform, post_id, tree, {", ".join(_IF)}, 1 AS node, md5(concat_ws(':', 42, tree, platform, post_id)) AS k
+        FROM d, range({trees}) t(tree)) QUALIFY row_number() OVER (PARTITION BY platform, tree ORDER BY k, post_id) <= {samples}),"""
+    for v in range(levels):
+        ends = ", ".join(f"min({c}) OVER w AS lo{i}, max({c}) OVER w AS hi{i}" for i, c in enumerate(_IF))
+        wide = [f"(hi{i} > lo{i})::INT" for i in range(len(_IF))]
+        nth = f"floor({_CHANCE.format('f')} * wide)"
+        feature = "CASE " + " ".join(f"WHEN hi{i} > lo{i} AND {' + '.join(['0', *wide[:i]])} = {nth} THEN {i}" for i in range(len(_IF))) + " END"
+        lo, hi = (by_feature("f", lambda i, c, e=e: f"{e}{i}") for e in ("lo", "hi"))
+        out += f"""
+m{v} AS MATERIALIZED (SELECT *, {lo} + {_CHANCE.format('s')} * ({hi} - {lo}) AS split, node >= {1 << v} AND size > 1 AND wide > 0 AS grows FROM (
+   SELECT *, {feature} AS f FROM (SELECT *, {" + ".join(wide)} AS wide FROM (
+     SELECT platform, post_id, tree, {", ".join(_IF)}, node, count(*) OVER w AS size, {ends} FROM l{v} WINDOW w AS (PARTITION BY platform, tree, node))))),
+l{v + 1} AS MATERIALIZED (SELECT platform, post_id, tree, {", ".join(_IF)},
+   CASE WHEN grows THEN 2 * node + ({by_feature("f", lambda i, c: c)} >= split)::INT ELSE node END AS node FROM m{v}),"""
+    out += f"""
+forest AS MATERIALIZED ({" UNION ALL ".join(f"SELECT DISTINCT platform, tree, node, f, split, NULL::BIGINT AS path FROM m{v} WHERE grows" for v in range(levels))}
+   UNION ALL SELECT platform, tree, node, NULL, NULL, (floor(log2(node) + 1e-9) * 1024 + round({_search('count(*)')} * 1024))::BIGINT FROM l{levels} GROUP BY platform, tree, node),
+s0 AS MATERIALIZED (SELECT platform, post_id, {", ".join(_IF)}, tree, 1 AS node, NULL::BIGINT AS path FROM d, range({trees}) t(tree)),"""
+    for v in range(levels + 1):
+        out += f"""
+s{v + 1} AS MATERIALIZED (SELECT s.platform, s.post_id, {", ".join("s." + c for c in _IF)}, s.tree,
+   CASE WHEN f.path IS NULL THEN 2 * s.node + ({by_feature("f.f", lambda i, c: "s." + c)} >= f.split)::INT ELSE s.node END AS node, f.path
+   FROM s{v} s JOIN forest f USING (platform, tree, node)),"""
+    score = lambda path: f"2.0::DOUBLE ** (-({path}::DOUBLE / {trees * 1024}) / {_search(f'least(n, {samples})')})"
+    return out + f"""
+pl AS MATERIALIZED (SELECT platform, post_id, sum(path)::BIGINT AS path FROM s{levels + 1} GROUP BY platform, post_id),
+o AS (SELECT platform, path, n, row_number() OVER (PARTITION BY platform ORDER BY path DESC) - 1 AS r, 0.85::DOUBLE * (n - 1) AS pos FROM pl JOIN n_ USING (platform)),
+bnd AS (SELECT platform, n, lo, lo_s + (hi_s - lo_s) * (pos - floor(pos)) AS thr FROM (
+   SELECT platform, n, pos, lo, {score("lo")} AS lo_s, {score("hi")} AS hi_s FROM (
+     SELECT platform, any_value(n) AS n, any_value(pos) AS pos, max(path) FILTER (r = floor(pos)) AS lo, max(path) FILTER (r = ceil(pos)) AS hi FROM o GROUP BY platform))),
+md AS (SELECT platform, quantile_cont(engagement_rate, 0.5) AS med FROM d GROUP BY platform)
+SELECT pl.platform, pl.post_id, CASE WHEN d.engagement_rate > med THEN 'viral_outlier' ELSE 'underperformer_outlier' END AS type,
+  round(d.engagement_rate, 4) AS engagement_rate, d.reach::BIGINT AS reach, round(thr - {score("path")}, 4) + 0.0::DOUBLE AS anomaly_score
+FROM pl JOIN bnd USING (platform) JOIN d ON d.platform = pl.platform AND d.post_id = pl.post_id JOIN md ON md.platform = pl.platform WHERE path < lo
+"""
+
+
+SQL["isolation_outliers"] = _q(_isolation())
