@@ -69,7 +69,7 @@ def account_daily(series: DataFrame) -> DataFrame:
 def clip_90d(daily: DataFrame, days: int = 90) -> DataFrame:
     """rows within ``days`` of each account's last day."""
     last = daily.groupBy("platform").agg(F.max("date").alias("_last"))
-    return (daily.join(F.broadcast(last), "platform")
+    return (daily.join(last, "platform")
             .where(F.col("date") >= F.date_sub("_last", days)).drop("_last"))
 
 
@@ -78,14 +78,14 @@ def trim_nonzero(daily: DataFrame, cols: list[str] = DATA_COLS) -> DataFrame:
     any data column with a positive total is non-zero."""
     cols = [c for c in cols if c in daily.columns]
     sums = daily.groupBy("platform").agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])
-    d = daily.join(F.broadcast(sums), "platform")
+    d = daily.join(sums, "platform")
     any_nz = F.lit(False)
     for c in cols:
         any_nz = any_nz | ((F.col(f"_s_{c}") > 0) & (F.col(c) != 0))
     d = d.withColumn("_nz", any_nz)
     b = d.groupBy("platform").agg(F.min(F.when(F.col("_nz"), F.col("date"))).alias("_a"),
                                   F.max(F.when(F.col("_nz"), F.col("date"))).alias("_b"))
-    return (d.join(F.broadcast(b), "platform")
+    return (d.join(b, "platform")
             .where(F.col("_a").isNull() | F.col("date").between(F.col("_a"), F.col("_b")))
             .drop("_a", "_b", "_nz", *[f"_s_{c}" for c in cols]))
 
@@ -159,7 +159,7 @@ def tiktok_daily(series: DataFrame) -> DataFrame:
                .agg(F.collect_set("metric").alias("_m"))
                .select("platform", (F.array_contains("_m", "likes") & F.array_contains("_m", "comments")
                                     & F.array_contains("_m", "shares")).alias("_has_inter")))
-    d = daily_dense(series, TIKTOK_METRICS).join(F.broadcast(present), "platform")
+    d = daily_dense(series, TIKTOK_METRICS).join(present, "platform")
     d = d.withColumn("interactions", F.when(F.col("_has_inter"), F.col("likes") + F.col("comments") + F.col("shares"))
                      ).drop("_has_inter")
     w = Window.partitionBy("platform").orderBy("date").rowsBetween(-6, 0)

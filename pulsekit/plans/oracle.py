@@ -1372,3 +1372,17 @@ FROM pl JOIN bnd USING (platform) JOIN d ON d.platform = pl.platform AND d.post_
 
 
 SQL["isolation_outliers"] = _q(_isolation())
+
+
+# ---------------------------------------------------------------------------
+# Files on disk: what goes through them comes back
+# ---------------------------------------------------------------------------
+SQL["csv_export_scan"] = SQL["ingest_roundtrip"]
+SQL["history_store"] = POSTS + """,
+n AS (SELECT *, CAST(post_id AS BIGINT) % 5 = 0 AS again, CAST(post_id AS BIGINT) % 10 = 0 AS moved FROM raw_posts)
+SELECT post_id, platform, strftime(CASE WHEN moved THEN published_at + INTERVAL 40 DAY ELSE published_at END, '%Y-%m-%d %H:%M:%S') AS published_at,
+  likes + again::INT AS likes, engagement_total + again::INT AS engagement_total,
+  round(CASE WHEN reach > 0 THEN least((engagement_total + again::INT)::DOUBLE / reach, 1.0) ELSE 0.0 END, 6) AS engagement_rate,
+  CASE WHEN again THEN '2026-02-01' ELSE '2026-01-01' END AS ingested
+FROM n
+"""

@@ -385,3 +385,52 @@ QUERIES.update({
     "hashtag_rows": _on_posts(text.hashtag_posts),
     "scoring_bundle": _on_posts(_scoring_bundle),
 })
+
+
+# ---------------------------------------------------------------------------
+# Files on disk: posts written as vendor CSV and scanned back in splits (S1, S3,
+# N3), and the post history through two merges
+# ---------------------------------------------------------------------------
+import uuid  # noqa: E402
+
+from pulsekit.session import ensure_checkpoint_dir  # noqa: E402
+from pulsekit.sources import history as store  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    """A new folder among the shared checkpoints."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _csv_export_scan(spark, sf_dir):
+    """Every post as a row of quoted CSV, captions with their line breaks, read back as a platform's exports."""
+    root = _scratch(spark, "exports")
+    (normalize.render_instagram_export(raw_posts(spark, sf_dir)).write.option("header", True).option("quoteAll", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root))
+    u = exports.ingest_platform(spark, root, "instagram")
+    return u.select("post_id", "platform", "content_type",
+                    F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published_at"),
+                    "reach", "views", "likes", "comments", "shares", "saves", "followers_gained",
+                    "engagement_total", F.round("engagement_rate", 6).alias("engagement_rate"),
+                    F.length("title").alias("title_chars"))
+
+
+def _history_store(spark, sf_dir):
+    """All posts merged into an empty history, then every fifth with a like more and every tenth in another month; read back."""
+    base, start = _scratch(spark, "history"), {p: "1970-01-01" for p in ("instagram", "tiktok", "youtube", "facebook")}
+    p = raw_posts(spark, sf_dir)
+    store.merge_posts_into_history(spark, base, p, "2026-01-01 00:00:00", start)
+    key = F.col("post_id").cast("long")
+    later = p.where(key % 5 == 0).withColumns({
+        "likes": F.col("likes") + 1, "engagement_total": F.col("engagement_total") + 1,
+        "published_at": F.when(key % 10 == 0, F.col("published_at") + F.expr("INTERVAL 40 DAYS")).otherwise(F.col("published_at"))})
+    store.merge_posts_into_history(spark, base, later, "2026-02-01 00:00:00", start)
+    h = store.read_history(spark, base)
+    return h.select("post_id", "platform", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published_at"), "likes", "engagement_total",
+                    F.round("engagement_rate", 6).alias("engagement_rate"), F.date_format("_ingested_at", "yyyy-MM-dd").alias("ingested"))
+
+
+QUERIES.update({
+    "csv_export_scan": _csv_export_scan,
+    "history_store": _history_store,
+})
