@@ -31,8 +31,9 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from pulsekit.llm.common import table, text_batches
+from pulsekit.llm.common import materialise, table, text_batches
 
 #: Words compiled into the automaton, the most frequent of the corpus first.
 LEXICON_WORDS = 1 << 16
@@ -305,12 +306,24 @@ def count_words(docs: DataFrame, path: str) -> DataFrame:
     return text_batches(docs).select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> list[str]:
+    """All words that occur more often than some count, the least one that leaves at most ``words`` of them.
+
+    The count is found from how many words have each count, so no more than ``words`` rows ever reach the driver.
+    """
+    counted = materialise(count_words(docs, path).where(F.octet_length("word") <= LEXICON_BYTES))
+    upto = W.orderBy(F.col("n").desc())            # a row per distinct count: few, as counts add up to the corpus
+    sizes = counted.groupBy("n").agg(F.count(F.lit(1)).alias("c")).withColumn("upto", F.sum("c").over(upto))
+    least = sizes.where(F.col("upto") <= words).agg(F.min("n")).first()[0]
+    if least is None:
+        return []
+    return sorted(r["word"] for r in counted.where(F.col("n") >= least).select("word").collect())
+
+
 def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> str:
-    """Compile the ``words`` most frequent words of all texts, ship the file to the executors; its name there."""
-    top = (count_words(docs, path).where(F.octet_length("word") <= LEXICON_BYTES)
-           .orderBy(F.col("n").desc(), "word").limit(words).collect())
+    """Compile the most frequent words of all texts (at most ``words``), ship the file to the executors; its name there."""
+    names = frequent_words(docs, path, words)
     voc = vocabulary(path)
-    names = [r["word"] for r in top]
     block = compile_lexicon({w.encode(): np.frombuffer(x, "<u4").tolist() for w, x in zip(names, voc.encode_words(names))})
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     local = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)   # the driver's copy, from which Spark serves the file
