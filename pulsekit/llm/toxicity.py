@@ -9,6 +9,7 @@ point at the offending sentences.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -20,12 +21,10 @@ from pyspark.sql import functions as F
 
 from pulsekit.llm.common import materialise, table, text_batches
 
-#: Words with weights, the most telling of the training labels first.
-VOCABULARY = 256
 #: Documents per class (distinct texts, in hash order) on which the weights are fitted.
 FIT_DOCS = 2000
-#: A word must be in this many toxic training texts and have this log-likelihood ratio.
-MIN_TOXIC, MIN_RATIO = 3, 10.8
+#: Words in this many toxic training texts are tested; of those that get weights, this share may be chance finds.
+MIN_TOXIC, CHANCE_SHARE = 3, 0.05
 STEPS, RATE, RIDGE, START_BIAS = 300, 0.1, 1e-6, -4.0
 THRESHOLD = 0.7
 #: Sentences with at least this score are reported.
@@ -56,8 +55,12 @@ def training_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return materialise(rows.hint("merge").join(first, ["doc_id", "h"]).select("text", "toxic"))
 
 
-def telling_words(train: DataFrame, size: int = VOCABULARY) -> list[str]:
-    """Words of toxic texts by log-likelihood ratio, counted over all training texts."""
+def telling_words(train: DataFrame) -> list[str]:
+    """Words that mark toxic texts, by log-likelihood ratio, counted over all training texts.
+
+    All words count whose excess in toxic texts is no chance find, by the false discovery rate (Benjamini and
+    Hochberg): no fixed number of words, and more of them the more texts are labelled.
+    """
 
     def count(frames):
         toxic, clean = Counter(), Counter()
@@ -82,8 +85,21 @@ def telling_words(train: DataFrame, size: int = VOCABULARY) -> list[str]:
     expect = (F.col("t") + F.col("c")) * F.lit(nt / (nt + nc))
     part = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
     ratio = 2 * (part(F.col("t"), expect) + part(F.col("c"), F.col("t") + F.col("c") - expect))
-    told = sums.where((F.col("t") >= MIN_TOXIC) & (F.col("t") > expect)).select("word", F.round(ratio, 6).alias("g")).where(F.col("g") >= MIN_RATIO)
-    return [r["word"] for r in told.orderBy(F.col("g").desc(), "word").limit(size).collect()]
+    tested = materialise(sums.where(F.col("t") >= MIN_TOXIC).select("word", F.when(F.col("t") > expect, F.round(ratio, 6)).otherwise(0.0).alias("g")))
+    m = tested.count()
+    # no word below the ratio that a single test would ask for can pass
+    least = chi_square(CHANCE_SHARE)
+    found = sorted(((r["g"], r["word"]) for r in tested.where(F.col("g") >= least).collect()), key=lambda x: (-x[0], x[1]))
+    passed = [i for i, (g, _) in enumerate(found, 1) if math.erfc(math.sqrt(g / 2)) <= CHANCE_SHARE * i / m]
+    return [w for _, w in found[:max(passed, default=0)]]
+
+
+def chi_square(p: float) -> float:
+    """The ratio that chance alone exceeds with probability ``p`` (one degree of freedom), by bisection."""
+    lo, hi = 0.0, 1e4
+    while hi - lo > 1e-9:
+        lo, hi = ((lo + hi) / 2, hi) if math.erfc(math.sqrt((lo + hi) / 4)) > p else (lo, (lo + hi) / 2)
+    return hi
 
 
 def fit(train: DataFrame, words: list[str], fit_docs: int = FIT_DOCS) -> dict[str, float]:
@@ -99,9 +115,13 @@ def fit(train: DataFrame, words: list[str], fit_docs: int = FIT_DOCS) -> dict[st
             yield pd.DataFrame({"h": frame["h"], "toxic": frame["toxic"],
                                 "at": [[i for s in r for i in s] for r in rows], "size": [[len(s) for s in r] for r in rows]})
 
-    order = [F.col("h"), F.length("text"), F.col("text")]
+    # texts to fit on are settled on narrow rows, (hash, class) alone; only theirs are then read whole
     hashed = train.withColumn("h", F.xxhash64("text"))
-    picked = hashed.where("toxic = 1").orderBy(*order).limit(fit_docs).unionByName(hashed.where("toxic = 0").orderBy(*order).limit(fit_docs))
+    last = {}
+    for toxic in (1, 0):
+        h = hashed.where(F.col("toxic") == toxic).select("h").orderBy("h").limit(fit_docs).agg(F.max("h")).first()[0]
+        last[toxic] = F.lit(False) if h is None else (F.col("toxic") == toxic) & (F.col("h") <= h)
+    picked = hashed.where(last[1] | last[0])
     rows = picked.mapInPandas(bags, "h long, toxic int, at array<int>, size array<int>").toPandas()
     rows = rows.sort_values(["toxic", "h"], kind="stable")
     if not len(rows) or not words:

@@ -257,3 +257,26 @@ def test_memory_is_cleared_and_results_stay(monkeypatch, enc, reference):
     small = merge_replay.Encoder(merge_replay.default_ranks(), merge_replay.default_pattern())
     for text in (LONG, "one two three", LONG):
         assert ids(small, text) == reference.encode_ordinary(text)
+
+
+# -- bounds that once were caps ---------------------------------------------------------
+
+def test_every_word_that_marks_toxic_texts_gets_a_weight(spark):
+    from pulsekit.llm import toxicity
+    rng = random.Random(11)
+    bad, good = [f"bad{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400)], [f"good{chr(97 + i)}" for i in range(26)]
+    rows = [(" ".join(rng.sample(bad, 40) + rng.choices(good, k=20)), 1) for _ in range(200)] + [(" ".join(rng.choices(good, k=60)), 0) for _ in range(400)]
+    words = toxicity.telling_words(spark.createDataFrame(rows, "text string, toxic int"))
+    assert set(words) >= set(bad) and len(words) <= 1.1 * len(bad)
+    assert toxicity.telling_words(spark.createDataFrame([("a b c", 1)] * 9, "text string, toxic int")) == []
+    assert toxicity.chi_square(0.05) == pytest.approx(3.8415, abs=1e-3)
+
+
+def test_words_of_the_lexicon_are_settled_by_their_counts(spark):
+    from pulsekit.llm import bpe
+    texts = [(i, "the of and " + ("cat dog " if i % 2 else "") + f"w{i}") for i in range(10)]
+    df, path = spark.createDataFrame(texts, "doc_id long, text string").repartition(3), bpe.default_vocabulary()
+    assert bpe.frequent_words(df, path, 3) == []                              # four words stand ten times: all of them or none
+    assert bpe.frequent_words(df, path, 4) == ["and", "of", "the", "w"]       # digits are words of their own
+    assert set(bpe.frequent_words(df, path, 6)) == {"and", "of", "the", "w", "cat", "dog"}
+    assert len(bpe.frequent_words(df, path, 1000)) == 16
