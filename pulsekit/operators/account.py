@@ -104,6 +104,13 @@ def account_kpis(daily: DataFrame, window_days: int | None = None) -> DataFrame:
         F.count(F.lit(1)).alias("days"))
 
 
+def account_tables(series: DataFrame) -> dict[str, DataFrame]:
+    """The account tables of all platforms that ``series`` (platform, metric, date, value) holds: the full daily table, its last
+    90 days without empty ends, the KPIs, and the TikTok table."""
+    daily = account_daily(series)
+    return {"account_daily": daily, "account_recent": clip_90d(trim_nonzero(daily)), "account_kpis": account_kpis(daily), "tiktok_account": tiktok_daily(series)}
+
+
 def followers_fallback(posts: DataFrame, daily: DataFrame) -> DataFrame:
     """Post-level followers gained per platform, else the daily follows
     total when the post-level sum is 0."""

@@ -8,6 +8,8 @@ then run over those calendar-bounded rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -220,6 +222,57 @@ def seasonal_index(posts: DataFrame, min_weeks: int = 52) -> DataFrame:
                     F.round(F.col("_wm") / F.when(F.col("_m") != 0, F.col("_m")), 4).alias("seasonal_index")))
 
 
+#: Days of a year, and standard errors of an 80 % interval.
+YEAR, ERRORS_80 = 365.25, 1.2815515655446004
+
+
+def _wave(day: F.Column) -> tuple[F.Column, F.Column]:
+    """Cosine and sine of a date's place in the year."""
+    angle = 2 * math.pi * F.datediff(day, F.lit("1970-01-01").cast("date")) / YEAR
+    return F.cos(angle), F.sin(angle)
+
+
+def seasonal_forecast(posts: DataFrame, horizon_days: int = 28, min_weeks: int = 52) -> DataFrame:
+    """G11 (re-aimed): y = a + b * week + p * cos + q * sin of the place in the year, fitted by least squares per (scope, metric)
+    with at least ``min_weeks`` weeks, and its values in the weeks ahead with an 80 % interval from the residuals.
+
+    The normal equations are covariances, summed per group by partial aggregates, and their three unknowns are
+    solved in columns; no group meets in one task.
+    """
+    c, s = _wave(F.col("week_start"))
+    start = F.lit("1970-01-05").cast("date")              # a Monday: week numbers without a sort
+    long = _forecast_scopes(posts).withColumns({"t": (F.datediff("week_start", start) / 7).cast("double"), "c": c, "s": s})
+    names = ["t", "c", "s"]
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]] + [(a, "y") for a in names]
+    g = long.groupBy("scope", "metric").agg(
+        F.count(F.lit(1)).alias("historical_weeks"), F.max("week_start").alias("last_week"), *[F.avg(x).alias(f"m_{x}") for x in [*names, "y"]],
+        *[F.covar_pop(a, b).alias(f"{a}{b}") for a, b in pairs]).where(F.col("historical_weeks") >= min_weeks)
+    v = {(a, b): F.col(f"{a}{b}") for a, b in pairs} | {(b, a): F.col(f"{a}{b}") for a, b in pairs}
+
+    def det(columns: list[str]) -> F.Column:
+        (a1, a2, a3), (b1, b2, b3), (c1, c2, c3) = [[v[r, k] for r in names] for k in columns]
+        return a1 * (b2 * c3 - b3 * c2) - b1 * (a2 * c3 - a3 * c2) + c1 * (a2 * b3 - a3 * b2)
+    whole = det(names)
+    g = g.withColumns({f"k_{x}": det(["y" if n == x else n for n in names]) / F.when(whole != 0, whole) for x in names}).where(F.col("k_t").isNotNull())
+    fit = g.withColumn("k_1", F.col("m_y") - F.col("k_t") * F.col("m_t") - F.col("k_c") * F.col("m_c") - F.col("k_s") * F.col("m_s"))
+    fit = fit.select("scope", "metric", "historical_weeks", "last_week", "k_1", "k_t", "k_c", "k_s")
+
+    def value(t, c, s):
+        return F.col("k_1") + F.col("k_t") * t + F.col("k_c") * c + F.col("k_s") * s
+    off = F.col("y") - value(F.col("t"), F.col("c"), F.col("s"))
+    spread = long.join(fit.drop("historical_weeks", "last_week"), ["scope", "metric"]).groupBy("scope", "metric").agg(F.sqrt(F.avg(off * off)).alias("spread"))
+    ahead = (fit.join(spread, ["scope", "metric"]).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(max(horizon_days // 7, 1)))))
+             .where(F.col("i") <= horizon_days // 7).withColumn("week", F.date_add("last_week", F.col("i") * 7)))
+    c, s = _wave(F.col("week"))
+    ahead = ahead.withColumns({"_c": c, "_s": s, "_t": (F.datediff("week", start) / 7).cast("double")})
+    y = value(F.col("_t"), F.col("_c"), F.col("_s"))
+    whole_number = lambda x: F.bround(F.greatest(F.lit(0.0), x), 0).cast("long")
+    return ahead.select("scope", "metric", "i", "week", "historical_weeks", whole_number(y).alias("predicted"),
+                        whole_number(y - ERRORS_80 * F.col("spread")).alias("lower_bound"), whole_number(y + ERRORS_80 * F.col("spread")).alias("upper_bound"),
+                        F.round(F.col("k_t"), 4).alias("weekly_trend"),
+                        F.round(F.col("k_c") * F.col("_c") + F.col("k_s") * F.col("_s"), 2).alias("seasonal_part"))
+
+
 def weekly_dense_90d(posts: DataFrame) -> DataFrame:
     """Per platform, calendar weeks ending Sunday (KST) with empty weeks
     present as 0, clipped to the 90 days before the last week."""

@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsekit.operators import growth, insights, kpi, scoring, temporal, text, trends
+from pulsekit.operators import account, growth, insights, kpi, ml, scoring, similarity, temporal, text, trends
 from pulsekit.session import ensure_checkpoint_dir
 from pulsekit.sources.history import summary_document, write_results
 
@@ -36,6 +36,7 @@ REPORT_TABLES = {
     "trajectory": growth.trajectory,
     "platform_growth": growth.platform_growth,
     "forecast": growth.stat_forecast,
+    "seasonal_forecast": growth.seasonal_forecast,
     "health": growth.health,
     "viral_posts": scoring.viral_posts,
     "underperformers": scoring.underperformers,
@@ -57,6 +58,22 @@ REPORT_TABLES = {
 }
 
 
+#: Tables over posts and their caption vectors; fits and searches run for all platforms together.
+MODEL_TABLES = {
+    "ml_suite_status": lambda p, e: ml.ml_suite_status(p),
+    "feature_importance": ml.feature_importance,
+    "engagement_predictor": ml.engagement_predictor,
+    "root_cause": ml.root_cause,
+    "content_tiers": lambda p, e: ml.content_tiers(p),
+    "isolation_outliers": lambda p, e: ml.isolation_outliers(p),
+    "topics": ml.topics,
+    "hashtag_clusters": ml.hashtag_clusters,
+    "similar_summary": similarity.similar_summary,
+    "similar_ranked": similarity.similar_ranked,
+    "similar_recent": similarity.similar_recent,
+}
+
+
 def snapshot(posts: DataFrame) -> DataFrame:
     """``posts`` as Parquet in the shared folder: the tables then read only their columns."""
     spark = posts.sparkSession
@@ -66,12 +83,22 @@ def snapshot(posts: DataFrame) -> DataFrame:
 
 
 def weekly_report(spark: SparkSession, posts: DataFrame, out_dir: str | None = None,
-                  tables: dict | None = None, parallel: int = 4) -> dict[str, DataFrame]:
+                  tables: dict | None = None, parallel: int = 4, series: DataFrame | None = None,
+                  embeddings: DataFrame | None = None, models: dict | None = None) -> dict[str, DataFrame]:
     """Build every result table from ``posts``; write them when ``out_dir``
-    is given (one JSON sink per table + ``summary``)."""
+    is given (one JSON sink per table + ``summary``).
+
+    With ``series`` (daily account metrics) the account tables join in, with ``embeddings`` (caption
+    vectors) the model and similarity tables.
+    """
     base = snapshot(posts)
     fns = tables or REPORT_TABLES
     results = {name: fn(base) for name, fn in fns.items()}
+    if series is not None:
+        results |= account.account_tables(snapshot(series))
+    if embeddings is not None:
+        vectors = snapshot(embeddings)
+        results |= {name: fn(base, vectors) for name, fn in (models or MODEL_TABLES).items()}
     if out_dir:
         def write(item):
             name, df = item

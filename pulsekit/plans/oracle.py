@@ -1386,3 +1386,28 @@ SELECT post_id, platform, strftime(CASE WHEN moved THEN published_at + INTERVAL
   CASE WHEN again THEN '2026-02-01' ELSE '2026-01-01' END AS ingested
 FROM n
 """
+
+
+def _det3(columns) -> str:
+    v = lambda r, k: f"covar_pop({k}, {r})"
+    a, b, c = [[v(r, k) for r in "tcs"] for k in columns]
+    return f"({a[0]} * ({b[1]} * {c[2]} - {b[2]} * {c[1]}) - {b[0]} * ({a[1]} * {c[2]} - {a[2]} * {c[1]}) + {c[0]} * ({a[1]} * {b[2]} - {a[2]} * {b[1]}))"
+
+
+_ANGLE = "2 * pi() * date_diff('day', DATE '1970-01-01', {}) / 365.25::DOUBLE"
+_AHEAD = "date_diff('day', DATE '1970-01-05', {}) / 7::DOUBLE"
+SQL["seasonal_forecast"] = _q(FPARAMS + f""",
+ls AS MATERIALIZED (SELECT scope, metric, week_start, y, {_AHEAD.format('week_start')} AS t, cos({_ANGLE.format('week_start')}) AS c, sin({_ANGLE.format('week_start')}) AS s FROM lg),
+kf AS (SELECT scope, metric, count(*) AS historical_weeks, max(week_start) AS last_week, avg(t) AS mt, avg(c) AS mc, avg(s) AS ms, avg(y) AS my,
+  {_det3('ycs')} / {_det3('tcs')} AS kt, {_det3('tys')} / {_det3('tcs')} AS kc, {_det3('tcy')} / {_det3('tcs')} AS ks
+  FROM ls GROUP BY scope, metric HAVING count(*) >= 52),
+kz AS MATERIALIZED (SELECT *, my - kt * mt - kc * mc - ks * ms AS k1 FROM kf),
+sp AS (SELECT scope, metric, sqrt(avg((y - (k1 + kt * t + kc * c + ks * s)) ** 2)) AS spread FROM ls JOIN kz USING (scope, metric) GROUP BY scope, metric),
+ah AS (SELECT kz.*, spread, i::INTEGER AS i, CAST(last_week + 7 * i::INTEGER AS DATE) AS week FROM kz JOIN sp USING (scope, metric), range(1, 5) r(i)),
+fv AS (SELECT *, k1 + kt * ({_AHEAD.format('week')}) + kc * cos({_ANGLE.format('week')}) + ks * sin({_ANGLE.format('week')}) AS yy FROM ah)
+SELECT scope, metric, i, week, historical_weeks, CAST(round_even(greatest(0.0, yy), 0) AS BIGINT) AS predicted,
+  CAST(round_even(greatest(0.0, yy - 1.2815515655446004::DOUBLE * spread), 0) AS BIGINT) AS lower_bound,
+  CAST(round_even(greatest(0.0, yy + 1.2815515655446004::DOUBLE * spread), 0) AS BIGINT) AS upper_bound,
+  round(kt, 4) AS weekly_trend, round(kc * cos({_ANGLE.format('week')}) + ks * sin({_ANGLE.format('week')}), 2) AS seasonal_part
+FROM fv
+""")

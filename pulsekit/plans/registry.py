@@ -433,4 +433,5 @@ def _history_store(spark, sf_dir):
 QUERIES.update({
     "csv_export_scan": _csv_export_scan,
     "history_store": _history_store,
+    "seasonal_forecast": _on_posts(growth.seasonal_forecast),
 })
