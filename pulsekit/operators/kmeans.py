@@ -34,8 +34,10 @@ def node_key(x: Column) -> Column:
     return F.md5(F.concat_ws(",", F.transform(x, lambda v: v.cast("string"))))
 
 
-def nodes_of(points: DataFrame) -> DataFrame:
-    """(platform, key, x, n) of points (platform, x array<long>), narrow and checkpointed."""
+def nodes_of(points: DataFrame, vectors: DataFrame | None = None) -> DataFrame:
+    """(platform, key, x, n) of points (platform, x array<long>), narrow and checkpointed; with ``vectors`` (key, x), of points (platform, key)."""
+    if vectors is not None:
+        return cut_lineage(points.groupBy("platform", "key").agg(F.count(F.lit(1)).alias("n")).join(vectors, "key").select("platform", "key", "x", "n"))
     return cut_lineage(points.groupBy("platform", "x").agg(F.count(F.lit(1)).alias("n")).select("platform", node_key(F.col("x")).alias("key"), "x", "n"))
 
 
@@ -168,12 +170,13 @@ def assign(nodes: DataFrame, centres: dict[str | None, np.ndarray]) -> DataFrame
     return nodes.mapInArrow(run, "platform string, key string, cluster int, distance long")
 
 
-def cluster(points: DataFrame, k, least: int = 1, restarts: int = RESTARTS, rounds: int = ROUNDS) -> DataFrame:
+def cluster(points: DataFrame, k, least: int = 1, restarts: int = RESTARTS, rounds: int = ROUNDS, vectors: DataFrame | None = None) -> DataFrame:
     """``points`` (platform, x array<long>, ...) with ``cluster`` and ``distance``; ``k`` gives the clusters for a platform's number
-    of points, and platforms with fewer than ``least`` points are left out."""
+    of points, and platforms with fewer than ``least`` points are left out.  Instead of its vector a point may carry
+    ``key``, the ``node_key`` of its vector in ``vectors`` (key, x); it stays out of the result."""
     sizes = {r["platform"]: r["c"] for r in points.groupBy("platform").agg(F.count(F.lit(1)).alias("c")).collect()}
     wanted = {p: k(n) for p, n in sizes.items() if n >= least}
-    nodes = nodes_of(points.select("platform", "x"))
+    nodes = nodes_of(points.select("platform", "x" if vectors is None else "key"), vectors)
     found = assign(nodes, fit(nodes, wanted, restarts, rounds)).select(F.col("platform").alias("_p"), F.col("key").alias("_k"), "cluster", "distance")
-    keyed = points.withColumn("_key", node_key(F.col("x")))
+    keyed = points.withColumn("_key", node_key(F.col("x"))) if vectors is None else points.withColumnRenamed("key", "_key")
     return keyed.join(found, F.col("platform").eqNullSafe(F.col("_p")) & (F.col("_key") == F.col("_k"))).drop("_key", "_p", "_k")

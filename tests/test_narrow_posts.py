@@ -2,7 +2,9 @@
 
 import shutil
 
-from pulsekit.operators import similarity
+from pyspark.sql import functions as F
+
+from pulsekit.operators import ml, similarity
 from pulsekit.sources import testdata
 
 SF = "/root/testdata/sf0.001"
@@ -37,3 +39,9 @@ def test_posts_carry_names_of_vectors(spark):
     plain = similarity.neighbours(similarity.post_vectors(posts, e), 3)
     named = similarity.neighbours(keyed, 3, vectors=vectors)
     assert rows(named.select(plain.columns)) == rows(plain)
+
+
+def test_fits_store_no_captions(spark):
+    posts = testdata.posts(spark, SF).where(F.col("platform") == "youtube")
+    data, cols, _ = ml.gbt_models(posts, iters=1)
+    assert not {"title", "permalink"} & set(data.columns) and set(cols) <= set(data.columns) and data.count() == posts.count()
