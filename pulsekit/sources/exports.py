@@ -20,6 +20,7 @@ import io
 import re
 from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
 import pandas as pd
 import pyarrow as pa
@@ -175,6 +176,11 @@ def _scan(encodings: list[str]):
     return run
 
 
+def _path_of(uri: str) -> str:
+    """The path that reads the file of a uri and no other: unquoted, pattern characters escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
+
+
 def _byte_encodings(encodings: list[str]) -> list[str]:
     """Those in which line ends, quotes and commas are single bytes."""
     return [e for e in encodings if not e.startswith("utf-16")]
@@ -276,10 +282,14 @@ def csv_records(spark: SparkSession, root: str, encodings: list[str] = POST_ENCO
     utf8 = F.col("encoding").startswith("utf-8")
     text = named.where(utf8).select("uri", "position", F.col("raw").cast("string").alias("text"), "closed")
     other = named.where(~utf8).select("uri", "position", "raw", "closed", "encoding").mapInArrow(_decoded, "uri string, position long, text string, closed boolean")
-    wide = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_GLOB).load(root)
-            .where(F.col("length") < CELL_BYTES).select(F.col("_metadata.file_path").alias("uri"), "content")
-            .join(files.where("encoding = 'utf-16'").select("uri"), "uri", "left_semi").mapInPandas(_wide_records, "uri string, position long, text string, closed boolean"))
-    records = text.unionByName(other).unionByName(wide).withColumn(
+    records = text.unionByName(other)
+    # only these files are read whole: the name of every other one would bring its content along
+    wide = [r["uri"] for r in blocks.where("marked").select("uri").distinct().orderBy("uri").collect()]
+    if wide:
+        whole = (spark.read.format("binaryFile").load([_path_of(uri) for uri in wide]).where(F.col("length") < CELL_BYTES)
+                 .select(F.col("_metadata.file_path").alias("uri"), "content"))
+        records = records.unionByName(whole.mapInPandas(_wide_records, "uri string, position long, text string, closed boolean"))
+    records = records.withColumn(
         "text", F.when(F.col("position") == 0, F.regexp_replace("text", "^\ufeff", "")).otherwise(F.col("text")))
     first = records.groupBy("uri").agg(F.min_by("text", "position").alias("first"))
     return records, files.join(first, "uri", "left")

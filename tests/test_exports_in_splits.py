@@ -152,3 +152,14 @@ def test_series_files_in_every_encoding(spark, tmp_path, enc):
     got = exports.tiktok_series(spark, str(tmp_path / "Overview.csv"), "2026-03-10", {"views": ["video views"], "likes": ["likes"]})
     assert sorted((str(r["date"]), r["metric"], r["value"]) for r in got.collect()) == [
         ("2026-03-01", "likes", 2), ("2026-03-01", "views", 5), ("2026-03-02", "likes", 3), ("2026-03-02", "views", 0)]
+
+
+def test_only_utf16_files_are_read_whole(spark, tmp_path):
+    (tmp_path / "plain.csv").write_text('id,v\n1,"a\nb"\n2,c\n', encoding="utf-8")
+    records, _ = exports.csv_records(spark, str(tmp_path))
+    assert "binaryFile" not in records._jdf.queryExecution().toString() and records.count() == 3
+    for name in ("wide [1] ü 50%25.csv", "wide 1 ü 50%25.csv", "wi*{a}?.csv"):
+        (tmp_path / name).write_text(f'id,v\n3,"é\nb"\n', encoding="utf-16")
+    records, files = exports.csv_records(spark, str(tmp_path))
+    assert records.count() == 9 and records.where("position > 0").select("uri").distinct().count() == 4
+    assert files.where("encoding = 'utf-16' AND first = 'id,v'").count() == 3
