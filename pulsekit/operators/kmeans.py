@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from pulsekit.session import cut_lineage
 
@@ -48,11 +49,20 @@ def _uniform(text: Column) -> Column:
 
 def _by_platform(batch: pa.RecordBatch) -> Iterator[tuple[str | None, np.ndarray, np.ndarray, np.ndarray]]:
     """Per platform of a batch: places, integer vectors, counts."""
-    names = batch.column("platform").to_pylist()
-    x, n = batch.column("x").to_pylist(), batch.column("n").to_numpy()
-    for p in sorted(set(names), key=str):
-        at = np.array([i for i, name in enumerate(names) if name == p])
-        yield p, at, np.array([x[i] for i in at], np.int64).reshape(len(at), -1), n[at]
+    if not batch.num_rows:
+        return
+    names = batch.column("platform").dictionary_encode(null_encoding="encode")
+    of = names.indices.to_numpy()
+    x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, -1) if _even(batch.column("x")) else None
+    n = batch.column("n").to_numpy() if "n" in batch.schema.names else np.ones(batch.num_rows, np.int64)
+    for i, p in sorted(enumerate(names.dictionary.to_pylist()), key=lambda e: str(e[1])):
+        at = np.flatnonzero(of == i)
+        yield p, at, x[at] if x is not None else np.array(batch.column("x").take(pa.array(at)).to_pylist(), np.int64).reshape(len(at), -1), n[at]
+
+
+def _even(x: pa.Array) -> bool:
+    """Whether all vectors of a batch have one length."""
+    return not x.null_count and len(set(np.diff(x.offsets.to_numpy()).tolist())) == 1
 
 
 def _squares(x: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -64,16 +74,24 @@ def _squares(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.stack([((x - row) ** 2).sum(1) for row in c], axis=1)
 
 
+def _nearest(x: np.ndarray, centres: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """The nearest centre (ties: the lowest) of every vector, for one set of centres after the other; distances to all are taken at once."""
+    if centres and all(len(c) for c in centres):
+        d = _squares(x, np.concatenate(centres))
+        for c, end in zip(centres, np.cumsum([len(c) for c in centres])):
+            yield d[:, end - len(c):end].argmin(axis=1)
+
+
 def _draw(seeds: Centres, wanted: dict[str | None, int], step: int):
     """Per task and (platform, restart): the node that wins the race for seed number ``step``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[tuple, tuple] = {}
         for b in batches:
-            keys, uniform = b.column("key").to_pylist(), b.column("u").to_pylist()
+            keys, uniform = b.column("key"), b.column("u").flatten().to_numpy().reshape(b.num_rows, -1)
             for p, at, x, n in _by_platform(b):
                 if wanted.get(p, 0) <= step:
                     continue
-                u = np.array([uniform[i] for i in at])
+                u = uniform[at]
                 for r, chosen in enumerate(seeds[p]):
                     if len(chosen) < step:
                         continue
@@ -81,8 +99,8 @@ def _draw(seeds: Centres, wanted: dict[str | None, int], step: int):
                     ok = weight > 0
                     if ok.any():
                         time = np.where(ok, -np.log(u[:, r]) / np.where(ok, weight, 1.0), np.inf)
-                        i = min(np.flatnonzero(time == time.min()).tolist(), key=lambda j: keys[at[j]])
-                        found = (time[i], keys[at[i]], x[i].tolist())
+                        i = min(np.flatnonzero(time == time.min()).tolist(), key=lambda j: keys[int(at[j])].as_py())
+                        found = (time[i], keys[int(at[i])].as_py(), x[i].tolist())
                         best[p, r] = min(best.get((p, r), found), found)
         rows = [(p, r, *v) for (p, r), v in best.items()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 5, [
@@ -110,12 +128,11 @@ def _sums(centres: Centres):
         total = {p: [np.zeros((len(c), c.shape[1] + 1), np.int64) for c in cs] for p, cs in centres.items()}
         for b in batches:
             for p, _, x, n in _by_platform(b):
-                for r, c in enumerate(centres.get(p, [])):
-                    near = _squares(x, c).argmin(axis=1)
+                for r, (c, near) in enumerate(zip(centres.get(p, []), _nearest(x, centres.get(p, [])))):
                     for i in range(len(c)):
                         mine = near == i
                         total[p][r][i, 0] += n[mine].sum()
-                        total[p][r][i, 1:] += (x[mine] * n[mine, None]).sum(axis=0)
+                        total[p][r][i, 1:] += n[mine] @ x[mine]
         rows = [(p, r, i, t.tolist()) for p, ts in total.items() for r, m in enumerate(ts) for i, t in enumerate(m) if t[0]]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 4, [
             pa.string(), pa.int32(), pa.int32(), pa.list_(pa.int64())])], ["platform", "r", "i", "total"])
@@ -137,6 +154,7 @@ def _costs(centres: Centres):
 def fit(nodes: DataFrame, wanted: dict[str | None, int], restarts: int = RESTARTS, rounds: int = ROUNDS) -> dict[str | None, np.ndarray]:
     """The best restart's centres per platform, for ``wanted`` clusters of each; at most ``rounds`` rounds."""
     centres = draw_seeds(nodes, wanted, restarts)
+    nodes = nodes.select("platform", "x", "n")            # no names in the rounds
     for _ in range(rounds if wanted else 0):
         sums = (nodes.mapInArrow(_sums(centres), "platform string, r int, i int, total array<long>")
                 .select("platform", "r", "i", F.posexplode("total").alias("place", "v")).groupBy("platform", "r", "i", "place").agg(F.sum("v").alias("v")))
@@ -177,6 +195,24 @@ def cluster(points: DataFrame, k, least: int = 1, restarts: int = RESTARTS, roun
     sizes = {r["platform"]: r["c"] for r in points.groupBy("platform").agg(F.count(F.lit(1)).alias("c")).collect()}
     wanted = {p: k(n) for p, n in sizes.items() if n >= least}
     nodes = nodes_of(points.select("platform", "x" if vectors is None else "key"), vectors)
-    found = assign(nodes, fit(nodes, wanted, restarts, rounds)).select(F.col("platform").alias("_p"), F.col("key").alias("_k"), "cluster", "distance")
-    keyed = points.withColumn("_key", node_key(F.col("x"))) if vectors is None else points.withColumnRenamed("key", "_key")
+    centres = fit(nodes, wanted, restarts, rounds)
+    if vectors is None:
+        return _placed(points, centres)
+    found = assign(nodes, centres).select(F.col("platform").alias("_p"), F.col("key").alias("_k"), "cluster", "distance")
+    keyed = points.withColumnRenamed("key", "_key")
     return keyed.join(found, F.col("platform").eqNullSafe(F.col("_p")) & (F.col("_key") == F.col("_k"))).drop("_key", "_p", "_k")
+
+
+def _placed(points: DataFrame, centres: dict[str | None, np.ndarray]) -> DataFrame:
+    """``points`` of the platforms that have centres, with ``cluster`` and ``distance``: centres are few, so no join is needed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            near, far = np.full(b.num_rows, -1, np.int32), np.zeros(b.num_rows, np.int64)
+            for p, at, x, _ in _by_platform(b.select(["platform", "x"])):
+                if p in centres:
+                    d = _squares(x, centres[p])
+                    near[at], far[at] = d.argmin(axis=1), d.min(axis=1)
+            kept = pa.RecordBatch.from_arrays([*b.columns, pa.array(near), pa.array(far)], [*b.schema.names, "cluster", "distance"])
+            yield kept.filter(pa.array(near >= 0))
+
+    return points.mapInArrow(run, StructType([*points.schema.fields, StructField("cluster", IntegerType()), StructField("distance", LongType())]))
