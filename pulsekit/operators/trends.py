@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pulsekit.functions import exprs as X
 from pulsekit.functions.messages import TEXT
+from pulsekit.session import cut_lineage
 
 SEVERITY_ORDER = {"high": 0, "medium": 1, "none": 2, "positive": 3}
 
@@ -24,15 +25,19 @@ def _dated_platforms(posts: DataFrame, min_posts: int) -> DataFrame:
 
 
 def mark_first_k(df: DataFrame, keys: list[str], info: DataFrame, k_col: str = "_k",
-                 ts: str = "published_at", tie: str = "post_id") -> DataFrame:
+                 ts: str = "published_at", tie: str = "post_id", hist: DataFrame | None = None) -> DataFrame:
     """Add ``_first`` = row is among the first ``k`` of its group by (ts, tie).
 
     ``info`` holds one row per group with ``k``.  Day counts -> running
     totals (calendar-bounded) locate the boundary day; only rows of that day
     are ranked, so no task ever sorts a whole (possibly huge) group.
+    ``hist`` may give the day counts (keys, _day, _c).
     """
     day = F.to_date(ts)
-    hist = df.groupBy(*keys, day.alias("_day")).agg(F.count(F.lit(1)).alias("_c"))
+    if hist is None:
+        hist = df.groupBy(*keys, day.alias("_day")).agg(F.count(F.lit(1)).alias("_c"))
+    else:
+        hist = hist.select(*keys, "_day", "_c")
     wc = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
     hist = hist.withColumn("_cum", F.sum("_c").over(wc)).join(F.broadcast(info.select(*keys, k_col)), keys)
     bd = (hist.where(F.col("_cum") >= F.col(k_col))
@@ -52,12 +57,16 @@ def content_fatigue(posts: DataFrame, min_posts: int = 15, min_type: int = 5) ->
     """Per (platform, content type) with >= 5 posts: weighted OLS slope
     of the rate on days since the type's first post (×30 = monthly change),
     trend/severity labels and older-half vs recent-half means (split n//2)."""
-    d = _dated_platforms(posts, min_posts)
     keys = ["platform", "content_type"]
-    info = (d.groupBy(*keys).agg(F.count(F.lit(1)).alias("post_count"), F.min("published_at").alias("_t0"))
+    dated = posts.where(F.col("published_at").isNotNull()).select(*keys, "post_id", "published_at", "engagement_rate", "weight")
+    # counts per day once: platforms, types and split days all follow from them
+    hist = cut_lineage(dated.groupBy(*keys, F.to_date("published_at").alias("_day")).agg(F.count(F.lit(1)).alias("_c"), F.min("published_at").alias("_t")))
+    ok = hist.groupBy("platform").agg(F.sum("_c").alias("_n")).where(F.col("_n") >= min_posts).select("platform")
+    info = (hist.join(F.broadcast(ok), "platform", "left_semi").groupBy(*keys).agg(F.sum("_c").alias("post_count"), F.min("_t").alias("_t0"))
             .where(F.col("post_count") >= min_type)
             .withColumn("_k", F.floor(F.col("post_count") / 2).cast("long")))
-    m = mark_first_k(d.join(F.broadcast(info.select(*keys)), keys, "left_semi"), keys, info)
+    info = cut_lineage(info)
+    m = mark_first_k(dated, keys, info, hist=hist)          # only the types of ``info`` stay
     m = m.join(F.broadcast(info.select(*keys, "_t0")), keys)
     x = X.ntz_days(F.col("published_at"), F.col("_t0"))
     y, w = F.col("engagement_rate"), F.col("weight")
