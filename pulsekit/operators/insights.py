@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pulsekit.functions import exprs as X
 from pulsekit.functions.messages import TEXT
 from pulsekit.operators import growth, kpi, scoring, temporal
-from pulsekit.session import cut_lineages
+from pulsekit.session import cut_lineage, cut_lineages
 
 PRIORITY = {"high": 0, "medium": 1, "low": 2}
 
@@ -121,7 +121,7 @@ def pulse(posts: DataFrame) -> DataFrame:
 def key_numbers(posts: DataFrame) -> DataFrame:
     """The key-number lines (posts, reach per platform, interactions,
     followers, week-over-week highlights beyond ±10 %)."""
-    ov = kpi.platform_overview(posts)
+    ov = cut_lineage(kpi.platform_overview(posts))           # a row per platform, read by every line
     tot = ov.agg(F.sum("total_posts").alias("p"), F.sum("total_engagement").alias("e"),
                  F.sum("total_followers_gained").alias("f"))
     pname = X.platform_name(F.col("platform"))
