@@ -34,15 +34,19 @@ def _rec(df: DataFrame, rule_ix: int, priority: str, category: str, message: F.C
 
 def recommendations(posts: DataFrame, min_posts: int = 10) -> DataFrame:
     """The reference's rule set over C6, T1, T2, C7, C1, G5 and X1."""
-    n_posts = posts.select(F.count(F.lit(1))).scalar()
-    one = posts.select(F.lit(1).alias("_one")).limit(1)
-    enough = n_posts >= min_posts
     pname = X.platform_name(F.col("platform"))
     rules = []
     # small result tables that several rules read
-    pcr, top3, ov, pg = cut_lineages(
+    pcr, top3, ov, pg, dp, ec, vp, totals = cut_lineages(
         kpi.platform_content_ranking(posts).where(F.col("rank") == 1), temporal.hourly_profile(posts).where(F.col("rank") <= 3),
-        kpi.platform_overview(posts), growth.platform_growth(posts))
+        kpi.platform_overview(posts), growth.platform_growth(posts), temporal.daily_profile(posts).where((F.col("rank") == 1) & (F.col("post_count") >= 3)),
+        kpi.engagement_composition(posts).where(F.col("conversation_ratio") < 0.05),
+        scoring.viral_posts(posts).groupBy("platform").agg(
+            F.array_join(F.array_sort(F.collect_set(X.content_label(F.col("content_type")))), ", ").alias("_types")),
+        posts.groupBy("platform").agg(F.count(F.lit(1)).alias("n")))
+    n_posts = totals.select(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    one = totals.select(F.lit(1).alias("_one")).limit(1)
+    enough = n_posts >= min_posts
     # 1. best content type per platform
     rules.append(_rec(pcr, 1, "high", "content", F.format_string(
         TEXT["on_your_best_content_type"],
@@ -57,11 +61,9 @@ def recommendations(posts: DataFrame, min_posts: int = 10) -> DataFrame:
     rules.append(_rec(top3.where((F.col("rank") == 1) & first_ok.isNull()), 4, "low", "timing",
                       F.lit(TEXT["not_enough_data_per_time"])))
     # 5. best day
-    dp = temporal.daily_profile(posts).where((F.col("rank") == 1) & (F.col("post_count") >= 3))
     rules.append(_rec(dp, 5, "medium", "timing", F.format_string(
         TEXT["best_performing_day_is_consider"], F.col("day_of_week"))))
     # 6. conversation ratio
-    ec = kpi.engagement_composition(posts).where(F.col("conversation_ratio") < 0.05)
     rules.append(_rec(ec, 6, "medium", "engagement", F.lit(
         TEXT["comments_to_likes_ratio_is"])))
     # 7/8. benchmark gap
@@ -77,12 +79,10 @@ def recommendations(posts: DataFrame, min_posts: int = 10) -> DataFrame:
     rules.append(_rec(pg.where(F.col("reach_trend") == "growing"), 10, "low", "growth", F.format_string(
         TEXT["reach_is_growing_keep_up"], pname), F.col("platform")))
     # 11. viral formats per platform
-    vp = (scoring.viral_posts(posts).groupBy("platform")
-          .agg(F.array_join(F.array_sort(F.collect_set(X.content_label(F.col("content_type")))), ", ").alias("_types")))
     rules.append(_rec(vp, 11, "high", "content", F.format_string(
         TEXT["viral_content_on_create_more"], pname, F.col("_types")), F.col("platform")))
     # 12. methodology note
-    nplat = posts.select(F.count_distinct("platform")).scalar()
+    nplat = totals.select(F.count("platform")).scalar()
     rules.append(_rec(one.where(nplat > 1), 12, "low", "methodology", F.lit(
         TEXT["note_instagram_engagement_rate_uses"])))
     body = reduce(DataFrame.unionByName, rules).where(enough)
