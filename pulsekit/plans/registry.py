@@ -399,27 +399,47 @@ QUERIES.update({
 # N3), and the post history through two merges
 # ---------------------------------------------------------------------------
 import uuid  # noqa: E402
+from functools import reduce  # noqa: E402
 
-from pulsekit.session import ensure_checkpoint_dir  # noqa: E402
+from pulsekit.session import ensure_checkpoint_dir, shuffles_deleted, stored  # noqa: E402
 from pulsekit.sources import history as store  # noqa: E402
 
 
+#: CSV written before it is read back, about.
+DELIVERY_BYTES = 3 << 30
+
+
 def _scratch(spark, name: str) -> str:
     """A new folder among the shared checkpoints."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def _csv_export_scan(spark, sf_dir):
-    """Every post as a row of quoted CSV, captions with their line breaks, read back as a platform's exports."""
-    root = _scratch(spark, "exports")
-    (normalize.render_instagram_export(raw_posts(spark, sf_dir)).write.option("header", True).option("quoteAll", True).option("escape", '"')
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root))
-    u = exports.ingest_platform(spark, root, "instagram")
-    return u.select("post_id", "platform", "content_type",
-                    F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published_at"),
-                    "reach", "views", "likes", "comments", "shares", "saves", "followers_gained",
-                    "engagement_total", F.round("engagement_rate", 6).alias("engagement_rate"),
-                    F.length("title").alias("title_chars"))
+    """Every post as a row of quoted CSV, captions with their line breaks, read back as a platform's exports.
+
+    Exports arrive and go in deliveries of about DELIVERY_BYTES: the files of one are deleted when its posts are taken in, so
+    that scratch space is bounded by a delivery and not by all captions of all posts.
+    """
+    titled = captions(spark, sf_dir)
+    p = raw_posts(spark, sf_dir) if titled is None else bare_posts(spark, sf_dir)
+    length = table(spark, sf_dir, "documents").agg(F.avg(F.octet_length("text"))).first()[0] or 0
+    n = max(1, -(-int(p.count() * (length + 400)) // DELIVERY_BYTES))
+    taken = []
+    for i in range(n):
+        root = _scratch(spark, "exports")
+        some = p if n == 1 else p.where(F.pmod(F.xxhash64("post_id"), F.lit(n)) == i)
+        with shuffles_deleted(spark):
+            (normalize.render_instagram_export(some if titled is None else titled(some)).write.option("header", True).option("quoteAll", True)
+             .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root))
+        u = exports.ingest_platform(spark, root, "instagram")
+        if u is not None:
+            taken.append(stored(u.select(
+                "post_id", "platform", "content_type", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published_at"),
+                "reach", "views", "likes", "comments", "shares", "saves", "followers_gained",
+                "engagement_total", F.round("engagement_rate", 6).alias("engagement_rate"), F.length("title").alias("title_chars"))))
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return reduce(lambda a, b: a.unionByName(b), taken)
 
 
 def _history_store(spark, sf_dir):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsekit.session import cut_lineage
+from pulsekit.session import cut_lineage, stored
 from pulsekit.sources import greek
 from pulsekit.sources.normalize import normalize_export
 
@@ -269,6 +269,7 @@ def csv_records(spark: SparkSession, root: str, encodings: list[str] = POST_ENCO
         name = F.when(F.col("bad").bitwiseAND(F.lit(1 << i)) == 0, enc).otherwise(name)
     files = (blocks.groupBy("uri").agg(F.bit_or("bad").alias("bad"), F.bool_or("marked").alias("marked"))
              .select("uri", F.when(F.col("marked"), "utf-16").otherwise(name).alias("encoding")))
+    files = stored(files)                                    # a row per file, of a size that Spark knows: records are not shuffled to meet it
     pieces = lines.select("uri", "block", "raw").mapInArrow(_cut(inside), "uri string, block long, seq long, piece int, raw binary")
     # the few records that cross splits are put together again, in the order of the splits
     position = F.col("block") + F.col("seq")
@@ -277,21 +278,26 @@ def csv_records(spark: SparkSession, root: str, encodings: list[str] = POST_ENCO
                 .agg(F.min(position).alias("position"), F.sort_array(F.collect_list(F.struct("block", "seq", "raw"))).alias("l"), F.max("piece").alias("_last")))
     crossing = (crossing.select("uri", "position", F.col("l.raw").alias("raws"), (F.col("_last") == 3).alias("closed"))
                 .mapInArrow(_glued, "uri string, position long, raw binary, closed boolean"))
-    raws = pieces.where("piece = 0").select("uri", position.alias("position"), "raw", F.lit(True).alias("closed")).unionByName(crossing)
-    named = raws.join(files.where("encoding <> 'utf-16'"), "uri")
     utf8 = F.col("encoding").startswith("utf-8")
-    text = named.where(utf8).select("uri", "position", F.col("raw").cast("string").alias("text"), "closed")
-    other = named.where(~utf8).select("uri", "position", "raw", "closed", "encoding").mapInArrow(_decoded, "uri string, position long, text string, closed boolean")
-    records = text.unionByName(other)
+
+    def texts(some: str) -> DataFrame:
+        raws = pieces.where(some).select("uri", position.alias("position"), "raw", F.lit(True).alias("closed")).unionByName(crossing)
+        named = raws.join(files.where("encoding <> 'utf-16'"), "uri")
+        text = named.where(utf8).select("uri", "position", F.col("raw").cast("string").alias("text"), "closed")
+        return text.unionByName(named.where(~utf8).select("uri", "position", "raw", "closed", "encoding").mapInArrow(
+            _decoded, "uri string, position long, text string, closed boolean"))
+    # a file's first record is the first of its split or crosses splits, so no other has to be sorted to find it
+    records, firsts = texts("piece = 0"), texts("piece = 0 AND seq = 0")
     # only these files are read whole: the name of every other one would bring its content along
     wide = [r["uri"] for r in blocks.where("marked").select("uri").distinct().orderBy("uri").collect()]
     if wide:
         whole = (spark.read.format("binaryFile").load([_path_of(uri) for uri in wide]).where(F.col("length") < CELL_BYTES)
                  .select(F.col("_metadata.file_path").alias("uri"), "content"))
-        records = records.unionByName(whole.mapInPandas(_wide_records, "uri string, position long, text string, closed boolean"))
-    records = records.withColumn(
-        "text", F.when(F.col("position") == 0, F.regexp_replace("text", "^\ufeff", "")).otherwise(F.col("text")))
-    first = records.groupBy("uri").agg(F.min_by("text", "position").alias("first"))
+        decoded = whole.mapInPandas(_wide_records, "uri string, position long, text string, closed boolean")
+        records, firsts = records.unionByName(decoded), firsts.unionByName(decoded)
+    bare = F.when(F.col("position") == 0, F.regexp_replace("text", "^\ufeff", "")).otherwise(F.col("text"))
+    records, firsts = records.withColumn("text", bare), firsts.withColumn("text", bare)
+    first = firsts.groupBy("uri").agg(F.min_by("text", "position").alias("first"))
     return records, files.join(first, "uri", "left")
 
 
@@ -338,7 +344,7 @@ def csv_frames(spark: SparkSession, root: str, encodings: list[str] = POST_ENCOD
     last quoted field has no end, and records with more cells than their header; missing cells are null.
     """
     records, files = csv_records(spark, root, encodings, accept)
-    files = cut_lineage(files)
+    files = stored(files)
     bad = [files.where("encoding IS NULL").select(F.col("uri").alias("source_file"), F.lit(0).cast("long").alias("position"),
                                                   F.lit("no encoding decodes the file").alias("reason"), F.lit(None).cast("string").alias("record")),
            files.where("encoding = 'utf-16' AND first IS NULL").select(F.col("uri").alias("source_file"), F.lit(0).cast("long").alias("position"),
